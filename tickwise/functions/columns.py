@@ -61,14 +61,27 @@ def decision_label(current: Column | str, following: Column | str) -> Column:
 
 
 def r4(col: Column | str, digits: int = 4) -> Column:
-    """Round a double for stable value comparison."""
-    return F.round(_c(col), digits)
+    """Round a double to ``digits`` decimals through the binary product x * 10^d.
 
+    ``round(x, d)`` rounds the decimal string of x, other engines round the
+    binary product; rounding the product itself gives the same double
+    everywhere (ties can no longer fall on different sides).
+    """
+    scale = float(10 ** digits)
+    return F.round(_c(col) * F.lit(scale)) / F.lit(scale)
+
+
+def libsvm_line(label: Column | str, features: list[str], fmt: str | None = None) -> Column:
+    """Text form of a libsvm record: ``label 1:f1 2:f2 ...`` (1-based).
+
+    ``fmt`` (a printf pattern such as ``%.4f``) fixes the number format;
+    without it Spark's default double-to-string cast is used.
+    """
+    def txt(c):
+        return F.format_string(fmt, _c(c)) if fmt else _c(c).cast("string")
 
-def libsvm_line(label: Column | str, features: list[str]) -> Column:
-    """Text form of a libsvm record: ``label 1:f1 2:f2 ...`` (1-based)."""
-    parts = [_c(label).cast("string")]
-    parts += [F.concat(F.lit(f"{i}:"), _c(f).cast("string")) for i, f in enumerate(features, start=1)]
+    parts = [txt(label)]
+    parts += [F.concat(F.lit(f"{i}:"), txt(f)) for i, f in enumerate(features, start=1)]
     return F.concat_ws(" ", *parts)
 
 

@@ -114,9 +114,10 @@ def preview(df: DataFrame, k: int = 20, columns: Sequence[str] = ("prediction",
     return df.select(*cols).limit(k)
 
 
-def tail(df: DataFrame, k: int = 5, order: str = "date") -> DataFrame:
-    """Last ``k`` rows by ``order`` (a top-k, not a full sort)."""
-    return df.orderBy(F.col(order).desc()).limit(k)
+def tail(df: DataFrame, k: int = 5, order: Sequence[str] = ("date",)) -> DataFrame:
+    """Last ``k`` rows by ``order`` (planned as a top-k, not a full sort)."""
+    cols = [order] if isinstance(order, str) else list(order)
+    return df.orderBy(*[F.col(c).desc() for c in cols]).limit(k)
 
 
 def top_movers(df: DataFrame, k: int = 3, metric: str = "changePercent", by: str = "date",

@@ -33,12 +33,53 @@ def register(name: str, sql: Optional[str] = None, views: tuple[str, ...] = (),
         if name in REGISTRY:
             raise ValueError(f"duplicate query {name}")
         full_sql = with_views(sql, *views) if (sql and views) else sql
+        full_sql = binary_round_sql(full_sql) if full_sql else full_sql
         REGISTRY[name] = Query(name, fn, full_sql, bench)
         return fn
 
     return deco
 
 
+def binary_round_sql(sql: str) -> str:
+    """Rewrite every ``round(expr, d)`` of the oracle text as ``round(expr * 10^d) / 10^d``.
+
+    Mirrors ``functions.columns.r4`` so both engines round the same double.
+    Only the literal-digit two-argument form is touched.
+    """
+    out, i, low = [], 0, sql.lower()
+    while True:
+        j = low.find("round(", i)
+        if j < 0 or (j > 0 and (low[j - 1].isalnum() or low[j - 1] == "_")):
+            if j < 0:
+                out.append(sql[i:])
+                return "".join(out)
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        depth, k, comma = 0, j + 6, -1
+        while k < len(sql):
+            ch = sql[k]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                if depth == 0:
+                    break
+                depth -= 1
+            elif ch == "," and depth == 0:
+                comma = k
+            k += 1
+        digits = sql[comma + 1:k].strip() if comma > 0 else ""
+        if comma < 0 or not digits.isdigit():
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        inner = binary_round_sql(sql[j + 6:comma])
+        scale = f"CAST({10 ** int(digits)} AS DOUBLE)"
+        out.append(sql[i:j])
+        out.append(f"(round(({inner}) * {scale}) / {scale})")
+        i = k + 1
+
+
 def run(spark: SparkSession, name: str, sf_dir: str) -> DataFrame:
     _load()
     return REGISTRY[name].build(Tables(spark, sf_dir))

@@ -20,11 +20,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwise.functions.columns import with_day_fields
+from tickwise.functions.columns import r4, with_day_fields
 from tickwise.sources.tables import Tables
 
-# Fixed scale that turns order totals into share-price-like numbers.
-PRICE_SCALE = 1000.0
+# Fixed scale that turns order totals into index-level prices (4 decimals at most,
+# so a final round(x, 4) never meets a decimal tie).
+PRICE_SCALE = 100.0
 
 
 def _daily_bars(orders: DataFrame, keyed: DataFrame) -> DataFrame:
@@ -155,7 +156,7 @@ def rmse_samples(t: Tables) -> DataFrame:
             F.col("o_orderpriority").alias("algo"),
             (F.year(d) * 100 + F.month(d)).alias("run"),
         )
-        .agg(F.round(F.stddev_pop(F.col("o_totalprice") / F.lit(PRICE_SCALE)), 6).alias("rmse"))
+        .agg(r4(F.stddev_pop(F.col("o_totalprice") / F.lit(PRICE_SCALE)), 6).alias("rmse"))
     )
 
 
@@ -181,10 +182,10 @@ _DAY_FIELDS_SQL = """
 
 _BARS_SQL = """
     SELECT {key} AS company, CAST(o.o_orderdate AS DATE) AS date,
-           min_by(o.o_totalprice / CAST(1000.0 AS DOUBLE), o.o_orderkey) AS open,
-           max(o.o_totalprice / CAST(1000.0 AS DOUBLE)) AS high,
-           min(o.o_totalprice / CAST(1000.0 AS DOUBLE)) AS low,
-           max_by(o.o_totalprice / CAST(1000.0 AS DOUBLE), o.o_orderkey) AS close,
+           min_by(o.o_totalprice / CAST(100.0 AS DOUBLE), o.o_orderkey) AS open,
+           max(o.o_totalprice / CAST(100.0 AS DOUBLE)) AS high,
+           min(o.o_totalprice / CAST(100.0 AS DOUBLE)) AS low,
+           max_by(o.o_totalprice / CAST(100.0 AS DOUBLE), o.o_orderkey) AS close,
            CAST(count(*) AS DOUBLE) AS volume
     FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey {extra}
     GROUP BY 1, 2"""
@@ -224,7 +225,7 @@ VIEW_SQL = {
     "rmse_samples": """
   SELECT c.c_mktsegment AS company, o.o_orderpriority AS algo,
          CAST(year(o.o_orderdate) * 100 + month(o.o_orderdate) AS INTEGER) AS run,
-         round(stddev_pop(o.o_totalprice / CAST(1000.0 AS DOUBLE)), 6) AS rmse
+         round(stddev_pop(o.o_totalprice / CAST(100.0 AS DOUBLE)), 6) AS rmse
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
   GROUP BY 1, 2, 3""",
 }
