@@ -61,12 +61,8 @@ def histogram(df: DataFrame, column: str, bins: int = 10, by: Sequence[str] = ("
     return (
         df.select(*by, column).join(rng, list(by))
         .withColumn("bin", bucket)
-        .groupBy(*by, "bin")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.first("lo").alias("lo"),
-            F.first("hi").alias("hi"),
-        )
+        .groupBy(*by, "bin", "lo", "hi")
+        .agg(F.count(F.lit(1)).alias("n"))
         .select(*by, "bin",
                 (F.col("lo") + F.col("bin") * (F.col("hi") - F.col("lo")) / F.lit(float(bins))).alias("bin_lo"),
                 (F.col("lo") + (F.col("bin") + 1) * (F.col("hi") - F.col("lo")) / F.lit(float(bins))).alias("bin_hi"),

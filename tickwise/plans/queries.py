@@ -125,11 +125,11 @@ def p9_line_series(t):
 @register("p10_symbol_search", views=("profile",), sql="""
 SELECT ticker, name, sector, round(price, 4) AS price, country, state, city, address, website
 FROM profile
-WHERE contains(lower(ticker), 'an') OR contains(lower(name), 'an')
+WHERE (contains(lower(ticker), '1') OR contains(lower(name), '1')) AND sector = 'AMERICA'
 ORDER BY ticker LIMIT 10
 """)
 def p10_symbol_search(t):
-    return rounded(select.symbol_search(V.profile(t), "an", limit=10))
+    return rounded(select.symbol_search(V.profile(t), "1", exchange="AMERICA", limit=10))
 
 
 @register("p11_intraday_move", views=("prices",), sql="""

@@ -127,16 +127,22 @@ def fx(t: Tables) -> DataFrame:
 
 
 def actions(t: Tables) -> DataFrame:
-    """Corporate actions per company (segment): splits and dividends."""
-    o = t.orders.filter((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT")).select(
-        "o_custkey", "o_totalprice", "o_orderdate")
+    """Corporate actions per company (segment), sparse: pending urgent orders at the
+    top of the price range become splits (ratio 1.0-1.1), at the bottom dividends
+    (price multiplier 0.99-0.999)."""
+    px = F.col("o_totalprice")
+    o = t.orders.filter(
+        (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT")
+        & ((px > F.lit(490000.0)) | (px < F.lit(10000.0)))
+    ).select("o_custkey", "o_totalprice", "o_orderdate")
     c = t.customer.select("c_custkey", F.col("c_mktsegment").alias("company"))
-    is_split = F.col("o_totalprice") > F.lit(300000.0)
+    is_split = px > F.lit(490000.0)
     return o.join(c, o.o_custkey == c.c_custkey).select(
         "company",
         F.to_date("o_orderdate").alias("date"),
         F.when(is_split, F.lit("split")).otherwise(F.lit("dividend")).alias("kind"),
-        F.when(is_split, F.lit(2.0)).otherwise(F.lit(1.0) - F.col("o_totalprice") / F.lit(1.0e8)).alias("ratio"),
+        F.when(is_split, F.lit(1.0) + (px - F.lit(490000.0)) / F.lit(100000.0))
+        .otherwise(F.lit(1.0) - px / F.lit(1.0e6)).alias("ratio"),
     )
 
 
@@ -217,11 +223,13 @@ VIEW_SQL = {
   GROUP BY 1, 2""",
     "actions": """
   SELECT c.c_mktsegment AS company, CAST(o.o_orderdate AS DATE) AS date,
-         CASE WHEN o.o_totalprice > 300000.0 THEN 'split' ELSE 'dividend' END AS kind,
-         CASE WHEN o.o_totalprice > 300000.0 THEN CAST(2.0 AS DOUBLE)
-              ELSE CAST(1.0 AS DOUBLE) - o.o_totalprice / CAST(1.0e8 AS DOUBLE) END AS ratio
+         CASE WHEN o.o_totalprice > 490000.0 THEN 'split' ELSE 'dividend' END AS kind,
+         CASE WHEN o.o_totalprice > 490000.0
+              THEN CAST(1.0 AS DOUBLE) + (o.o_totalprice - CAST(490000.0 AS DOUBLE)) / CAST(100000.0 AS DOUBLE)
+              ELSE CAST(1.0 AS DOUBLE) - o.o_totalprice / CAST(1.0e6 AS DOUBLE) END AS ratio
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
-  WHERE o.o_orderstatus = 'P' AND o.o_orderpriority = '1-URGENT'""",
+  WHERE o.o_orderstatus = 'P' AND o.o_orderpriority = '1-URGENT'
+    AND (o.o_totalprice > 490000.0 OR o.o_totalprice < 10000.0)""",
     "rmse_samples": """
   SELECT c.c_mktsegment AS company, o.o_orderpriority AS algo,
          CAST(year(o.o_orderdate) * 100 + month(o.o_orderdate) AS INTEGER) AS run,
