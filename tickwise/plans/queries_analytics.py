@@ -441,3 +441,52 @@ FROM pr
 """)
 def m20_classification_report(t):
     return rounded(metrics.classification_report(_persistence(t), [0, 1, 2]))
+
+
+# ---------------------------------------------------------------------------
+# W6-W13 technical indicators
+
+from tickwise.operators import indicators  # noqa: E402
+
+
+@register("w6_w8_w10_w13_rolling_indicators", views=("prices",), sql=f"""
+SELECT company, date,
+       round(CASE WHEN count(*) OVER f10 >= 10 THEN avg(close) OVER f10 END, 4) AS sma10,
+       round(({' + '.join(['10.0 * close'] + [f'{10 - k}.0 * lag(close, {k}) OVER w' for k in range(1, 10)])}) / 55.0, 4)
+         AS wma10,
+       round(CASE WHEN count(*) OVER f14 >= 14 THEN
+             -100.0 * (max(high) OVER f14 - close) / NULLIF(max(high) OVER f14 - min(low) OVER f14, 0) END, 4)
+         AS williams_r14,
+       round(CASE WHEN count(*) OVER f20 >= 20 THEN stddev_pop(close) OVER f20 END, 4) AS std20
+FROM prices
+WINDOW w AS (PARTITION BY company ORDER BY date),
+       f10 AS (PARTITION BY company ORDER BY date ROWS BETWEEN 9 PRECEDING AND CURRENT ROW),
+       f14 AS (PARTITION BY company ORDER BY date ROWS BETWEEN 13 PRECEDING AND CURRENT ROW),
+       f20 AS (PARTITION BY company ORDER BY date ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)
+""")
+def w6_w8_w10_w13_rolling_indicators(t):
+    px = V.prices(t).select("company", "date", "high", "low", "close")
+    out = indicators.rolling_std(indicators.williams_r(indicators.wma(indicators.sma(px, 10), 10), 14), 20)
+    return rounded(out.select("company", "date", "sma10", "wma10", "williams_r14", "std20"))
+
+
+_EMA_A = 2.0 / 11.0
+
+
+@register("w7_ema", views=("prices",), sql=f"""
+WITH RECURSIVE s AS (SELECT company, date, close, row_number() OVER (PARTITION BY company ORDER BY date) AS rn
+                     FROM prices),
+e AS (SELECT company, rn, date, close AS ema FROM s WHERE rn = 1
+      UNION ALL
+      SELECT s.company, s.rn, s.date,
+             CAST('{_EMA_A!r}' AS DOUBLE) * s.close + CAST('{1.0 - _EMA_A!r}' AS DOUBLE) * e.ema
+      FROM e JOIN s ON s.company = e.company AND s.rn = e.rn + 1)
+SELECT company, date, round(ema, 4) AS ema10 FROM e
+""")
+def w7_ema(t):
+    return rounded(indicators.ema(V.prices(t), 10))
+
+
+@register("w9_w11_w12_wilder_indicators")
+def w9_w11_w12_wilder_indicators(t):
+    return rounded(indicators.recursive_indicators(V.prices(t)))

@@ -243,6 +243,8 @@ def with_views(sql: str, *names: str) -> str:
     """Prefix an oracle query with the CTEs of the views it uses."""
     ctes = ",\n".join(f"{n} AS ({VIEW_SQL[n]})" for n in names)
     body = sql.strip()
+    if body.upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {ctes},\n{body[15:]}"
     if body.upper().startswith("WITH "):
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"
