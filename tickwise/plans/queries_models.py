@@ -176,3 +176,28 @@ def m18_decide_decision_tree(t):
 def m20_decision_quality(t):
     scored = _decide(t, "rf").select("label", F.col("prediction").cast("int").alias("prediction"))
     return rounded(metrics.classification_report(scored, [0, 1, 2]))
+
+
+# ---------------------------------------------------------------------------
+# M22 clustering
+
+from tickwise.operators import cluster  # noqa: E402
+
+
+@register("m22_company_features", views=("prices25",), sql="""
+SELECT company, round(avg(changeOverTime), 4) AS mean_return, round(stddev_samp(changeOverTime), 4) AS volatility,
+       round(avg(volume), 4) AS avg_volume, round(avg(close), 4) AS mean_close
+FROM prices25 GROUP BY company
+""")
+def m22_company_features(t):
+    return rounded(cluster.company_features(V.prices25(t)))
+
+
+@register("m22_cluster_companies")
+def m22_cluster_companies(t):
+    return cluster.cluster(cluster.company_features(V.prices25(t)), k=4, seed=42)
+
+
+@register("m22_silhouette_by_k")
+def m22_silhouette_by_k(t):
+    return rounded(cluster.silhouette_by_k(cluster.company_features(V.prices25(t)), (2, 3, 4, 5)))
