@@ -95,8 +95,8 @@ def rank_sums(samples: DataFrame, value: str = "rmse", by: str = "company", algo
     pooled = side_a.unionByName(side_b)
     key = [by, "algo_a", "algo_b"]
     w = Window.partitionBy(*key).orderBy(value)
-    ties = Window.partitionBy(*key, value)
-    ranked = pooled.withColumn("r", F.rank().over(w) + (F.count(F.lit(1)).over(ties) - 1) / 2.0)
+    # mid-rank: (first rank of the tie group + last rank of it) / 2, one ordered window
+    ranked = pooled.withColumn("r", (F.rank().over(w) + F.count(F.lit(1)).over(w)) / 2.0)
     agg = ranked.groupBy(*key).agg(
         F.sum(F.when(F.col("in_a"), F.col("r"))).alias("w"),
         F.count_if(F.col("in_a")).alias("n_a"),

@@ -124,25 +124,30 @@ def correlation(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ("com
     pairs = list(combinations(cols, 2))
     aggs = [F.corr(a, b).alias(f"{a}\u0001{b}") for a, b in pairs]
     wide = src.groupBy(*by).agg(*aggs)
-    stacked = F.inline(F.array(*[
-        F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"`{a}\u0001{b}`").alias("r"))
-        for a, b in pairs
-    ]))
-    upper = wide.select(*by, stacked)
-    lower = upper.select(*by, F.col("feature_b").alias("feature_a"), F.col("feature_a").alias("feature_b"), "r")
-    diag = src.groupBy(*by).count().select(
-        *by, F.explode(F.array(*[F.lit(c) for c in cols])).alias("feature_a"))
-    diag = diag.select(*by, "feature_a", F.col("feature_a").alias("feature_b"), F.lit(1.0).alias("r"))
-    return upper.unionByName(lower).unionByName(diag).withColumn("method", F.lit(method))
+
+    def cell(a, b, r):
+        return F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), r.alias("r"))
+
+    cells = []
+    for a, b in pairs:
+        r = F.col(f"`{a}\u0001{b}`")
+        cells += [cell(a, b, r), cell(b, a, r)]
+    cells += [cell(c, c, F.lit(1.0)) for c in cols]
+    # one aggregate, then one generator: every matrix cell from the same row
+    return wide.select(*by, F.inline(F.array(*cells))).withColumn("method", F.lit(method))
 
 
 def average_ranks(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
-    """Replace each column by its average rank (1-based, ties averaged) within ``by``."""
+    """Replace each column by its average rank (1-based, ties averaged) within ``by``.
+
+    (rank() + rows up to and including the ties) / 2, both over the same
+    ordered window (the default RANGE frame includes peers): one sort per
+    column and no extra shuffle for the ties.
+    """
     out = df
     for c in columns:
         w = Window.partitionBy(*by).orderBy(F.col(c))
-        tie = Window.partitionBy(*by, c)
-        out = out.withColumn(c, (F.rank().over(w) + (F.count(F.lit(1)).over(tie) - 1) / 2.0).cast("double"))
+        out = out.withColumn(c, ((F.rank().over(w) + F.count(F.lit(1)).over(w)) / 2.0).cast("double"))
     return out
 
 
