@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 from tickwise.operators.joins import bounded_broadcast
 from tickwise.operators.windows import future_frame
 from tickwise.schema import FORECAST_COMPONENTS
+from tickwise.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -229,6 +230,18 @@ def predict(model: DataFrame, history: DataFrame, spec: ForecastSpec = ForecastS
     return scored.select(*cols, F.col("company"))
 
 
-def forecast(history: DataFrame, spec: ForecastSpec = ForecastSpec()) -> DataFrame:
-    """Fit + predict for every company of ``history`` (ds, y, company)."""
-    return predict(fit(history, spec), history, spec)
+def forecast(history: DataFrame, spec: ForecastSpec = ForecastSpec(), materialize: bool = True) -> DataFrame:
+    """Fit + predict for every company of ``history`` (ds, y, company).
+
+    The history (companies x days) and the model (one row per company) are
+    each read several times by the plan; with ``materialize`` both are
+    written once to the shared checkpoint folder, so the source scan and the
+    Gram job run exactly once and a lost executor does not recompute them.
+    """
+    hist = history.select("ds", "y", "company")
+    if materialize:
+        hist = cut_lineage(hist)
+    model = fit(hist, spec)
+    if materialize:
+        model = cut_lineage(model)
+    return predict(model, hist, spec)

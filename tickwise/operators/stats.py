@@ -73,8 +73,9 @@ def histogram(df: DataFrame, column: str, bins: int = 10, by: Sequence[str] = ("
 def box_stats(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ("company",), k: float = 1.5) -> DataFrame:
     """A5: quartiles, IQR, whiskers and outlier count per (group, column).
 
-    Fences come from one aggregate; the outlier count is a second pass joined
-    on (group, metric) - both sides are one row per group x column.
+    Quartiles come from one aggregate (one row per group x column, joined
+    back - broadcast by size); the whisker/outlier aggregate carries them as
+    grouping keys, so no further join is needed.
     """
     lf = long_form(df, columns, by)
     v = F.col("value")
@@ -87,13 +88,13 @@ def box_stats(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ("compa
           .withColumn("lo_fence", F.col("q1") - F.lit(k) * F.col("iqr"))
           .withColumn("hi_fence", F.col("q3") + F.lit(k) * F.col("iqr")))
     inside = v.between(F.col("lo_fence"), F.col("hi_fence"))
-    agg = lf.join(q, list(by) + ["metric"]).groupBy(*by, "metric").agg(
+    keys = list(by) + ["metric", "q1", "median", "q3", "iqr", "lo_fence", "hi_fence"]
+    return lf.join(q, list(by) + ["metric"]).groupBy(*keys).agg(
         F.min(F.when(inside, v)).alias("whisker_lo"),
         F.max(F.when(inside, v)).alias("whisker_hi"),
         F.count_if(~inside).alias("outliers"),
         F.count(v).alias("n"),
     )
-    return q.join(agg, list(by) + ["metric"])
 
 
 def outlier_rows(df: DataFrame, column: str, by: Sequence[str] = ("company",), k: float = 1.5) -> DataFrame:

@@ -15,6 +15,7 @@ from tickwise.operators import clean, compare, joins, select, stats, windows
 from tickwise.plans import views as V
 from tickwise.plans.catalog import register
 from tickwise.schema import FEATURES, PRICE_COLUMNS
+from tickwise.session import cut_lineage
 from tickwise.sources.tables import Tables
 
 AS_OF = "2001-08-01"   # last day of the order history: fixed run date for look-backs
@@ -74,6 +75,13 @@ def _px(t: Tables) -> DataFrame:
     return V.prices(t)
 
 
+def once(df: DataFrame) -> DataFrame:
+    """Materialise a small derived table (e.g. companies x days) that a plan reads
+    several times: one reliable checkpoint in the shared folder instead of
+    re-scanning and re-aggregating the source tables per use."""
+    return cut_lineage(df)
+
+
 # ---------------------------------------------------------------------------
 # Projections / filters (P*)
 
@@ -183,7 +191,7 @@ calp AS (
 
 
 def _calendar(t):
-    return clean.calendar(_px(t))
+    return clean.calendar(once(_px(t)))
 
 
 @register("c1_drop_incomplete", views=("prices",), sql=f"""
@@ -202,7 +210,7 @@ SELECT DISTINCT {_PX_SELECT_SQL} FROM (
   SELECT * FROM prices WHERE date BETWEEN DATE '{AS_OF}' - {STUDY_DAYS} AND DATE '{AS_OF}')
 """)
 def c2_dedupe_overlapping_windows(t):
-    px = _px(t)
+    px = once(_px(t))
     both = windows.union_histories([select.history(px, None, "1998-01-01", "1999-12-31"),
                                     select.last_days(px, STUDY_DAYS, as_of=AS_OF)])
     return rounded(clean.dedupe(both))
@@ -257,8 +265,8 @@ SELECT CAST(count(*) AS BIGINT) AS rows,
 FROM u
 """)
 def c5_cleaning_report(t):
-    px = _px(t)
-    u = _calendar(t).unionByName(px.filter(F.year("date") == 1998).select(*_CAL_COLS))
+    px = once(_px(t))
+    u = clean.calendar(px).unionByName(px.filter(F.year("date") == 1998).select(*_CAL_COLS))
     return clean.cleaning_report(u)
 
 
@@ -314,7 +322,7 @@ SELECT company, CAST(unnest(generate_series(last + 1, last + 90, INTERVAL 1 DAY)
 FROM (SELECT company, max(date) AS last FROM prices GROUP BY company)
 """)
 def u2_future_frame(t):
-    return windows.future_frame(select.forecast_input(_px(t)), 90)
+    return windows.future_frame(once(select.forecast_input(_px(t))), 90)
 
 
 # ---------------------------------------------------------------------------

@@ -11,7 +11,7 @@ from tickwise.functions.special import two_sided_normal_p_sql
 from tickwise.operators import compare, joins, metrics, select, stats, windows
 from tickwise.plans import views as V
 from tickwise.plans.catalog import register
-from tickwise.plans.queries import CORR_COLUMNS, PRIORITIES, _PX_ROUND_SQL, rounded
+from tickwise.plans.queries import CORR_COLUMNS, PRIORITIES, _PX_ROUND_SQL, once, rounded
 from tickwise.schema import PRICE_COLUMNS
 
 # ---------------------------------------------------------------------------
@@ -79,7 +79,7 @@ SELECT company, bin, round(lo + bin * (hi - lo) / CAST(10.0 AS DOUBLE), 4) AS bi
 FROM b GROUP BY company, bin, lo, hi
 """)
 def a4_histogram_close(t):
-    return rounded(stats.histogram(V.prices(t), "close", 10))
+    return rounded(stats.histogram(once(V.prices(t)), "close", 10))
 
 
 def _box_sql(src: str, cols, by: str) -> str:
@@ -102,7 +102,7 @@ GROUP BY {', '.join('f.' + b.strip() for b in by.split(','))}, f.metric, q1, med
 
 @register("a5_box_stats", views=("prices",), sql=_box_sql("prices", ["close", "volume"], "company"))
 def a5_box_stats(t):
-    return rounded(stats.box_stats(V.prices(t), ["close", "volume"]))
+    return rounded(stats.box_stats(once(V.prices(t)), ["close", "volume"]))
 
 
 @register("a5_outlier_rows", views=("prices",), sql=f"""
@@ -113,7 +113,7 @@ FROM prices p JOIN f ON p.company = f.company
 WHERE p.volume < f.q1 - CAST(1.5 AS DOUBLE) * (f.q3 - f.q1) OR p.volume > f.q3 + CAST(1.5 AS DOUBLE) * (f.q3 - f.q1)
 """)
 def a5_outlier_rows(t):
-    return rounded(stats.outlier_rows(V.prices(t), "volume"))
+    return rounded(stats.outlier_rows(once(V.prices(t)), "volume"))
 
 
 def _corr_sql(src: str, method: str) -> str:
@@ -268,7 +268,7 @@ FROM frame f JOIN fit ON f.company = fit.company
 LEFT JOIN fi ON f.company = fi.company AND f.ds = fi.ds
 """)
 def j4_r2_actual_vs_trend(t):
-    fi = select.forecast_input(V.prices(t), "close")
+    fi = once(select.forecast_input(V.prices(t), "close"))
     x = F.unix_date("ds").cast("double")
     fit = fi.groupBy("company").agg(F.regr_slope("y", x).alias("slope"), F.regr_intercept("y", x).alias("intercept"))
     frame = windows.future_frame(fi, 30).join(fit, "company")
@@ -358,12 +358,12 @@ SELECT company, algo_a, algo_b, round(w, 4) AS w, n_a, n_b, round(z, 4) AS z, ro
 FROM pp
 """)
 def x2_x3_rank_sums(t):
-    return rounded(compare.verdict(compare.rank_sums(V.rmse_samples(t))))
+    return rounded(compare.verdict(compare.rank_sums(once(V.rmse_samples(t)))))
 
 
 @register("x4_box_samples", views=("rmse_samples",), sql=_box_sql("rmse_samples", ["rmse"], "company, algo"))
 def x4_box_samples(t):
-    return rounded(stats.box_stats(V.rmse_samples(t), ["rmse"], by=("company", "algo")))
+    return rounded(stats.box_stats(once(V.rmse_samples(t)), ["rmse"], by=("company", "algo")))
 
 
 # ---------------------------------------------------------------------------

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tickwise.operators import classify, decide, forecast, metrics, regress, select, windows
 from tickwise.plans import views as V
 from tickwise.plans.catalog import register
-from tickwise.plans.queries import AS_OF, SEGMENTS, rounded
+from tickwise.plans.queries import AS_OF, SEGMENTS, once, rounded
 from tickwise.schema import FEATURES
 from tickwise.sources.files import assemble
 
@@ -88,7 +88,7 @@ def m10_ml_evaluator_metrics(t):
 
 @register("m14_best_regressor_per_company")
 def m14_best_regressor_per_company(t):
-    px = V.prices(t)
+    px = once(V.prices(t))
     rows = []
     for c in SEGMENTS:
         res, _ = regress.fit_best(px.filter(F.col("company") == c), "lr", FEATURES, "close", "small",
@@ -100,7 +100,7 @@ def m14_best_regressor_per_company(t):
 
 @register("m15_repeated_experiment")
 def m15_repeated_experiment(t):
-    return rounded(regress.experiment(V.prices(t), SEGMENTS, ["lr", "ir"], runs=2, features=FEATURES,
+    return rounded(regress.experiment(once(V.prices(t)), SEGMENTS, ["lr", "ir"], runs=2, features=FEATURES,
                                       preset="small", threads=4))
 
 
