@@ -201,3 +201,23 @@ def m22_cluster_companies(t):
 @register("m22_silhouette_by_k")
 def m22_silhouette_by_k(t):
     return rounded(cluster.silhouette_by_k(cluster.company_features(V.prices25(t)), (2, 3, 4, 5)))
+
+
+# ---------------------------------------------------------------------------
+# M2 time-ordered split (closed form) and P15 prediction preview
+
+
+@register("m2_time_split_test_rows", views=("prices",), sql="""
+SELECT company, date, round(close, 4) AS close FROM (
+  SELECT company, date, close, percent_rank() OVER (PARTITION BY company ORDER BY date) AS pr FROM prices)
+WHERE pr >= 0.8
+""")
+def m2_time_split_test_rows(t):
+    _, test = regress.time_split(V.prices(t).select("company", "date", "close"), 0.2)
+    return rounded(test)
+
+
+@register("p15_prediction_preview")
+def p15_prediction_preview(t):
+    _, pred = _fit_predict(t, "lr")
+    return rounded(select.preview(pred.orderBy(*ML_KEYS), 20, ("prediction", "label", "features")))
