@@ -39,14 +39,16 @@ def with_day_fields(df: DataFrame) -> DataFrame:
 
     adjClose defaults to close (no corporate actions known) and
     unadjustedVolume to volume; ``adjust_for_actions`` refines adjClose.
+    One projection (a single analysis pass, one codegen'd Project).
     """
-    return (
-        df.withColumn("adjClose", F.col("close"))
-        .withColumn("unadjustedVolume", F.col("volume"))
-        .withColumn("change", change())
-        .withColumn("changePercent", change_percent())
-        .withColumn("vwap", typical_price())
-        .withColumn("changeOverTime", change_over_time())
+    return df.select(
+        *[F.col(c) for c in df.columns],
+        F.col("close").alias("adjClose"),
+        F.col("volume").alias("unadjustedVolume"),
+        change().alias("change"),
+        change_percent().alias("changePercent"),
+        typical_price().alias("vwap"),
+        change_over_time().alias("changeOverTime"),
     )
 
 

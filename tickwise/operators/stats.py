@@ -110,11 +110,13 @@ def outlier_rows(df: DataFrame, column: str, by: Sequence[str] = ("company",), k
 
 def correlation(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ("company",),
                 method: str = "pearson") -> DataFrame:
-    """Long correlation matrix (by..., feature_a, feature_b, method, r).
+    """Long correlation matrix (by..., feature_a, feature_b, r, method).
 
-    All pairs are computed in ONE aggregate (partial per partition).  For
-    Spearman the values are first replaced by average ranks within the group
-    (``rank`` + ties) - a window per (group, column) over one company's series.
+    Long form: each row is expanded to one (x, y) cell per column pair and a
+    single ``corr`` runs grouped by (group, pair).  The partial aggregate sits
+    right after the expansion in the same stage, so only one small buffer per
+    (group, pair) and task reaches the shuffle.  For Spearman the values are
+    first replaced by average ranks within the group.
     """
     cols = list(columns)
     src = df.select(*by, *cols)
@@ -123,19 +125,18 @@ def correlation(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ("com
     elif method != "pearson":
         raise ValueError(method)
     pairs = list(combinations(cols, 2))
-    aggs = [F.corr(a, b).alias(f"{a}\u0001{b}") for a, b in pairs]
-    wide = src.groupBy(*by).agg(*aggs)
-
-    def cell(a, b, r):
-        return F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), r.alias("r"))
-
-    cells = []
-    for a, b in pairs:
-        r = F.col(f"`{a}\u0001{b}`")
-        cells += [cell(a, b, r), cell(b, a, r)]
-    cells += [cell(c, c, F.lit(1.0)) for c in cols]
-    # one aggregate, then one generator: every matrix cell from the same row
-    return wide.select(*by, F.inline(F.array(*cells))).withColumn("method", F.lit(method))
+    # Built as SQL expression text: one JVM call instead of hundreds of tiny ones.
+    cells = ", ".join(f"named_struct('x', CAST(`{a}` AS DOUBLE), 'y', CAST(`{b}` AS DOUBLE))" for a, b in pairs)
+    long = src.select(*by, F.expr(f"posexplode(array({cells}))").alias("p", "xy"))
+    r = long.groupBy(*by, "p").agg(F.corr("xy.x", "xy.y").alias("r"))
+    names_a = ", ".join(f"'{a}'" for a, _ in pairs)
+    names_b = ", ".join(f"'{b}'" for _, b in pairs)
+    diag = ", ".join(f"named_struct('feature_a', '{c}', 'feature_b', '{c}', 'r', CAST(1.0 AS DOUBLE))" for c in cols)
+    na, nb = f"element_at(array({names_a}), p + 1)", f"element_at(array({names_b}), p + 1)"
+    both = (f"array(named_struct('feature_a', {na}, 'feature_b', {nb}, 'r', r), "
+            f"named_struct('feature_a', {nb}, 'feature_b', {na}, 'r', r))")
+    out = F.expr(f"inline(CASE WHEN p = 0 THEN concat({both}, array({diag})) ELSE {both} END)")
+    return r.select(*by, out).withColumn("method", F.lit(method))
 
 
 def average_ranks(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
@@ -143,13 +144,16 @@ def average_ranks(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> D
 
     (rank() + rows up to and including the ties) / 2, both over the same
     ordered window (the default RANGE frame includes peers): one sort per
-    column and no extra shuffle for the ties.
+    column, one shuffle on ``by`` for all of them, one projection.
     """
-    out = df
-    for c in columns:
-        w = Window.partitionBy(*by).orderBy(F.col(c))
-        out = out.withColumn(c, ((F.rank().over(w) + F.count(F.lit(1)).over(w)) / 2.0).cast("double"))
-    return out
+    ranked = []
+    for c in df.columns:
+        if c in columns:
+            w = Window.partitionBy(*by).orderBy(F.col(c))
+            ranked.append(((F.rank().over(w) + F.count(F.lit(1)).over(w)) / 2.0).cast("double").alias(c))
+        else:
+            ranked.append(F.col(c))
+    return df.select(*ranked)
 
 
 def redundant_pairs(corr_long: DataFrame, threshold: float = 0.8) -> DataFrame:

@@ -363,3 +363,18 @@ def f5_json_props(t):
         F.sum("k_path").cast("long").alias("sum_k"),
         F.max("p.k").alias("max_k"),
     )
+
+
+@register("p3_p13_u1_per_company_append", views=("prices",), sql=f"""
+SELECT company, date, {', '.join(f'round({c}, 4) AS {c}' for c in ('open', 'high', 'low', 'close', 'volume'))}
+FROM prices
+""")
+def p3_p13_u1_per_company_append(t):
+    """Per-company frames without a key (as a price service returns them), tagged
+    with a constant company column and appended by name; the API-only fields are
+    dropped."""
+    px = once(_px(t))
+    frames = [select.with_company(select.drop_columns(px.filter(F.col("company") == c), ["company"]), c)
+              for c in SEGMENTS]
+    dropped = ["adjClose", "unadjustedVolume", "change", "changePercent", "vwap", "changeOverTime"]
+    return rounded(select.drop_columns(windows.union_histories(frames), dropped))

@@ -24,6 +24,7 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str = DEFAULT_SF_DIR):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._frames: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
         if name not in TABLES:
@@ -32,7 +33,10 @@ class Tables:
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
-            return self.spark.read.parquet(self.path(name))
+            # one lazy reader per table and handle (file listing done once per query build)
+            if name not in self._frames:
+                self._frames[name] = self.spark.read.parquet(self.path(name))
+            return self._frames[name]
         raise AttributeError(name)
 
     def __getitem__(self, name: str) -> DataFrame:
