@@ -108,3 +108,12 @@ def test_box_stats_and_spearman_ties(spark):
     assert ranks == [1.5, 1.5, 3.0]
     r = {(x.feature_a, x.feature_b): x.r for x in stats.correlation(tied, ["u", "v"], method="spearman").collect()}
     assert math.isclose(r[("u", "v")], 0.8660254037844387) and r[("u", "u")] == 1.0
+
+
+def test_approximate_quantiles_close_to_exact(spark):
+    df = spark.range(0, 20001).selectExpr("'a' AS company", "CAST(id AS DOUBLE) AS close")
+    ex = stats.describe(df, ["close"]).first()
+    ap = stats.describe(df, ["close"], exact=False).first()
+    assert ex.median == 10000.0
+    assert abs(ap.median - ex.median) <= 20001 / 10000 + 1
+    assert abs(ap.q25 - ex.q25) <= 20001 / 10000 + 1

@@ -23,11 +23,25 @@ def long_form(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ("compa
     return df.unpivot(list(by), [F.col(c).cast("double").alias(c) for c in columns], name, value)
 
 
-def describe(df: DataFrame, columns: Sequence[str] = PRICE_COLUMNS, by: Sequence[str] = ("company",)) -> DataFrame:
-    """A1/A2: count, mean, sample std, min, quartiles (exact, linear), max per column.
+def quantile(v, q: float, exact: bool = True, accuracy: int = 10000):
+    """Exact (linear interpolation) or sketch-based quantile.
 
-    Unlike ``DataFrame.summary`` the quantiles are exact and the output is typed
-    and keeps the grouping.
+    Exact quantiles buffer a group's values in one task: use them for groups
+    bounded by design (one company's daily series).  ``exact=False`` uses
+    ``percentile_approx`` - a mergeable sketch of fixed size, partial-aggregated,
+    safe for groups of any size (relative rank error ~ 1/accuracy).
+    """
+    if exact:
+        return F.median(v) if q == 0.5 else F.percentile(v, q)
+    return F.percentile_approx(v, q, accuracy).cast("double")
+
+
+def describe(df: DataFrame, columns: Sequence[str] = PRICE_COLUMNS, by: Sequence[str] = ("company",),
+             exact: bool = True) -> DataFrame:
+    """A1/A2: count, mean, sample std, min, quartiles, max per column.
+
+    Unlike ``DataFrame.summary`` the quantiles are exact by default (linear
+    interpolation) and the output is typed and keeps the grouping.
     """
     v = F.col("value")
     return (
@@ -38,9 +52,9 @@ def describe(df: DataFrame, columns: Sequence[str] = PRICE_COLUMNS, by: Sequence
             F.avg(v).alias("mean"),
             F.stddev_samp(v).alias("std"),
             F.min(v).alias("min"),
-            F.percentile(v, 0.25).alias("q25"),
-            F.median(v).alias("median"),
-            F.percentile(v, 0.75).alias("q75"),
+            quantile(v, 0.25, exact).alias("q25"),
+            quantile(v, 0.5, exact).alias("median"),
+            quantile(v, 0.75, exact).alias("q75"),
             F.max(v).alias("max"),
         )
     )
@@ -70,7 +84,8 @@ def histogram(df: DataFrame, column: str, bins: int = 10, by: Sequence[str] = ("
     )
 
 
-def box_stats(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ("company",), k: float = 1.5) -> DataFrame:
+def box_stats(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ("company",), k: float = 1.5,
+              exact: bool = True) -> DataFrame:
     """A5: quartiles, IQR, whiskers and outlier count per (group, column).
 
     Quartiles come from one aggregate (one row per group x column, joined
@@ -80,9 +95,9 @@ def box_stats(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ("compa
     lf = long_form(df, columns, by)
     v = F.col("value")
     q = lf.groupBy(*by, "metric").agg(
-        F.percentile(v, 0.25).alias("q1"),
-        F.median(v).alias("median"),
-        F.percentile(v, 0.75).alias("q3"),
+        quantile(v, 0.25, exact).alias("q1"),
+        quantile(v, 0.5, exact).alias("median"),
+        quantile(v, 0.75, exact).alias("q3"),
     )
     q = (q.withColumn("iqr", F.col("q3") - F.col("q1"))
           .withColumn("lo_fence", F.col("q1") - F.lit(k) * F.col("iqr"))
@@ -97,11 +112,12 @@ def box_stats(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ("compa
     )
 
 
-def outlier_rows(df: DataFrame, column: str, by: Sequence[str] = ("company",), k: float = 1.5) -> DataFrame:
+def outlier_rows(df: DataFrame, column: str, by: Sequence[str] = ("company",), k: float = 1.5,
+                 exact: bool = True) -> DataFrame:
     """Rows of ``df`` whose ``column`` lies outside the 1.5*IQR fences of its group."""
     v = F.col(column)
     fences = df.groupBy(*by).agg(
-        F.percentile(v, 0.25).alias("_q1"), F.percentile(v, 0.75).alias("_q3"))
+        quantile(v, 0.25, exact).alias("_q1"), quantile(v, 0.75, exact).alias("_q3"))
     iqr = F.col("_q3") - F.col("_q1")
     return (df.join(fences, list(by))
             .filter((v < F.col("_q1") - F.lit(k) * iqr) | (v > F.col("_q3") + F.lit(k) * iqr))
@@ -167,9 +183,10 @@ def mean_by(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     return df.groupBy(*by).agg(F.avg(value).alias(f"mean_{value}"), F.count(value).alias("n"))
 
 
-def median_table(df: DataFrame, value: str, row: str, column: str, column_values: Sequence[str]) -> DataFrame:
+def median_table(df: DataFrame, value: str, row: str, column: str, column_values: Sequence[str],
+                 exact: bool = True) -> DataFrame:
     """A10: median of ``value`` as a row x column table (pivot with fixed values: one pass)."""
-    return df.groupBy(row).pivot(column, list(column_values)).agg(F.median(value))
+    return df.groupBy(row).pivot(column, list(column_values)).agg(quantile(F.col(value), 0.5, exact))
 
 
 def match_counts(df: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:

@@ -83,10 +83,15 @@ def profile(t: Tables) -> DataFrame:
 
 
 def ticks(t: Tables) -> DataFrame:
-    """Tick stream as a batch table: symbol = event type, price = value."""
+    """Tick stream as a batch table: symbol = event type, price = value.
+
+    Event time stays TIMESTAMP_NTZ in batch (window boundaries do not depend on
+    the session time zone); the streaming source casts to TIMESTAMP because
+    watermarks require it.
+    """
     return t.events.select(
         F.col("event_type").alias("symbol"),
-        F.col("ts").cast("timestamp").alias("ts"),
+        F.col("ts"),
         F.col("value").alias("price"),
         "user_id",
         "props",
