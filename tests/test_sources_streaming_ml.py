@@ -111,3 +111,20 @@ def test_regression_metrics_match_numpy(spark):
     assert np.isclose(r.r2, 1 - np.sum((l - p) ** 2) / np.sum((l - l.mean()) ** 2))
     mean_rmse = float(np.sqrt(np.mean((l - l.mean()) ** 2)))
     assert r.rmse < mean_rmse  # better than the mean predictor
+
+
+def test_co_located_join_needs_no_shuffle(spark, tables):
+    from tickwise.plans import views as V
+    from tickwise.sources.layout import co_located
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        t2 = co_located(tables, buckets=4, prefix="test")
+        o, c = t2.orders, t2.customer
+        j = o.join(c, o.o_custkey == c.c_custkey)
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert V.prices(t2).count() == V.prices(tables).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -7,6 +7,7 @@ to Catalyst, which pushes them into the parquet scan of each query.
 from __future__ import annotations
 
 import os
+from typing import Optional
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,10 +22,12 @@ DEFAULT_SF_DIR = "/root/testdata/sf0.01"
 class Tables:
     """Lazy handle on the parquet tables of one scale factor."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str = DEFAULT_SF_DIR):
+    def __init__(self, spark: SparkSession, sf_dir: str = DEFAULT_SF_DIR,
+                 overrides: Optional[dict[str, DataFrame]] = None):
         self.spark = spark
         self.sf_dir = sf_dir
-        self._frames: dict[str, DataFrame] = {}
+        # overrides: tables served from another layout (e.g. bucketed copies)
+        self._frames: dict[str, DataFrame] = dict(overrides or {})
 
     def path(self, name: str) -> str:
         if name not in TABLES:
