@@ -82,3 +82,16 @@ def test_ema_matches_pandas_and_rsi_bounds(spark):
     std = indicators.rolling_std(df, 20).toPandas().sort_values("date").std20.to_numpy()
     np.testing.assert_allclose(std[19:].astype(float), pd.Series(close).rolling(20).std(ddof=0).to_numpy()[19:],
                                rtol=1e-9)
+
+
+def test_decide_output_schema(spark, tables):
+    from tickwise.operators import decide
+    from tickwise.plans import views as V
+
+    out = decide.decide(V.prices(tables), "close", FC.ForecastSpec(periods=10),
+                        decide.DecideSpec(classifier="dt"), as_of="2001-08-01")
+    assert out.columns == decide.OUTPUT_COLUMNS and len(out.columns) == 31
+    rows = out.collect()
+    assert rows and {r.label for r in rows} <= {1, 2}
+    assert all(len(r.features) == 21 and len(r.probability) == 3 for r in rows)
+    assert {r.training_date for r in rows} == {dt.date(2001, 8, 1)}

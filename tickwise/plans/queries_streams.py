@@ -4,6 +4,8 @@ table; the oracle is the equivalent batch SQL."""
 
 from __future__ import annotations
 
+import time
+
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
@@ -101,3 +103,36 @@ def k7_stream_static_join_scoring(t):
         ((F.col("price") - F.col("avg_price")) / F.col("std_price")).alias("zscore"), "prediction")
     run = S.run_append(t.spark, _ntz(scored), "k7")
     return rounded(S.read_result(t.spark, run))
+
+
+@register("k6_late_ticks_dropped", views=("ticks",), sql="""
+WITH r AS (SELECT epoch_us(min(ts)) AS lo, epoch_us(max(ts)) AS hi FROM ticks),
+on_time AS (SELECT t.* FROM ticks t, r WHERE epoch_us(t.ts) >= r.lo + (r.hi - r.lo) // 2),
+b AS (
+  SELECT symbol, time_bucket(INTERVAL 5 MINUTE, ts) AS start,
+         round(arg_min(price, ts), 4) AS open, round(max(price), 4) AS high, round(min(price), 4) AS low,
+         round(arg_max(price, ts), 4) AS close, CAST(count(*) AS BIGINT) AS volume,
+         round(sum(price), 4) AS turnover
+  FROM on_time GROUP BY symbol, start)
+SELECT b.* FROM b WHERE b.start + INTERVAL 5 MINUTE <= (SELECT max(ts) FROM ticks) - INTERVAL 10 MINUTE
+""")
+def k6_late_ticks_dropped(t):
+    """The feed arrives out of order: the later half first (two files), the earlier
+    half last.  Once the watermark has passed them, the old ticks are dropped:
+    only bars of the on-time half are emitted."""
+    ev = t.events
+    lo, hi = ev.agg(F.min("ts"), F.max("ts")).first()  # two scalars
+    mid = lo + (hi - lo) // 2
+    q3 = lo + 3 * (hi - lo) // 4
+    feed = scratch(t.spark, "k6-feed")
+    parts = [(F.col("ts") >= F.lit(mid)) & (F.col("ts") < F.lit(q3)),
+             F.col("ts") >= F.lit(q3),
+             F.col("ts") < F.lit(mid)]
+    for i, cond in enumerate(parts):  # written in arrival order (oldest file first)
+        ev.filter(cond).coalesce(1).write.mode("overwrite").parquet(f"{feed}/part{i}")
+        time.sleep(1.1)  # distinct modification times
+    stream = (t.spark.readStream.schema(S.EVENTS_SCHEMA).option("maxFilesPerTrigger", 1)
+              .option("recursiveFileLookup", True).parquet(feed))
+    bars = S.streaming_bars(S.ticks_from_events(stream), "5min", "10 minutes")
+    run = S.run_append(t.spark, bars, "k6")
+    return rounded(S.read_result(t.spark, run))
