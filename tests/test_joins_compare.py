@@ -96,3 +96,20 @@ def test_rank_sums_match_brute_force(spark):
     assert r.verdict in ("not significant", "a lower", "b lower")
     if r.p_value <= 0.05:
         assert r.verdict == ("a lower" if z < 0 else "b lower")
+
+
+def test_bucketed_asof_equals_unbucketed(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(7)
+    px = spark.createDataFrame([(k, D(2020, 1, 1) + dt.timedelta(days=d), 1.0)
+                                for k in ("X", "Y") for d in range(0, 200, 3)], "company string, date date, close double")
+    fx = spark.createDataFrame([(k, D(2020, 1, 1) + dt.timedelta(days=d), rng.random())
+                                for k in ("X", "Y") for d in sorted(rng.sample(range(-20, 200), 15))],
+                               "pair string, date date, rate double")
+    a = joins.asof(px, fx, "company", "pair", "date", "date", ["rate"])
+    b = joins.asof(px, fx, "company", "pair", "date", "date", ["rate"], bucket=lambda c: F.trunc(c, "month"))
+    key = lambda r: (r.company, r.date)
+    ra, rb = sorted(a.collect(), key=key), sorted(b.collect(), key=key)
+    assert [(r.company, r.date, r.rate, r.date_asof) for r in ra] == [(r.company, r.date, r.rate, r.date_asof) for r in rb]
+    assert any(r.rate is None for r in ra) and any(r.rate is not None for r in ra)

@@ -9,9 +9,9 @@ never emit pairs.
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import Callable, Optional, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -33,29 +33,66 @@ def enrich(prices: DataFrame, profile: DataFrame, key: str = "company", profile_
 
 
 def asof(left: DataFrame, right: DataFrame, left_key: str, right_key: str, left_time: str, right_time: str,
-         values: Sequence[str]) -> DataFrame:
+         values: Sequence[str], bucket: Optional[Callable[[Column], Column]] = None) -> DataFrame:
     """For each left row, the latest right row with right_time <= left_time.
 
     Union both sides tagged with their origin, order by (key, time, origin) so a
     right row sorts before a left row of the same time, and carry the right
-    values forward with ``last(ignorenulls)``.  One sort per key, no pairs; the
-    window partition is one series (bounded by its observation count).
+    values forward with ``last(ignorenulls)``.  One sort, no pairs.
+
+    ``bucket`` (e.g. ``lambda t: F.date_trunc("month", t)``) bounds the window
+    partitions for long series: the window runs per (key, bucket); a left row
+    with no right row earlier in its own bucket takes the value carried from
+    previous buckets, found by the same as-of over a small per-bucket summary
+    (one row per key and bucket).
     """
-    lcols = left.columns
     vals = list(values)
-    l = left.select(*[F.col(c) for c in lcols],
+    if bucket is None:
+        return _asof_window(left, right, left_key, right_key, left_time, right_time, vals, [])
+    lb = left.withColumn("_b", bucket(F.col(left_time)))
+    rb = right.withColumn("_b", bucket(F.col(right_time)))
+    inner = _asof_window(lb, rb, left_key, right_key, left_time, right_time, vals, ["_b"])
+    # last right row of every (key, bucket): tiny, one row per key and bucket
+    last = F.max_by(F.struct(*[F.col(v) for v in vals], F.col(right_time).alias("_rt")), F.col(right_time))
+    summary = rb.groupBy(F.col(right_key).alias("_k"), "_b").agg(last.alias("_last"))
+    summary = summary.select("_k", "_b", *[F.col(f"_last.{v}").alias(v) for v in vals],
+                             F.col("_last._rt").alias(right_time))
+    # distinct (key, bucket) of the left side; carried value = as-of over buckets (strictly earlier)
+    marks = lb.select(F.col(left_key).alias("_k"), "_b").distinct()
+    w = (Window.partitionBy("_k").orderBy("_b", "_side")
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    u = (marks.select("_k", "_b", F.lit(0).alias("_side"),
+                      *[F.lit(None).cast(right.schema[v].dataType).alias(v) for v in vals],
+                      F.lit(None).cast(right.schema[right_time].dataType).alias(right_time))
+         .unionByName(summary.select("_k", "_b", F.lit(1).alias("_side"), *vals, right_time)))
+    carried = u.select("_k", "_b", "_side",
+                       *[F.last(v, ignorenulls=True).over(w).alias(f"_c_{v}") for v in vals],
+                       F.last(right_time, ignorenulls=True).over(w).alias("_c_time"))
+    carried = carried.filter(F.col("_side") == 0).drop("_side")
+    out = inner.join(carried, (inner[left_key] == carried["_k"]) & (inner["_b"] == carried["_b"]), "left")
+    asof_time = f"{right_time}_asof"
+    fill = [F.col(c) for c in left.columns]
+    fill += [F.when(F.col(asof_time).isNull(), F.col(f"_c_{v}")).otherwise(F.col(v)).alias(v) for v in vals]
+    fill += [F.coalesce(F.col(asof_time), F.col("_c_time")).alias(asof_time)]
+    return out.select(*fill)
+
+
+def _asof_window(left: DataFrame, right: DataFrame, left_key: str, right_key: str, left_time: str,
+                 right_time: str, vals: list, extra: list) -> DataFrame:
+    lcols = [c for c in left.columns if c not in extra]
+    l = left.select(*[F.col(c) for c in lcols], *extra,
                     F.col(left_key).alias("_k"), F.col(left_time).alias("_t"), F.lit(1).alias("_side"),
                     *[F.lit(None).cast(right.schema[v].dataType).alias(f"_v_{v}") for v in vals],
                     F.lit(None).cast(right.schema[right_time].dataType).alias("_v_time"))
-    r = right.select(*[F.lit(None).cast(left.schema[c].dataType).alias(c) for c in lcols],
+    r = right.select(*[F.lit(None).cast(left.schema[c].dataType).alias(c) for c in lcols], *extra,
                      F.col(right_key).alias("_k"), F.col(right_time).alias("_t"), F.lit(0).alias("_side"),
                      *[F.col(v).alias(f"_v_{v}") for v in vals],
                      F.col(right_time).alias("_v_time"))
-    w = (Window.partitionBy("_k").orderBy("_t", "_side")
+    w = (Window.partitionBy("_k", *extra).orderBy("_t", "_side")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     u = l.unionByName(r)
     carried = u.select(
-        *lcols, "_side",
+        *lcols, *extra, "_side",
         *[F.last(f"_v_{v}", ignorenulls=True).over(w).alias(v) for v in vals],
         F.last("_v_time", ignorenulls=True).over(w).alias(f"{right_time}_asof"),
     )

@@ -235,7 +235,9 @@ FROM prices25 p ASOF LEFT JOIN fx f ON p.company = f.pair AND p.date >= f.date
 """)
 def j2_asof_fx(t):
     px = V.prices25(t).select("company", "date", "close")
-    out = joins.asof(px, V.fx(t), "company", "pair", "date", "date", ["rate"])
+    # monthly buckets keep every window partition to one company-month
+    out = joins.asof(px, V.fx(t), "company", "pair", "date", "date", ["rate"],
+                     bucket=lambda d: F.trunc(d, "month"))
     return rounded(out.withColumn("close_fx", F.col("close") * F.col("rate")))
 
 
