@@ -129,7 +129,9 @@ def recursive_indicators(df: DataFrame, n_ema: int = 10, n_rsi: int = 14, n_adx:
 
     key_types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     schema = f"{by} {key_types[by]}, {order} {key_types[order]}, " + ", ".join(f"{n} double" for n in names)
-    return (df.select(by, order, "high", "low", "close").groupBy(by).applyInPandas(scan, schema))
+    out = df.select(by, order, "high", "low", "close").groupBy(by).applyInPandas(scan, schema)
+    # undefined values (first rows) as NULL, not NaN
+    return out.select(by, order, *[F.nanvl(F.col(n), F.lit(None).cast("double")).alias(n) for n in names])
 
 
 def ema(df: DataFrame, n: int = 10, by: str = "company", order: str = "date") -> DataFrame:

@@ -489,6 +489,60 @@ def w7_ema(t):
     return rounded(indicators.ema(V.prices(t), 10))
 
 
-@register("w9_w11_w12_wilder_indicators")
+_AN = 1.0 / 14.0
+
+
+def _c(x: float) -> str:
+    return f"CAST('{x!r}' AS DOUBLE)"
+
+
+_WILDER_SQL = f"""
+WITH RECURSIVE s AS (
+  SELECT company, date, close, high, low, row_number() OVER (PARTITION BY company ORDER BY date) AS rn FROM prices),
+r AS (
+  SELECT company, rn, date, close, high, low, close AS e1, close AS e2, close AS e3,
+         CAST(NULL AS DOUBLE) AS ag, CAST(NULL AS DOUBLE) AS al, CAST(NULL AS DOUBLE) AS atr,
+         CAST(NULL AS DOUBLE) AS sp, CAST(NULL AS DOUBLE) AS sm, CAST(NULL AS DOUBLE) AS adx
+  FROM s WHERE rn = 1
+  UNION ALL
+  SELECT company, rn, date, close, high, low, e1, e2, {_c(_EMA_A)} * e2 + {_c(1.0 - _EMA_A)} * pe3 AS e3,
+         ag, al, atr, sp, sm,
+         CASE WHEN padx IS NULL THEN dx ELSE {_c(_AN)} * dx + {_c(1.0 - _AN)} * padx END AS adx
+  FROM (
+    SELECT *, {_c(_EMA_A)} * e1 + {_c(1.0 - _EMA_A)} * pe2 AS e2,
+           CASE WHEN pdi + mdi = 0 THEN CAST(0.0 AS DOUBLE)
+                ELSE CAST(100.0 AS DOUBLE) * abs(pdi - mdi) / (pdi + mdi) END AS dx
+    FROM (
+      SELECT *, CAST(100.0 AS DOUBLE) * sp / atr AS pdi, CAST(100.0 AS DOUBLE) * sm / atr AS mdi
+      FROM (
+        SELECT company, rn, date, close, high, low, e1, pe2, pe3, padx,
+               CASE WHEN pag IS NULL THEN gain ELSE {_c(_AN)} * gain + {_c(1.0 - _AN)} * pag END AS ag,
+               CASE WHEN pal IS NULL THEN loss ELSE {_c(_AN)} * loss + {_c(1.0 - _AN)} * pal END AS al,
+               CASE WHEN patr IS NULL THEN tr ELSE {_c(_AN)} * tr + {_c(1.0 - _AN)} * patr END AS atr,
+               CASE WHEN psp IS NULL THEN pdm ELSE {_c(_AN)} * pdm + {_c(1.0 - _AN)} * psp END AS sp,
+               CASE WHEN psm IS NULL THEN mdm ELSE {_c(_AN)} * mdm + {_c(1.0 - _AN)} * psm END AS sm
+        FROM (
+          SELECT s.company, s.rn, s.date, s.close, s.high, s.low,
+                 {_c(_EMA_A)} * s.close + {_c(1.0 - _EMA_A)} * r.e1 AS e1,
+                 r.e2 AS pe2, r.e3 AS pe3, r.adx AS padx, r.ag AS pag, r.al AS pal, r.atr AS patr,
+                 r.sp AS psp, r.sm AS psm,
+                 CASE WHEN s.close - r.close > 0 THEN s.close - r.close ELSE CAST(0.0 AS DOUBLE) END AS gain,
+                 CASE WHEN s.close - r.close < 0 THEN -(s.close - r.close) ELSE CAST(0.0 AS DOUBLE) END AS loss,
+                 greatest(s.high - s.low, abs(s.high - r.close), abs(s.low - r.close)) AS tr,
+                 CASE WHEN s.high - r.high > r.low - s.low AND s.high - r.high > 0 THEN s.high - r.high
+                      ELSE CAST(0.0 AS DOUBLE) END AS pdm,
+                 CASE WHEN r.low - s.low > s.high - r.high AND r.low - s.low > 0 THEN r.low - s.low
+                      ELSE CAST(0.0 AS DOUBLE) END AS mdm
+          FROM r JOIN s ON s.company = r.company AND s.rn = r.rn + 1)))))
+SELECT company, date, round(e1, 4) AS ema10, round(2 * e1 - e2, 4) AS dema10,
+       round(3 * e1 - 3 * e2 + e3, 4) AS tema10,
+       round(CASE WHEN al = 0 THEN CAST(100.0 AS DOUBLE)
+                  ELSE CAST(100.0 AS DOUBLE) - CAST(100.0 AS DOUBLE) / (CAST(1.0 AS DOUBLE) + ag / al) END, 4) AS rsi14,
+       round(adx, 4) AS adx14
+FROM r
+"""
+
+
+@register("w9_w11_w12_wilder_indicators", views=("prices",), sql=_WILDER_SQL)
 def w9_w11_w12_wilder_indicators(t):
     return rounded(indicators.recursive_indicators(V.prices(t)))
