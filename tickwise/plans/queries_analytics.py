@@ -210,7 +210,7 @@ FROM prices25 p JOIN profile f ON p.company = f.ticker
 GROUP BY ROLLUP (f.sector, year)
 """)
 def a13_rollup_sector_year(t):
-    df = joins.enrich(V.prices25(t), V.profile(t), how="inner").withColumn("year", F.year("date"))
+    df = joins.enrich(V.prices25(t), once(V.profile(t)), how="inner").withColumn("year", F.year("date"))
     out = stats.grid_rollup(df, "sector", "year", "volume")
     return rounded(out.withColumn("level", F.col("level").cast("int")))
 
@@ -225,7 +225,7 @@ FROM prices25 p LEFT JOIN profile f ON p.company = f.ticker
 """)
 def j1_enrich_profile(t):
     px = V.prices25(t).select("company", "date", "close")
-    return rounded(joins.enrich(px, V.profile(t).select("ticker", "sector", "name", "price")))
+    return rounded(joins.enrich(px, once(V.profile(t).select("ticker", "sector", "name", "price"))))
 
 
 @register("j2_asof_fx", views=("prices25", "fx"), sql="""
@@ -234,9 +234,10 @@ SELECT p.company, p.date, round(p.close, 4) AS close, round(f.rate, 4) AS rate,
 FROM prices25 p ASOF LEFT JOIN fx f ON p.company = f.pair AND p.date >= f.date
 """)
 def j2_asof_fx(t):
-    px = V.prices25(t).select("company", "date", "close")
+    # both inputs are read twice by the bucketed plan: materialise them once
+    px = once(V.prices25(t).select("company", "date", "close"))
     # monthly buckets keep every window partition to one company-month
-    out = joins.asof(px, V.fx(t), "company", "pair", "date", "date", ["rate"],
+    out = joins.asof(px, once(V.fx(t)), "company", "pair", "date", "date", ["rate"],
                      bucket=lambda d: F.trunc(d, "month"))
     return rounded(out.withColumn("close_fx", F.col("close") * F.col("rate")))
 

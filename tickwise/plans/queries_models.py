@@ -195,12 +195,12 @@ def m22_company_features(t):
 
 @register("m22_cluster_companies")
 def m22_cluster_companies(t):
-    return cluster.cluster(cluster.company_features(V.prices25(t)), k=4, seed=42)
+    return cluster.cluster(once(cluster.company_features(V.prices25(t))), k=4, seed=42)
 
 
 @register("m22_silhouette_by_k")
 def m22_silhouette_by_k(t):
-    return rounded(cluster.silhouette_by_k(cluster.company_features(V.prices25(t)), (2, 3, 4, 5)))
+    return rounded(cluster.silhouette_by_k(once(cluster.company_features(V.prices25(t))), (2, 3, 4, 5)))
 
 
 # ---------------------------------------------------------------------------

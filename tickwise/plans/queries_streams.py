@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tickwise.plans import views as V
 from tickwise.plans.catalog import register
-from tickwise.plans.queries import rounded
+from tickwise.plans.queries import once, rounded
 from tickwise.sources.files import scratch
 from tickwise.streaming import ticks as S
 
@@ -87,7 +87,9 @@ def k5_dedupe_replayed_feed(t):
 def k7_stream_static_join_scoring(t):
     """Stream joined with per-symbol history (batch), then scored by a saved pipeline."""
     hist = V.ticks(t)
-    static = hist.groupBy("symbol").agg(F.avg("price").alias("avg_price"), F.stddev("price").alias("std_price"))
+    # the static side is joined in every micro-batch: materialise it once
+    static = once(hist.groupBy("symbol").agg(F.avg("price").alias("avg_price"),
+                                             F.stddev("price").alias("std_price")))
     feats = lambda df: df.withColumn("hour", F.hour("ts").cast("double")).withColumn(
         "uid", F.col("user_id").cast("double"))
     model = Pipeline(stages=[VectorAssembler(inputCols=["uid", "hour"], outputCol="features"),
