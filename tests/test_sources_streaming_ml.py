@@ -128,3 +128,19 @@ def test_co_located_join_needs_no_shuffle(spark, tables):
         assert V.prices(t2).count() == V.prices(tables).count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_lagged_features_use_previous_day(spark):
+    rows = [("a", dt.date(2020, 1, d), float(d), float(10 * d)) for d in range(1, 6)]
+    df = spark.createDataFrame(rows, "company string, date date, close double, high double")
+    out, names = regress.lagged_features(df, ["high"])
+    got = sorted((r.date.day, r.prev_high) for r in out.collect())
+    assert names == ["prev_high"] and got == [(2, 10.0), (3, 20.0), (4, 30.0), (5, 40.0)]
+
+
+def test_isotonic_feature_by_name(spark):
+    rng = np.random.default_rng(3)
+    rows = [("a", float(i), float(rng.normal()), float(i) + float(rng.normal(0, 0.1))) for i in range(60)]
+    df = spark.createDataFrame(rows, "company string, x double, noise double, close double")
+    res, pred = regress.fit_best(df, "ir", ["noise", "x"], "close", isotonic_feature="x")
+    assert res.rmse < 1.0 and res.params.get("featureIndex") == "1"

@@ -221,3 +221,12 @@ def m2_time_split_test_rows(t):
 def p15_prediction_preview(t):
     _, pred = _fit_predict(t, "lr")
     return rounded(select.preview(pred.orderBy(*ML_KEYS), 20, ("prediction", "label", "features")))
+
+
+@register("m3_q12_lagged_feature_regression")
+def m3_q12_lagged_feature_regression(t):
+    """Next-day close from the previous day's fields only (no same-day leakage)."""
+    data, names = regress.lagged_features(V.prices(t), list(FEATURES))
+    train, test = regress.hash_split(data, ["company", "date"], 0.3)
+    model = regress.pipeline(names, "lr", label="close").fit(train)
+    return rounded(model.transform(test).select("company", "date", F.col("close").alias("label"), "prediction"))
