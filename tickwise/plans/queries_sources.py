@@ -70,17 +70,17 @@ def s9_s3_ml_csv_roundtrip(t):
     return rounded(back.select(*[F.col(c).cast("double").alias(c) for c in back.columns]))
 
 
-@register("s4_yfinance_csv_schema", views=("prices",), sql="""
+@register("s4_ohlcv_csv_schema", views=("prices",), sql="""
 SELECT date AS "Date", round(open, 4) AS "Open", round(high, 4) AS "High", round(low, 4) AS "Low",
        round(close, 4) AS "Close", round(adjClose, 4) AS "Adj Close", CAST(volume AS BIGINT) AS "Volume"
 FROM prices WHERE company = 'BUILDING'
 """)
-def s4_yfinance_csv_schema(t):
+def s4_ohlcv_csv_schema(t):
     px = V.prices(t).filter(F.col("company") == "BUILDING")
     out = px.select(F.col("date").alias("Date"), F.col("open").alias("Open"), F.col("high").alias("High"),
                     F.col("low").alias("Low"), F.col("close").alias("Close"), F.col("adjClose").alias("Adj Close"),
                     F.col("volume").cast("long").alias("Volume"))
-    path = files.scratch(t.spark, "yfinance-csv")
+    path = files.scratch(t.spark, "ohlcv-csv")
     files.write_csv(out, path)
     return rounded(files.read_csv(t.spark, path))
 

@@ -73,7 +73,7 @@ PROFILE_SOURCE = T.StructType([
     T.StructField("website", T.StringType()),
 ])
 
-YFINANCE_SCHEMA = T.StructType([
+OHLCV_CSV_SCHEMA = T.StructType([
     T.StructField("Date", T.DateType()),
     T.StructField("Open", _D), T.StructField("High", _D), T.StructField("Low", _D),
     T.StructField("Close", _D), T.StructField("Adj Close", _D),

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tickwise.functions.columns import libsvm_line
 from tickwise.schema import (FEATURES, HISTORY_DOCUMENT, PRICE_COLUMNS, PROFILE_FIELDS, PROFILE_SOURCE,
-                             PROFILE_SOURCE_KEYS, YFINANCE_SCHEMA)
+                             PROFILE_SOURCE_KEYS, OHLCV_CSV_SCHEMA)
 from tickwise.session import scratch_path
 
 # ---------------------------------------------------------------------------
@@ -39,7 +39,7 @@ def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("inferSchema", True).csv(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema=YFINANCE_SCHEMA, date_format: str = "yyyy-MM-dd") -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema=OHLCV_CSV_SCHEMA, date_format: str = "yyyy-MM-dd") -> DataFrame:
     """CSV with an explicit schema (one pass)."""
     return spark.read.schema(schema).option("header", True).option("dateFormat", date_format).csv(path)
 
