@@ -27,3 +27,13 @@ def test_views_are_consistent(tables):
     assert bad == 0
     assert px.select("company").distinct().count() == 5
     assert px.groupBy("company", "date").count().filter("count > 1").count() == 0
+
+
+def test_scale_conf_sizes_partitions():
+    from tickwise.session import scale_conf
+
+    c = scale_conf(100 * 1024 ** 4, 8000)
+    parts = int(c["spark.sql.shuffle.partitions"])
+    assert parts % 8000 == 0 and 100 * 1024 ** 4 / parts <= 256 * 1024 ** 2
+    small = scale_conf(10 * 1024 ** 2, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16

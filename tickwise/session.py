@@ -24,6 +24,29 @@ SESSION_DEFAULTS = {
 }
 
 
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Partition sizing for a given input size and cluster.
+
+    * file splits of ``target_partition_bytes`` (scan tasks fit executor memory);
+    * an initial shuffle partition count that keeps every shuffle partition at
+      or below the target even before AQE (rounded to a multiple of the cores,
+      at least 2 waves); AQE then coalesces small partitions to the advisory
+      size and splits skewed ones (skew join).
+    E.g. 100 TB on 8,000 cores -> ~400k initial partitions, 256 MB each.
+    """
+    parts = max(2 * total_cores, -(-int(input_bytes) // target_partition_bytes))
+    parts = -(-parts // total_cores) * total_cores
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tickwise") -> SparkSession:
     """A local session for tests and the bench (single JVM)."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
