@@ -22,12 +22,21 @@ AS_OF = "2001-08-01"   # last day of the order history: fixed run date for look-
 STUDY_DAYS = 1825      # look-back of the regression study
 
 
-def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
-    """Round every floating column (stable value hashes across engines)."""
+# Interpolated quantiles of 4-decimal data have at most 6 decimals (fractions
+# .25/.5/.75) and 1.5 x IQR fences at most 7; rounding them at 8 decimals never
+# meets a decimal tie, whatever the engine's interpolation formula.
+QUANTILE_DIGITS = 8
+
+
+def rounded(df: DataFrame, digits: int = 4, **per_column: int) -> DataFrame:
+    """Round every floating column (stable value hashes across engines).
+
+    ``per_column`` overrides the number of digits for named columns.
+    """
     out = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            out.append(r4(F.col(f"`{f.name}`"), digits).alias(f.name))
+            out.append(r4(F.col(f"`{f.name}`"), per_column.get(f.name, digits)).alias(f.name))
         else:
             out.append(F.col(f"`{f.name}`"))
     return df.select(*out)
@@ -49,14 +58,15 @@ WITH recent AS (
   WHERE date BETWEEN DATE '{AS_OF}' - {STUDY_DAYS} AND DATE '{AS_OF}')
 SELECT company, metric, count(value) AS count, round(avg(value), 4) AS mean,
        round(stddev_samp(value), 4) AS std, round(min(value), 4) AS min,
-       round(quantile_cont(value, 0.25), 4) AS q25, round(median(value), 4) AS median,
-       round(quantile_cont(value, 0.75), 4) AS q75, round(max(value), 4) AS max
+       round(quantile_cont(value, 0.25), 8) AS q25, round(median(value), 8) AS median,
+       round(quantile_cont(value, 0.75), 8) AS q75, round(max(value), 4) AS max
 FROM {_unpivot_sql('recent', PRICE_COLUMNS)}
 GROUP BY company, metric
 """)
 def a1_describe_lookback(t: Tables) -> DataFrame:
     recent = select.last_days(V.prices(t), STUDY_DAYS, as_of=AS_OF)
-    return rounded(stats.describe(recent, PRICE_COLUMNS))
+    q = QUANTILE_DIGITS
+    return rounded(stats.describe(recent, PRICE_COLUMNS), q25=q, median=q, q75=q)
 
 
 def _r(cols, digits: int = 4, prefix: str = "") -> str:

@@ -11,7 +11,7 @@ from tickwise.functions.special import two_sided_normal_p_sql
 from tickwise.operators import compare, joins, metrics, select, stats, windows
 from tickwise.plans import views as V
 from tickwise.plans.catalog import register
-from tickwise.plans.queries import CORR_COLUMNS, PRIORITIES, _PX_ROUND_SQL, once, rounded
+from tickwise.plans.queries import CORR_COLUMNS, PRIORITIES, QUANTILE_DIGITS, _PX_ROUND_SQL, once, rounded
 from tickwise.schema import PRICE_COLUMNS
 
 # ---------------------------------------------------------------------------
@@ -82,15 +82,21 @@ def a4_histogram_close(t):
     return rounded(stats.histogram(once(V.prices(t)), "close", 10))
 
 
+_BOX_Q = dict(q1=QUANTILE_DIGITS + 2, median=QUANTILE_DIGITS + 2, q3=QUANTILE_DIGITS + 2,
+              iqr=QUANTILE_DIGITS + 2, lo_fence=QUANTILE_DIGITS + 2, hi_fence=QUANTILE_DIGITS + 2)
+
+
 def _box_sql(src: str, cols, by: str) -> str:
+    QD = QUANTILE_DIGITS + 2
     return f"""
 WITH lf AS (UNPIVOT (SELECT {by}, {', '.join(cols)} FROM {src}) ON {', '.join(cols)} INTO NAME metric VALUE value),
 q AS (SELECT {by}, metric, quantile_cont(value, 0.25) AS q1, median(value) AS median,
              quantile_cont(value, 0.75) AS q3 FROM lf GROUP BY {by}, metric),
 f AS (SELECT *, q3 - q1 AS iqr, q1 - CAST(1.5 AS DOUBLE) * (q3 - q1) AS lo_fence,
              q3 + CAST(1.5 AS DOUBLE) * (q3 - q1) AS hi_fence FROM q)
-SELECT {', '.join('f.' + b.strip() for b in by.split(','))}, f.metric, round(q1, 4) AS q1, round(median, 4) AS median,
-       round(q3, 4) AS q3, round(iqr, 4) AS iqr, round(lo_fence, 4) AS lo_fence, round(hi_fence, 4) AS hi_fence,
+SELECT {', '.join('f.' + b.strip() for b in by.split(','))}, f.metric, round(q1, {QD}) AS q1,
+       round(median, {QD}) AS median, round(q3, {QD}) AS q3, round(iqr, {QD}) AS iqr,
+       round(lo_fence, {QD}) AS lo_fence, round(hi_fence, {QD}) AS hi_fence,
        round(min(value) FILTER (WHERE value BETWEEN lo_fence AND hi_fence), 4) AS whisker_lo,
        round(max(value) FILTER (WHERE value BETWEEN lo_fence AND hi_fence), 4) AS whisker_hi,
        CAST(count(*) FILTER (WHERE NOT (value BETWEEN lo_fence AND hi_fence)) AS BIGINT) AS outliers,
@@ -102,7 +108,7 @@ GROUP BY {', '.join('f.' + b.strip() for b in by.split(','))}, f.metric, q1, med
 
 @register("a5_box_stats", views=("prices",), sql=_box_sql("prices", ["close", "volume"], "company"))
 def a5_box_stats(t):
-    return rounded(stats.box_stats(once(V.prices(t)), ["close", "volume"]))
+    return rounded(stats.box_stats(once(V.prices(t)), ["close", "volume"]), **_BOX_Q)
 
 
 @register("a5_outlier_rows", views=("prices",), sql=f"""
@@ -182,11 +188,11 @@ def a9_match_counts(t):
 
 
 @register("a10_x4_median_table", views=("rmse_samples",), sql=f"""
-SELECT company, {', '.join(f"round(median(rmse) FILTER (WHERE algo = '{a}'), 4) AS \"{a}\"" for a in PRIORITIES)}
+SELECT company, {', '.join(f"round(median(rmse) FILTER (WHERE algo = '{a}'), {QUANTILE_DIGITS}) AS \"{a}\"" for a in PRIORITIES)}
 FROM rmse_samples GROUP BY company
 """)
 def a10_x4_median_table(t):
-    return rounded(stats.median_table(V.rmse_samples(t), "rmse", "company", "algo", PRIORITIES))
+    return rounded(stats.median_table(V.rmse_samples(t), "rmse", "company", "algo", PRIORITIES), QUANTILE_DIGITS)
 
 
 _ML_COLS = ("label", "quantity", "discount", "tax", "p_size", "p_retailprice")
@@ -366,7 +372,7 @@ def x2_x3_rank_sums(t):
 
 @register("x4_box_samples", views=("rmse_samples",), sql=_box_sql("rmse_samples", ["rmse"], "company, algo"))
 def x4_box_samples(t):
-    return rounded(stats.box_stats(once(V.rmse_samples(t)), ["rmse"], by=("company", "algo")))
+    return rounded(stats.box_stats(once(V.rmse_samples(t)), ["rmse"], by=("company", "algo")), **_BOX_Q)
 
 
 # ---------------------------------------------------------------------------
