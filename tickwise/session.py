@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -77,6 +79,37 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_SHIPPED: set[str] = set()
+_SHIP_LOCK = threading.Lock()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tickwise`` importable in executor Python workers (once per application).
+
+    Pandas UDFs / ``mapInPandas`` functions reference package modules; the
+    package is zipped on the driver and distributed by Spark (``addPyFile``),
+    which is what a cluster needs when the library is not installed on the
+    executors' images.  Harmless when it is.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    with _SHIP_LOCK:
+        if app in _SHIPPED:
+            return
+        pkg = os.path.dirname(os.path.abspath(__file__))
+        root = os.path.dirname(pkg)
+        fd, zpath = tempfile.mkstemp(prefix="tickwise-", suffix=".zip")
+        os.close(fd)
+        with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+            for d, _, names in os.walk(pkg):
+                for n in names:
+                    if n.endswith(".py"):
+                        full = os.path.join(d, n)
+                        z.write(full, os.path.relpath(full, root))
+        sc.addPyFile(zpath)
+        _SHIPPED.add(app)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -11,6 +11,8 @@ from typing import Optional
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tickwise.session import ship_package
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -26,6 +28,7 @@ class Tables:
                  overrides: Optional[dict[str, DataFrame]] = None):
         self.spark = spark
         self.sf_dir = sf_dir
+        ship_package(spark)  # UDF code must be importable on the executors
         # overrides: tables served from another layout (e.g. bucketed copies)
         self._frames: dict[str, DataFrame] = dict(overrides or {})
 

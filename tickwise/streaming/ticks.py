@@ -106,26 +106,45 @@ class StreamRun:
     checkpoint: str
 
 
-def run_append(spark: SparkSession, df: DataFrame, what: str, fmt: str = "parquet") -> StreamRun:
+def _start(spark: SparkSession, writer, state_partitions: Optional[int]):
+    """Start a stream with a given number of state-store partitions.
+
+    A stream fixes its stateful partition count when it starts (Spark keeps it
+    in the checkpoint for restarts); size it to the cluster's cores rather than
+    the batch shuffle default.  The session setting is restored right after.
+    """
+    n = state_partitions or spark.sparkContext.defaultParallelism
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, old)
+
+
+def run_append(spark: SparkSession, df: DataFrame, what: str, fmt: str = "parquet",
+               state_partitions: Optional[int] = None) -> StreamRun:
     """Append-mode file sink; processes everything available, then stops."""
     out, ck = scratch(spark, f"{what}-out"), scratch(spark, f"{what}-ckpt")
-    q = (df.writeStream.outputMode("append").format(fmt).option("path", out)
-         .option("checkpointLocation", ck).trigger(availableNow=True).start())
+    q = _start(spark, df.writeStream.outputMode("append").format(fmt).option("path", out)
+               .option("checkpointLocation", ck).trigger(availableNow=True), state_partitions)
     q.awaitTermination()
     _raise(q)
     return StreamRun(out, ck)
 
 
 def run_complete(spark: SparkSession, df: DataFrame, what: str,
-                 transform: Optional[Callable[[DataFrame], DataFrame]] = None) -> StreamRun:
+                 transform: Optional[Callable[[DataFrame], DataFrame]] = None,
+                 state_partitions: Optional[int] = None) -> StreamRun:
     """Complete-mode aggregate; each micro-batch overwrites the parquet result table."""
     out, ck = scratch(spark, f"{what}-out"), scratch(spark, f"{what}-ckpt")
 
     def sink(batch: DataFrame, _epoch: int) -> None:
         (transform(batch) if transform else batch).write.mode("overwrite").parquet(out)
 
-    q = (df.writeStream.outputMode("complete").foreachBatch(sink)
-         .option("checkpointLocation", ck).trigger(availableNow=True).start())
+    q = _start(spark, df.writeStream.outputMode("complete").foreachBatch(sink)
+               .option("checkpointLocation", ck).trigger(availableNow=True), state_partitions)
     q.awaitTermination()
     _raise(q)
     return StreamRun(out, ck)
