@@ -4,10 +4,8 @@ from __future__ import annotations
 
 import math
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Rational approximation of erf (Abramowitz & Stegun 7.1.26),
 # absolute error below 1.5e-7.
@@ -40,9 +38,3 @@ def erfc_sql(x: str) -> str:
 
 def two_sided_normal_p_sql(z: str) -> str:
     return erfc_sql(f"abs({z}) / sqrt(2.0)")
-
-
-@F.pandas_udf(T.DoubleType())
-def erfc_exact(x: pd.Series) -> pd.Series:
-    """Exact erfc (Arrow-batched; for small result tables only)."""
-    return x.map(lambda v: math.erfc(v) if v == v else float("nan"))

@@ -120,4 +120,4 @@ def verdict(tests: DataFrame, alpha: float = 0.05) -> DataFrame:
 def summarize_samples(samples: DataFrame, algos: Sequence[str], value: str = "rmse") -> tuple[DataFrame, DataFrame]:
     """Medians table (company x algo) and box-plot statistics per company/algo."""
     return (median_table(samples, value, "company", "algo", algos),
-            box_stats(samples.withColumnRenamed(value, value), [value], by=("company", "algo")))
+            box_stats(samples, [value], by=("company", "algo")))
