@@ -207,14 +207,15 @@ def m22_silhouette_by_k(t):
 # M2 time-ordered split (closed form) and P15 prediction preview
 
 
-@register("m2_time_split_test_rows", views=("prices",), sql="""
-SELECT company, date, round(close, 4) AS close FROM (
-  SELECT company, date, close, percent_rank() OVER (PARTITION BY company ORDER BY date) AS pr FROM prices)
-WHERE pr >= 0.8
+@register("m2_time_split", views=("prices",), sql="""
+SELECT company, date, round(close, 4) AS close, CASE WHEN pr >= 0.8 THEN 'test' ELSE 'train' END AS split
+FROM (SELECT company, date, close, percent_rank() OVER (PARTITION BY company ORDER BY date) AS pr FROM prices)
 """)
-def m2_time_split_test_rows(t):
-    _, test = regress.time_split(V.prices(t).select("company", "date", "close"), 0.2)
-    return rounded(test)
+def m2_time_split(t):
+    """Every row with its side of the time-ordered split (last 20 % of each series = test)."""
+    px = V.prices(t).select("company", "date", "close")
+    train, test = regress.time_split(px, 0.2)
+    return rounded(train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test"))))
 
 
 @register("p15_prediction_preview")

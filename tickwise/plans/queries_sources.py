@@ -71,17 +71,19 @@ def s9_s3_ml_csv_roundtrip(t):
 
 
 @register("s4_ohlcv_csv_schema", views=("prices",), sql="""
-SELECT date AS "Date", round(open, 4) AS "Open", round(high, 4) AS "High", round(low, 4) AS "Low",
+SELECT company, date AS "Date", round(open, 4) AS "Open", round(high, 4) AS "High", round(low, 4) AS "Low",
        round(close, 4) AS "Close", round(adjClose, 4) AS "Adj Close", CAST(volume AS BIGINT) AS "Volume"
-FROM prices WHERE company = 'BUILDING'
+FROM prices
 """)
 def s4_ohlcv_csv_schema(t):
-    px = V.prices(t).filter(F.col("company") == "BUILDING")
-    out = px.select(F.col("date").alias("Date"), F.col("open").alias("Open"), F.col("high").alias("High"),
-                    F.col("low").alias("Low"), F.col("close").alias("Close"), F.col("adjClose").alias("Adj Close"),
-                    F.col("volume").cast("long").alias("Volume"))
+    """Daily OHLCV CSV files (no company column inside; one folder per company),
+    read back in ONE pass with the explicit schema; the company comes from the folder."""
+    px = V.prices(t)
+    out = px.select("company", F.col("date").alias("Date"), F.col("open").alias("Open"),
+                    F.col("high").alias("High"), F.col("low").alias("Low"), F.col("close").alias("Close"),
+                    F.col("adjClose").alias("Adj Close"), F.col("volume").cast("long").alias("Volume"))
     path = files.scratch(t.spark, "ohlcv-csv")
-    files.write_csv(out, path)
+    out.write.mode("overwrite").partitionBy("company").option("header", True).csv(path)
     return rounded(files.read_csv(t.spark, path))
 
 
