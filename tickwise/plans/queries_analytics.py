@@ -38,6 +38,20 @@ def w3_bars_4hour(t):
     return rounded(windows.bars(V.ticks(t), "4hour"))
 
 
+_SIZES = (("1min", "1 MINUTE"), ("5min", "5 MINUTE"), ("15min", "15 MINUTE"), ("30min", "30 MINUTE"),
+          ("1hour", "1 HOUR"), ("4hour", "4 HOUR"))
+
+
+@register("w3_bars_all_sizes", views=("ticks",), sql=" UNION ALL ".join(f"""
+SELECT symbol, '{name}' AS size, time_bucket(INTERVAL {width}, ts) AS start,
+       round(arg_min(price, ts), 4) AS open, round(max(price), 4) AS high,
+       round(min(price), 4) AS low, round(arg_max(price, ts), 4) AS close,
+       CAST(count(*) AS BIGINT) AS volume, round(sum(price), 4) AS turnover
+FROM ticks GROUP BY symbol, start""" for name, width in _SIZES))
+def w3_bars_all_sizes(t):
+    return rounded(windows.multi_bars(V.ticks(t), [n for n, _ in _SIZES]))
+
+
 @register("w4_day_fields", views=("prices",), sql="""
 SELECT company, date, round(change, 4) AS change, round(changePercent, 4) AS changePercent,
        round(vwap, 4) AS vwap, round(changeOverTime, 4) AS changeOverTime FROM prices
