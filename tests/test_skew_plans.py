@@ -45,3 +45,19 @@ def test_summary_of_hot_group_is_exact(spark):
     d = stats.describe(df, ["close"]).filter(F.col("company") == "HOT").first()
     assert d["count"] == 10000
     assert "partial_" in _plan(stats.describe(df, ["close"], exact=False))
+
+
+def test_bucketed_average_ranks_equal_window_ranks(spark):
+    import random
+
+    rng = random.Random(11)
+    rows = [("HOT" if i % 3 == 0 else f"g{i % 5}", float(rng.randint(0, 40)), float(rng.random())) for i in range(3000)]
+    df = spark.createDataFrame(rows, "company string, u double, v double")
+    a = stats.average_ranks(df, ["u", "v"], ["company"])
+    b = stats.average_ranks(df, ["u", "v"], ["company"], buckets=8)
+    key = lambda r: (r.company, r.u, r.v)
+    assert sorted(a.collect(), key=key) == sorted(b.collect(), key=key)
+    ra = {(r.feature_a, r.feature_b, r.company): r.r for r in stats.correlation(df, ["u", "v"], method="spearman").collect()}
+    rb = {(r.feature_a, r.feature_b, r.company): r.r
+          for r in stats.correlation(df, ["u", "v"], method="spearman", rank_buckets=8).collect()}
+    assert ra.keys() == rb.keys() and all(abs(ra[k] - rb[k]) < 1e-12 for k in ra)

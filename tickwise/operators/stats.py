@@ -125,7 +125,7 @@ def outlier_rows(df: DataFrame, column: str, by: Sequence[str] = ("company",), k
 
 
 def correlation(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ("company",),
-                method: str = "pearson") -> DataFrame:
+                method: str = "pearson", rank_buckets: int | None = None) -> DataFrame:
     """Long correlation matrix (by..., feature_a, feature_b, r, method).
 
     Long form: each row is expanded to one (x, y) cell per column pair and a
@@ -137,7 +137,7 @@ def correlation(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ("com
     cols = list(columns)
     src = df.select(*by, *cols)
     if method == "spearman":
-        src = average_ranks(src, cols, by)
+        src = average_ranks(src, cols, by, rank_buckets)
     elif method != "pearson":
         raise ValueError(method)
     pairs = list(combinations(cols, 2))
@@ -155,13 +155,19 @@ def correlation(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ("com
     return r.select(*by, out).withColumn("method", F.lit(method))
 
 
-def average_ranks(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
+def average_ranks(df: DataFrame, columns: Sequence[str], by: Sequence[str], buckets: int | None = None) -> DataFrame:
     """Replace each column by its average rank (1-based, ties averaged) within ``by``.
 
-    (rank() + rows up to and including the ties) / 2, both over the same
-    ordered window (the default RANGE frame includes peers): one sort per
-    column, one shuffle on ``by`` for all of them, one projection.
+    Default: (rank() + rows up to and including the ties) / 2 over one ordered
+    window per column - one task per group, right for groups bounded by the
+    calendar.  ``buckets=K`` is the distributed form for groups of any size:
+    see ``_bucketed_average_ranks``.
     """
+    if buckets:
+        out = df
+        for c in columns:
+            out = _bucketed_average_ranks(out, c, list(by), buckets)
+        return out
     ranked = []
     for c in df.columns:
         if c in columns:
@@ -172,6 +178,33 @@ def average_ranks(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> D
     return df.select(*ranked)
 
 
+def _bucketed_average_ranks(df: DataFrame, c: str, by: list, k: int) -> DataFrame:
+    """Average ranks without a whole group in one task.
+
+    1. collapse ties: (group, value, n) - a partial aggregate, so a hot value is one row;
+    2. split each group's distinct values into ~k ranges (sketch boundaries);
+    3. rows before each range = prefix sum over the small (group, range) totals;
+    4. rank inside (group, range) only; average rank = before + earlier-in-range + (n + 1) / 2;
+    5. join the rank back on (group, value).
+    NULL values keep NULL (as in the window form they sort first; here excluded).
+    """
+    v = F.col(c)
+    d = df.filter(v.isNotNull()).groupBy(*by, c).agg(F.count(F.lit(1)).alias("_n"))
+    probs = [i / k for i in range(1, k)]
+    bounds = d.groupBy(*by).agg(F.percentile_approx(c, probs, 10000).alias("_bounds"))
+    d = d.join(bounds, by).withColumn("_r", F.size(F.filter("_bounds", lambda b: b < v))).drop("_bounds")
+    totals = d.groupBy(*by, "_r").agg(F.sum("_n").alias("_tot"))
+    before = Window.partitionBy(*by).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.withColumn("_off", F.coalesce(F.sum("_tot").over(before), F.lit(0)))
+    inside = Window.partitionBy(*by, "_r").orderBy(c).rowsBetween(Window.unboundedPreceding, -1)
+    ranks = (d.join(totals.select(*by, "_r", "_off"), by + ["_r"])
+             .withColumn("_rank", (F.col("_off") + F.coalesce(F.sum("_n").over(inside), F.lit(0))).cast("double")
+                         + (F.col("_n") + 1) / 2.0)
+             .select(*by, c, "_rank"))
+    out = df.join(ranks, by + [c], "left")
+    return out.select(*[F.col("_rank").alias(x) if x == c else F.col(x) for x in df.columns])
+
+
 def redundant_pairs(corr_long: DataFrame, threshold: float = 0.8) -> DataFrame:
     """Off-diagonal pairs with |r| above the threshold (each pair once)."""
     return corr_long.filter(
