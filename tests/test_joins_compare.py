@@ -113,3 +113,18 @@ def test_bucketed_asof_equals_unbucketed(spark):
     ra, rb = sorted(a.collect(), key=key), sorted(b.collect(), key=key)
     assert [(r.company, r.date, r.rate, r.date_asof) for r in ra] == [(r.company, r.date, r.rate, r.date_asof) for r in rb]
     assert any(r.rate is None for r in ra) and any(r.rate is not None for r in ra)
+
+
+def test_bucketed_action_adjustment_equals_unbucketed(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(9)
+    px = spark.createDataFrame([(k, D(2018, 1, 1) + dt.timedelta(days=d), 100.0 + d)
+                                for k in ("X", "Y") for d in range(0, 1200, 5)], "company string, date date, close double")
+    act = spark.createDataFrame([(k, D(2018, 1, 1) + dt.timedelta(days=rng.randrange(0, 1300)),
+                                  rng.choice(["split", "dividend"]), rng.uniform(0.9, 2.0))
+                                 for k in ("X", "Y") for _ in range(12)], "company string, date date, kind string, ratio double")
+    a = {(r.company, r.date): r.adjClose for r in joins.adjust_for_actions(px, act).collect()}
+    b = {(r.company, r.date): r.adjClose
+         for r in joins.adjust_for_actions(px, act, bucket=lambda c: F.trunc(c, "year")).collect()}
+    assert a.keys() == b.keys() and all(math.isclose(a[k], b[k], rel_tol=1e-12) for k in a)

@@ -100,24 +100,41 @@ def _asof_window(left: DataFrame, right: DataFrame, left_key: str, right_key: st
 
 
 def adjust_for_actions(prices: DataFrame, actions: DataFrame, by: str = "company", date: str = "date",
-                       value: str = "close", name: str = "adjClose") -> DataFrame:
+                       value: str = "close", name: str = "adjClose",
+                       bucket: Optional[Callable[[Column], Column]] = None) -> DataFrame:
     """Value x product of the factors of all actions strictly after the row's date.
 
     Factor: split -> 1/ratio, dividend -> ratio.  Implemented as a reverse
     running sum of ln(factor) over the union of both sides (no range join).
+    ``bucket`` (e.g. yearly) bounds the window partitions to (company, bucket);
+    the actions of all later buckets enter through a small per-bucket table.
     """
     factor = F.when(F.col("kind") == "split", F.lit(1.0) / F.col("ratio")).otherwise(F.col("ratio"))
-    act = (actions.groupBy(by, date).agg(F.sum(F.ln(factor)).alias("_lnf"))
-           .select(by, date, F.lit(1).alias("_side"), "_lnf"))
-    px = prices.select(by, date, F.lit(0).alias("_side"), F.lit(None).cast("double").alias("_lnf"),
-                       *[c for c in prices.columns if c not in (by, date)])
+    act = actions.groupBy(by, date).agg(F.sum(F.ln(factor)).alias("_lnf"))
+    extra = []
+    if bucket is not None:
+        act = act.withColumn("_b", bucket(F.col(date)))
+        prices = prices.withColumn("_b", bucket(F.col(date)))
+        extra = ["_b"]
+    act = act.select(by, date, *extra, F.lit(1).alias("_side"), "_lnf")
+    px = prices.select(by, date, *extra, F.lit(0).alias("_side"), F.lit(None).cast("double").alias("_lnf"),
+                       *[c for c in prices.columns if c not in (by, date, *extra)])
     # Descending date; on equal dates the price row comes first, so only
     # strictly later actions are summed into it.
-    w = (Window.partitionBy(by).orderBy(F.col(date).desc(), F.col("_side"))
+    w = (Window.partitionBy(by, *extra).orderBy(F.col(date).desc(), F.col("_side"))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     u = px.unionByName(act, allowMissingColumns=True)
     out = u.withColumn("_cum", F.coalesce(F.sum("_lnf").over(w), F.lit(0.0)))
     out = out.filter(F.col("_side") == 0)
+    if bucket is not None:
+        # sum of ln factors of every later bucket: over (company, bucket) totals only
+        tot = (act.groupBy(by, "_b").agg(F.sum("_lnf").alias("_t"))
+               .unionByName(prices.select(by, "_b").distinct().withColumn("_t", F.lit(0.0)))
+               .groupBy(by, "_b").agg(F.sum("_t").alias("_t")))
+        later = Window.partitionBy(by).orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
+        tot = tot.withColumn("_later", F.coalesce(F.sum("_t").over(later), F.lit(0.0))).select(by, "_b", "_later")
+        out = out.join(tot, [by, "_b"], "left").withColumn("_cum", F.col("_cum") + F.col("_later"))
+        out = out.drop("_b", "_later")
     return out.withColumn(name, F.col(value) * F.exp("_cum")).drop("_side", "_lnf", "_cum")
 
 

@@ -272,8 +272,10 @@ SELECT p.company, p.date, round(p.close, 4) AS close,
 FROM prices p
 """)
 def j3_adjusted_close(t):
-    px = V.prices(t).select("company", "date", "close")
-    return rounded(joins.adjust_for_actions(px, V.actions(t)))
+    # yearly buckets bound the window partitions; both inputs are read twice
+    px = once(V.prices(t).select("company", "date", "close"))
+    out = joins.adjust_for_actions(px, once(V.actions(t)), bucket=lambda d: F.trunc(d, "year"))
+    return rounded(out)
 
 
 @register("j4_r2_actual_vs_trend", views=("prices",), sql="""
