@@ -37,3 +37,11 @@ def test_scale_conf_sizes_partitions():
     assert parts % 8000 == 0 and 100 * 1024 ** 4 / parts <= 256 * 1024 ** 2
     small = scale_conf(10 * 1024 ** 2, 8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_checkpoint_dir_comes_from_the_session(spark):
+    from tickwise.session import ensure_checkpoint_dir, scratch_path
+
+    d = ensure_checkpoint_dir(spark)
+    assert d and d == spark.sparkContext.getCheckpointDir()
+    assert scratch_path(spark, "x").startswith(d)

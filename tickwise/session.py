@@ -73,7 +73,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached in local tests: a cluster names a shared folder.
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors "
+                             "(e.g. on HDFS or an object store); a machine-local folder does not survive "
+                             "executor loss")
+        # local mode (tests): a scratch folder on the only machine
         configured = tempfile.mkdtemp(prefix="tickwise-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
