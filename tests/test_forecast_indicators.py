@@ -95,3 +95,27 @@ def test_decide_output_schema(spark, tables):
     assert rows and {r.label for r in rows} <= {1, 2}
     assert all(len(r.features) == 21 and len(r.probability) == 3 for r in rows)
     assert {r.training_date for r in rows} == {dt.date(2001, 8, 1)}
+
+
+def test_decide_with_no_data_keeps_schema(spark, tables):
+    from tickwise.operators import decide
+    from tickwise.plans import views as V
+
+    full = decide.decide(V.prices(tables), "close", FC.ForecastSpec(periods=5),
+                         decide.DecideSpec(classifier="dt"), as_of="2001-08-01")
+    none = decide.decide(V.prices(tables), "close", FC.ForecastSpec(periods=5),
+                         decide.DecideSpec(classifier="dt"), last=30, as_of="2030-01-01")
+    shape = lambda df: [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+    assert none.count() == 0 and shape(none) == shape(full)
+
+
+def test_forecast_fit_is_partition_invariant(spark):
+    hist = _series(spark, n=400, companies=("HOT", "B"))
+    hot_heavy = hist.unionByName(hist.filter(F.col("company") == "B").limit(0))
+    spec = FC.ForecastSpec(periods=3, n_changepoints=5, yearly_order=2)
+    a = FC.fit(hot_heavy.repartition(1), spec).orderBy("company").collect()
+    b = FC.fit(hot_heavy.repartition(16), spec).orderBy("company").collect()
+    for ra, rb in zip(a, b):
+        assert ra.company == rb.company
+        np.testing.assert_allclose(ra.beta, rb.beta, rtol=1e-9, atol=1e-12)
+        assert math.isclose(ra.sigma, rb.sigma, rel_tol=1e-9)

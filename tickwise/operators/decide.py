@@ -89,6 +89,11 @@ def decide(prices: DataFrame, value: str = "close", fspec: ForecastSpec = Foreca
     with ThreadPoolExecutor(max_workers=max(1, dspec.threads)) as pool:
         scored = [s for s in pool.map(one, sorted(companies)) if s is not None]
     if not scored:
-        return data.limit(0)
+        # no company had training rows: an empty frame with the decision schema
+        empty = (data.limit(0)
+                 .withColumn("rawPrediction", F.lit(None).cast("array<double>"))
+                 .withColumn("probability", F.lit(None).cast("array<double>"))
+                 .withColumn("prediction", F.lit(None).cast("double")))
+        return scored_arrays(empty).select(*OUTPUT_COLUMNS)
     out = scored_arrays(reduce(lambda a, b: a.unionByName(b), scored))
     return out.select(*OUTPUT_COLUMNS)
