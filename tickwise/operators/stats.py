@@ -243,6 +243,11 @@ def row_counts(df: DataFrame) -> DataFrame:
     )
 
 
+def grid_pivot(df: DataFrame, rows: str, cols: str, value: str, col_values: Sequence) -> DataFrame:
+    """Rows x columns grid of sums (pivot with the column values given: one pass)."""
+    return df.groupBy(rows).pivot(cols, list(col_values)).agg(F.sum(value))
+
+
 def grid_rollup(df: DataFrame, rows: str, cols: str, value: str) -> DataFrame:
     """Indicator x country grid with rollup totals (NULL marks a total)."""
     return (df.rollup(rows, cols)

@@ -311,6 +311,18 @@ def t2_most_active_per_day(t):
     return rounded(select.top_movers(V.prices25(t).select("company", "date", "volume"), 3, "volume"))
 
 
+@register("t2_top_losers_per_day", views=("prices25",), sql="""
+SELECT company, date, round(changePercent, 4) AS changePercent, rank FROM (
+  SELECT company, date, changePercent,
+         CAST(row_number() OVER (PARTITION BY date ORDER BY changePercent ASC NULLS LAST, company) AS INTEGER) AS rank
+  FROM prices25) WHERE rank <= 3
+""")
+def t2_top_losers_per_day(t):
+    losers = select.top_movers(V.prices25(t).select("company", "date", "changePercent"), 3, "changePercent",
+                               ascending=True)
+    return rounded(losers)
+
+
 @register("t4_page", views=("prices",), sql=f"""
 SELECT {_PX_SELECT_SQL} FROM prices ORDER BY company, date LIMIT 5 OFFSET 10
 """)

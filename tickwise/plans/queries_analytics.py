@@ -235,6 +235,19 @@ def a13_rollup_sector_year(t):
     return rounded(out.withColumn("level", F.col("level").cast("int")))
 
 
+_YEARS = tuple(range(1995, 2002))  # calendar of the order history (1995-01-01 .. 2001-08-01)
+
+
+@register("a13_pivot_sector_by_year", views=("prices25", "profile"), sql=f"""
+SELECT f.sector, {', '.join(f'round(sum(p.volume) FILTER (WHERE year(p.date) = {y}), 4) AS "{y}"' for y in _YEARS)}
+FROM prices25 p JOIN profile f ON p.company = f.ticker
+GROUP BY f.sector
+""")
+def a13_pivot_sector_by_year(t):
+    df = joins.enrich(V.prices25(t), once(V.profile(t)), how="inner").withColumn("year", F.year("date"))
+    return rounded(stats.grid_pivot(df, "sector", "year", "volume", _YEARS))
+
+
 # ---------------------------------------------------------------------------
 # J1-J5
 
