@@ -155,6 +155,24 @@ def correlation(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ("com
     return r.select(*by, out).withColumn("method", F.lit(method))
 
 
+def vector_correlation(df: DataFrame, features: Sequence[str], method: str = "pearson") -> DataFrame:
+    """A6/A7 on an assembled ML vector (``pyspark.ml.stat.Correlation``), long form.
+
+    Global over the whole frame; Spark computes it distributedly (Spearman
+    ranks via a distributed sort with averaged ties).  Only the k x k matrix
+    reaches the driver.
+    """
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+
+    vec = VectorAssembler(inputCols=list(features), outputCol="_v", handleInvalid="skip").transform(
+        df.select(*features)).select("_v")
+    m = Correlation.corr(vec, "_v", method).head()[0].toArray()
+    rows = [(a, b, float(m[i][j])) for i, a in enumerate(features) for j, b in enumerate(features)]
+    out = df.sparkSession.createDataFrame(rows, "feature_a STRING, feature_b STRING, r DOUBLE")
+    return out.withColumn("method", F.lit(method))
+
+
 def average_ranks(df: DataFrame, columns: Sequence[str], by: Sequence[str], buckets: int | None = None) -> DataFrame:
     """Replace each column by its average rank (1-based, ties averaged) within ``by``.
 

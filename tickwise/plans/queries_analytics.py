@@ -166,6 +166,38 @@ def a7_spearman_matrix(t):
     return rounded(stats.correlation(V.prices(t), CORR_COLUMNS, method="spearman"))
 
 
+def _ml_corr_sql(method: str) -> str:
+    cols = list(V.ML_FEATURES)
+    src = "ml"
+    if method == "spearman":
+        ranks = ", ".join(
+            f"CAST(rank() OVER (ORDER BY {c}) AS DOUBLE) + "
+            f"CAST(count(*) OVER (PARTITION BY {c}) - 1 AS DOUBLE) / CAST(2.0 AS DOUBLE) AS {c}" for c in cols)
+        src = f"(SELECT {ranks} FROM ml)"
+    parts = []
+    for a in cols:
+        for b in cols:
+            if a == b:
+                parts.append(f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, CAST(1.0 AS DOUBLE) AS r")
+            else:
+                parts.append(f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, round(corr({a}, {b}), 4) AS r FROM {src}")
+    return f"SELECT feature_a, feature_b, r, '{method}' AS method FROM ({' UNION ALL '.join(parts)})"
+
+
+@register("a6_m1_vector_pearson_ml", views=("ml",), sql=_ml_corr_sql("pearson"))
+def a6_m1_vector_pearson_ml(t):
+    out = stats.vector_correlation(V.ml(t), list(V.ML_FEATURES), "pearson")
+    return rounded(out.withColumn("r", F.when(F.col("feature_a") == F.col("feature_b"), F.lit(1.0))
+                                  .otherwise(F.col("r"))))
+
+
+@register("a7_m1_vector_spearman_ml", views=("ml",), sql=_ml_corr_sql("spearman"))
+def a7_m1_vector_spearman_ml(t):
+    out = stats.vector_correlation(V.ml(t), list(V.ML_FEATURES), "spearman")
+    return rounded(out.withColumn("r", F.when(F.col("feature_a") == F.col("feature_b"), F.lit(1.0))
+                                  .otherwise(F.col("r"))))
+
+
 @register("a8_p14_redundant_pairs", views=("prices",), sql=f"""
 WITH m AS ({_corr_sql("prices", "pearson").replace("round(", "(").replace(", 4) AS r", ") AS r")})
 SELECT company, feature_a, feature_b, round(r, 4) AS r, method FROM m
