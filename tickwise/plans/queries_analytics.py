@@ -11,7 +11,7 @@ from tickwise.functions.special import two_sided_normal_p_sql
 from tickwise.operators import compare, joins, metrics, select, stats, windows
 from tickwise.plans import views as V
 from tickwise.plans.catalog import register
-from tickwise.plans.queries import CORR_COLUMNS, PRIORITIES, QUANTILE_DIGITS, _PX_ROUND_SQL, once, rounded
+from tickwise.plans.queries import CORR_COLUMNS, PRIORITIES, QUANTILE_DIGITS, once, rounded
 from tickwise.schema import PRICE_COLUMNS
 
 # ---------------------------------------------------------------------------
