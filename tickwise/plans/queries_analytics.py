@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tickwise.functions.special import two_sided_normal_p_sql
-from tickwise.operators import compare, joins, metrics, select, stats, windows
+from tickwise.operators import compare, indicators, joins, metrics, select, stats, windows
 from tickwise.plans import views as V
 from tickwise.plans.catalog import register
 from tickwise.plans.queries import CORR_COLUMNS, PRIORITIES, QUANTILE_DIGITS, once, rounded
@@ -516,7 +516,6 @@ def m20_classification_report(t):
 # ---------------------------------------------------------------------------
 # W6-W13 technical indicators
 
-from tickwise.operators import indicators  # noqa: E402
 
 
 @register("w6_w8_w10_w13_rolling_indicators", views=("prices",), sql=f"""

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tickwise.operators import decide, forecast, metrics, regress, select, windows
+from tickwise.operators import cluster, decide, forecast, metrics, regress, select, windows
 from tickwise.plans import views as V
 from tickwise.plans.catalog import register
 from tickwise.plans.queries import AS_OF, SEGMENTS, once, rounded
@@ -181,7 +181,6 @@ def m20_decision_quality(t):
 # ---------------------------------------------------------------------------
 # M22 clustering
 
-from tickwise.operators import cluster  # noqa: E402
 
 
 @register("m22_company_features", views=("prices25",), sql="""
