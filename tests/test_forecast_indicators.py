@@ -119,3 +119,22 @@ def test_forecast_fit_is_partition_invariant(spark):
         assert ra.company == rb.company
         np.testing.assert_allclose(ra.beta, rb.beta, rtol=1e-9, atol=1e-12)
         assert math.isclose(ra.sigma, rb.sigma, rel_tol=1e-9)
+
+
+def test_laplace_prior_gives_sparse_changepoints(spark):
+    rows = []
+    start = dt.date(2019, 1, 1)
+    rng = np.random.default_rng(5)
+    for i in range(600):
+        y = 100 + 0.05 * i + (0.25 * (i - 300) if i > 300 else 0.0) + rng.normal(0, 0.3)
+        rows.append((start + dt.timedelta(days=i), float(y), "K"))
+    hist = spark.createDataFrame(rows, "ds date, y double, company string")
+    spec = FC.ForecastSpec(periods=10, n_changepoints=20, weekly_order=0, yearly_order=0)
+    beta = np.array(FC.fit(hist, spec).first().beta)
+    hinge = np.abs(beta[2:22])
+    assert hinge.argmax() in (11, 12)  # break at t=0.50; change points at 0.04 * (k + 1): 0.48 (k=11), 0.52 (k=12)
+    assert (hinge > 0.05 * hinge.max()).sum() <= 4   # sparse: few active change points
+    out = FC.forecast(hist, spec).toPandas().sort_values("ds")
+    late = out[out.ds > dt.date(2020, 6, 1)]
+    slope = np.polyfit(np.arange(len(late)), late.trend.to_numpy(), 1)[0]
+    assert abs(slope - 0.30) < 0.02
