@@ -138,3 +138,16 @@ def test_laplace_prior_gives_sparse_changepoints(spark):
     late = out[out.ds > dt.date(2020, 6, 1)]
     slope = np.polyfit(np.arange(len(late)), late.trend.to_numpy(), 1)[0]
     assert abs(slope - 0.30) < 0.02
+
+
+def test_changepoints_at_row_quantiles(spark):
+    days = [dt.date(2020, 1, 1) + dt.timedelta(days=i) for i in list(range(0, 100)) + list(range(300, 400))]
+    hist = spark.createDataFrame([(d, float(i), "G") for i, d in enumerate(days)], "ds date, y double, company string")
+    spec = FC.ForecastSpec(n_changepoints=7)
+    got = FC._scales(hist, spec).first()
+    n = len(days)
+    h = int(np.floor(n * 0.8))
+    idx = np.round(np.linspace(0, h - 1, 7 + 1)).astype(int)[1:]
+    d = np.array([(x - dt.date(1970, 1, 1)).days for x in days], float)
+    expected = (d[idx] - d[0]) / (d[-1] - d[0])
+    np.testing.assert_allclose(got._cps, expected, rtol=1e-12)

@@ -39,7 +39,7 @@ from typing import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickwise.operators.joins import bounded_broadcast
@@ -64,6 +64,9 @@ class ForecastSpec:
     # iteratively reweighted ridge solves on the same Gram matrix;
     # "ridge": the fixed ridge weights above.
     changepoint_prior: str = "laplace"
+    # "rows": change points at row quantiles of the first changepoint_range of
+    # each history (as in the published method); "time": uniform in time
+    changepoint_placement: str = "rows"
     changepoint_prior_scale: float = 0.05
     seasonality_prior_scale: float = 10.0
     irls_iterations: int = 25
@@ -91,30 +94,59 @@ class ForecastSpec:
 
 def _design(spec: ForecastSpec) -> Column:
     """Design row as an array<double>: [1, t, hinges..., weekly sin/cos..., yearly sin/cos...]
-    over the columns ``_t`` (scaled time) and ``_d`` (day number).
+    over the columns ``_t`` (scaled time), ``_d`` (day number) and, for row-quantile
+    placement, ``_cps`` (the company's scaled change points).
 
     Emitted as one SQL expression: a single JVM call instead of hundreds.
     """
-    parts = ["CAST(1.0 AS DOUBLE)", "_t"]
-    parts += [f"greatest(_t - CAST({c!r} AS DOUBLE), CAST(0.0 AS DOUBLE))" for c in spec.changepoints()]
+    head = ["CAST(1.0 AS DOUBLE)", "_t"]
+    seasonal = []
     for period, order in ((7.0, spec.weekly_order), (365.25, spec.yearly_order)):
         for k in range(1, order + 1):
             w = repr(2.0 * math.pi * k / period)
-            parts += [f"sin(CAST({w} AS DOUBLE) * _d)", f"cos(CAST({w} AS DOUBLE) * _d)"]
-    return F.expr(f"array({', '.join(parts)})")
+            seasonal += [f"sin(CAST({w} AS DOUBLE) * _d)", f"cos(CAST({w} AS DOUBLE) * _d)"]
+    if spec.n_changepoints and spec.changepoint_placement == "rows":
+        parts = [f"array({', '.join(head)})",
+                 "transform(_cps, s -> greatest(_t - s, CAST(0.0 AS DOUBLE)))"]
+        if seasonal:
+            parts.append(f"array({', '.join(seasonal)})")
+        return F.expr(f"concat({', '.join(parts)})")
+    hinges = [f"greatest(_t - CAST({c!r} AS DOUBLE), CAST(0.0 AS DOUBLE))" for c in spec.changepoints()]
+    return F.expr(f"array({', '.join(head + hinges + seasonal)})")
 
 
 def _dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda u, v: u * v), F.lit(0.0), lambda acc, v: acc + v)
 
 
-def _scales(df: DataFrame) -> DataFrame:
-    """Per company: first/last day (as day numbers) and the y scale."""
-    return df.groupBy("company").agg(
+def _scales(df: DataFrame, spec: ForecastSpec = ForecastSpec()) -> DataFrame:
+    """Per company: first/last day (as day numbers), the y scale and, for
+    row-quantile placement, the change-point days ``_cps`` (scaled to [0, 1]).
+
+    Change point j (1..K) is the day at row round(j (h - 1) / K) of the
+    company's history, h = floor(changepoint_range * n): one window over each
+    company's daily series (bounded by the calendar) and a K-row lookup.
+    """
+    out = df.groupBy("company").agg(
         F.min(F.unix_date("ds")).alias("d0"),
         F.max(F.unix_date("ds")).alias("d1"),
         F.max(F.abs("y")).alias("yscale"),
+        F.count(F.lit(1)).alias("_n"),
     ).withColumn("yscale", F.when(F.col("yscale") > 0, F.col("yscale")).otherwise(F.lit(1.0)))
+    k = spec.n_changepoints
+    if not k or spec.changepoint_placement != "rows":
+        return out.drop("_n")
+    ranked = df.select("company", F.unix_date("ds").alias("_day"),
+                       (F.row_number().over(Window.partitionBy("company").orderBy("ds")) - 1).alias("_i"))
+    h = F.greatest(F.floor(F.col("_n") * F.lit(spec.changepoint_range)), F.lit(1))
+    idx = (out.select("company", "_n", F.explode(F.sequence(F.lit(1), F.lit(k))).alias("_j"))
+           .select("company", F.bround(F.col("_j") * (h - 1) / F.lit(float(k))).cast("long").alias("_i")))
+    cps = (idx.join(ranked, ["company", "_i"])
+           .groupBy("company").agg(F.array_sort(F.collect_list("_day")).alias("_cpd")))
+    span = F.greatest(F.col("d1") - F.col("d0"), F.lit(1)).cast("double")
+    return (out.join(cps, "company")
+            .withColumn("_cps", F.transform("_cpd", lambda d: (d - F.col("d0")).cast("double") / span))
+            .drop("_n", "_cpd"))
 
 
 def _scaled_time(day: Column) -> Column:
@@ -193,13 +225,15 @@ def fit(history: DataFrame, spec: ForecastSpec = ForecastSpec()) -> DataFrame:
     Returns one row per company: d0, d1, yscale, beta array, sigma, n, delta_scale.
     """
     clean = history.filter(F.col("y").isNotNull() & ~F.isnan("y") & F.col("ds").isNotNull())
-    scales = _scales(clean)
+    scales = _scales(clean, spec)
     sc = bounded_broadcast(scales, spec.max_broadcast_companies)
+    carry = ["_cps"] if "_cps" in scales.columns else []
     rows = clean.join(sc, "company").select(
         "company",
         _scaled_time(F.unix_date("ds")).alias("_t"),
         F.unix_date("ds").cast("double").alias("_d"),
         (F.col("y") / F.col("yscale")).alias("y"),
+        *carry,
     ).select("company", _design(spec).alias("x"), "y")
     partial_fn, _ = _gram_partials(spec.n_features)
     cells = rows.mapInPandas(partial_fn, "company string, cell int, value double")
@@ -256,7 +290,7 @@ def predict(model: DataFrame, history: DataFrame, spec: ForecastSpec = ForecastS
     for comp in ("daily", "weekly", "yearly", "additive_terms"):
         out[f"{comp}_lower"] = F.col(comp)
         out[f"{comp}_upper"] = F.col(comp)
-    cols = [F.col("ds")] + [(out[c] if c in out else F.col(c)).alias(c) for c in FORECAST_COMPONENTS]
+    cols = [F.col("ds")] + [(out[c] if c in out else F.col(c)).alias(c) for c in FORECAST_COMPONENTS]  # noqa: E501
     return scored.select(*cols, F.col("company"))
 
 
