@@ -225,7 +225,8 @@ def fit(history: DataFrame, spec: ForecastSpec = ForecastSpec()) -> DataFrame:
     Returns one row per company: d0, d1, yscale, beta array, sigma, n, delta_scale.
     """
     clean = history.filter(F.col("y").isNotNull() & ~F.isnan("y") & F.col("ds").isNotNull())
-    scales = _scales(clean, spec)
+    # one row per company, read three times below: materialise it once
+    scales = cut_lineage(_scales(clean, spec))
     sc = bounded_broadcast(scales, spec.max_broadcast_companies)
     carry = ["_cps"] if "_cps" in scales.columns else []
     rows = clean.join(sc, "company").select(
