@@ -49,6 +49,15 @@ def words(text: Column) -> Column:
                lambda t: F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, SPACE)))
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """Whole rows in one column ``_d``, so that no column of the input can clash with a helper column."""
+    return docs.select(F.struct("*").alias("_d"))
+
+
+def field(name: str) -> Column:
+    return F.col("_d").getField(name)
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows never used for learning: crc32(doc_id as text) mod 5 is 0, or no id."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(True))

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickwise.llm.common import let, small_side, stage, words
+from tickwise.llm.common import field, let, packed, small_side, stage, words
 
 WIDTH = 5
 CONTAINMENT = (4, 5)  # 0.8 as a fraction, compared in integers
@@ -99,7 +99,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item."""
     bad = stage(contaminated(docs, benchmark).select(F.col("doc_id").alias("_bad")).distinct(), "decon-bad")
-    return docs.join(small_side(bad, 16), docs["doc_id"].eqNullSafe(F.col("_bad")), "left_anti")
+    return packed(docs).join(small_side(bad, 16), field("doc_id").eqNullSafe(F.col("_bad")), "left_anti").select("_d.*")
 
 
 DECON_SQL = r"""

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickwise.llm.common import range_scan, slice_offsets, stage
+from tickwise.llm.common import field, packed, range_scan, slice_offsets, stage
 
 WEIGHTS = (3, 1, 2)
 #: Words of the mix per word of the input, as a fraction.
@@ -99,13 +99,15 @@ def emit(docs: DataFrame, plan: DataFrame) -> DataFrame:
     """The mixed corpus: every document as often as ``plan`` says, with ``copy_no`` from 1."""
     unit = ["doc_id", "source", "size"]
     units = plan.groupBy(*unit).agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
-    d = docs.withColumn("size", n_words(F.col("text")))
+    d = packed(docs).withColumn("_n", n_words(field("text")))
     u = units.select(*[F.col(c).alias(f"_{c}") for c in unit], "_copies", "_rows")
-    joined = d.join(u, d["doc_id"].eqNullSafe(u["_doc_id"]) & d["source"].eqNullSafe(u["_source"]) & (d["size"] == u["_size"]))
-    nth = F.row_number().over(Window.partitionBy("_doc_id", "_source", "_size").orderBy(F.xxhash64("text")))
+    same = field("doc_id").eqNullSafe(F.col("_doc_id")) & field("source").eqNullSafe(F.col("_source")) & (F.col("_n") == F.col("_size"))
+    nth = F.row_number().over(Window.partitionBy("_doc_id", "_source", "_size").orderBy(F.xxhash64(field("text"))))
     each, rest = F.floor(F.col("_copies") / F.col("_rows")), F.col("_copies") % F.col("_rows")
-    joined = joined.withColumn("_k", F.when(F.col("_rows") == 1, F.col("_copies")).otherwise(each + (nth <= rest).cast("long")))
-    return joined.where("_k > 0").select(*[d[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("_k").cast("int"))).alias("copy_no"))
+    k = F.when(F.col("_rows") == 1, F.col("_copies")).otherwise(each + (nth <= rest).cast("long"))
+    rows = d.join(u, same).withColumn("_k", k).where("_k > 0")
+    copy_no = "copy_no" if "copy_no" not in docs.columns else "mix_copy_no"
+    return rows.select("_d.*", F.explode(F.sequence(F.lit(1), F.col("_k").cast("int"))).alias(copy_no))
 
 
 MIX_SQL = r"""

@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickwise.llm.common import let, stage
+from tickwise.llm.common import field, let, packed, stage
 from tickwise.llm.spans import SPAN, digest, joined, spans
 
 # The four base patterns.  Runs are entered only at their start
@@ -158,17 +158,22 @@ def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every span replaced by [KIND] and ``n_chars`` recomputed; overlapping spans are merged, first kind wins."""
     found = find(docs).where(F.size("base") + F.size("found") > 0).dropDuplicates(["doc_id", "row"])
     f = found.select(F.col("doc_id").alias("_doc"), F.col("row").alias("_row"), F.array_sort(F.concat("base", "found")).alias("_all"))
-    d = docs.withColumn("_hash", F.xxhash64("text"))
-    joined_rows = d.join(f, d["doc_id"].eqNullSafe(F.col("_doc")) & (F.col("_hash") == F.col("_row")), "left")
+    d = packed(docs).withColumn("_hash", F.xxhash64(field("text")))
+    rows = d.join(f, field("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_hash") == F.col("_row")), "left").withColumn("_text", field("text"))
 
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     def step(acc: Column, s: Column) -> Column:  # noqa: E306
         fresh = s["start"] >= acc["at"]
-        piece = F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))
+        piece = F.concat(acc["out"], F.substring(F.col("_text"), acc["at"] + 1, s["start"] - acc["at"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))
         return F.struct(F.greatest(s["end"], acc["at"]).alias("at"), F.when(fresh, piece).otherwise(acc["out"]).alias("out"))
-    merged = F.aggregate("_all", start, step, lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text"))))
-    text = F.when(F.col("_all").isNull(), F.col("text")).otherwise(merged)
-    out = joined_rows.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_all").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return out.select(*docs.columns)
+    merged = F.aggregate("_all", start, step, lambda acc: F.concat(acc["out"], F.substring(F.col("_text"), acc["at"] + 1, F.length("_text"))))
+    text = F.when(F.col("_all").isNull(), F.col("_text")).otherwise(merged)
+    out = rows.withColumn("_text", text)
+
+    def column(c: str) -> Column:
+        if c == "text":
+            return F.col("_text")
+        if c == "n_chars":
+            return F.when(F.col("_all").isNull(), field(c)).otherwise(F.length("_text").cast(docs.schema[c].dataType))
+        return field(c)
+    return out.select(*[column(c).alias(c) for c in docs.columns])

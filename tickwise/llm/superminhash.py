@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwise.llm.common import connected_components, small_side, stage
+from tickwise.llm.common import connected_components, field, packed, small_side, stage
 from tickwise.session import ship_package
 
 WIDTH = 3
@@ -314,13 +314,15 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each component; repeated rows of one id and text leave one row."""
     marks = stage(duplicates(docs).select("doc_id", "kept"), "smh-marks")
     gone = marks.where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    left = docs.join(small_side(gone, 16), docs["doc_id"].eqNullSafe(F.col("_gone")), "left_anti")
+    left = packed(docs).join(small_side(gone, 16), field("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
     repeated = stage(marks.groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1").select(F.col("doc_id").alias("_again")), "smh-again")
     if repeated.limit(1).count() == 0:
-        return left
+        return left.select("_d.*")
     again = small_side(repeated, 16)
-    once = left.join(again, left["doc_id"].eqNullSafe(F.col("_again")), "left_anti")
-    return once.unionByName(left.join(again, left["doc_id"].eqNullSafe(F.col("_again")), "left_semi").dropDuplicates(["doc_id", "text"]))
+    once = left.join(again, field("doc_id").eqNullSafe(F.col("_again")), "left_anti")
+    twice = left.join(again, field("doc_id").eqNullSafe(F.col("_again")), "left_semi")
+    twice = twice.withColumns({"_id": field("doc_id"), "_text": field("text")}).dropDuplicates(["_id", "_text"]).drop("_id", "_text")
+    return once.unionByName(twice).select("_d.*")
 
 
 NEAR_SQL = r"""
