@@ -94,7 +94,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Alternating large-star and small-star rounds: every node hands its
     neighbours its smallest neighbour.  All steps are grouped minima and joins
-    on node ids, so hubs are combined map-side and skewed joins can be split;
+    on node ids, so hubs are combined map-side; the minima are staged, so both
+    sides of a join are plain shuffles and Spark can split a hub's rows;
     nothing is collected but one fingerprint per round.
     """
     e = stage(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "cc")
@@ -102,9 +103,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
     while True:
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
+        low = stage(low, "cc-low")
         large = both.join(low, both["a"] == low["u"]).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         large = stage(large.where("a != b"), "cc-large")
-        low = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "u")
+        low = stage(large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "u"), "cc-low")
         moved = large.join(low, large["a"] == low["u"]).where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = moved.unionByName(low.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct()
         e = stage(small, "cc-small")

@@ -262,7 +262,7 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def candidate_groups(classes: DataFrame) -> DataFrame:
     """(node, component) over the stars of shared bands."""
     members = classes.select(F.struct("fa", "fb").alias("node"), F.explode("bands").alias("key"))
-    heads = members.groupBy("key").agg(F.min("node").alias("head"), F.count("*").alias("c")).where("c > 1").select("key", "head")
+    heads = stage(members.groupBy("key").agg(F.min("node").alias("head"), F.count("*").alias("c")).where("c > 1").select("key", "head"), "smh-heads")
     stars = members.join(heads, "key").where("node != head")
     return connected_components(stars.select(F.col("node").alias("a"), F.col("head").alias("b")))
 
@@ -273,7 +273,7 @@ def verified_forest(docs: DataFrame, classes: DataFrame) -> DataFrame:
     groups = stage(candidate_groups(classes), "smh-groups")
     known = classes.select(F.struct("fa", "fb").alias("node"), "rep", "n_shingles")
     sized = groups.join(known, "node")
-    blocks = sized.groupBy("component").agg(F.ceil(F.sum("n_shingles") / BLOCK).cast("int").alias("blocks"))
+    blocks = stage(sized.groupBy("component").agg(F.ceil(F.sum("n_shingles") / BLOCK).cast("int").alias("blocks")), "smh-blocks")
     wanted = stage(sized.join(blocks, "component").select(
         "rep", F.col("component.fa").alias("ca"), F.col("component.fb").alias("cb"), "blocks", F.col("node.fa").alias("fa"), F.col("node.fb").alias("fb")),
         "smh-wanted")
@@ -302,7 +302,7 @@ def duplicates(docs: DataFrame) -> DataFrame:
     rooted = classes.join(f, (F.col("fa") == F.col("_a")) & (F.col("fb") == F.col("_b")), "left").select(
         "fa", "fb", "rep", F.coalesce("ra", "fa").alias("ra"), F.coalesce("rb", "fb").alias("rb"))
     rooted = stage(rooted, "smh-rooted")
-    named = rooted.groupBy("ra", "rb").agg(F.min("rep").alias("component_id"))
+    named = stage(rooted.groupBy("ra", "rb").agg(F.min("rep").alias("component_id")), "smh-named")
     of_class = rooted.join(named, ["ra", "rb"]).select(F.col("fa").alias("_a"), F.col("fb").alias("_b"), "component_id")
     rows = signed.select("doc_id", "n_shingles", "fa", "fb").join(
         of_class, (F.col("fa") == F.col("_a")) & (F.col("fb") == F.col("_b")) & (F.col("n_shingles") > 0), "left")
