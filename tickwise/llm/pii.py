@@ -119,17 +119,17 @@ def trusted_instances(occ: DataFrame) -> DataFrame:
     edges = edges.select(F.concat_ws("\t", "c.side", "c.word", shape(F.col("value"))).alias("pattern"), "value", "seed")
     edges = stage(edges.groupBy("pattern", "value").agg(F.max("seed").alias("seed")), "pii-graph")
 
-    trust = edges.groupBy("value").agg(F.max(F.col("seed").cast("double")).alias("trust"))
+    seeds = stage(edges.groupBy("value").agg(F.max("seed").alias("seed")), "pii-seeds")
+    trust = seeds.select("value", F.col("seed").cast("double").alias("trust"))
     for _ in range(ROUNDS):
         scored = edges.select("pattern", "value").join(trust, "value").groupBy("pattern").agg(
             F.avg("trust").alias("confidence"), F.sum("trust").alias("support"))
-        good = scored.where((F.col("confidence") >= CONFIDENCE) & (F.col("support") >= MIN_SUPPORT))
+        good = stage(scored.where((F.col("confidence") >= CONFIDENCE) & (F.col("support") >= MIN_SUPPORT)), "pii-patterns")
         # the logarithm keeps the product a sum; a pattern never counts as certain
         vouched = edges.join(good, "pattern").groupBy("value").agg(
             (1 - F.exp(F.sum(F.log(1 - F.least("confidence", F.lit(0.99)))))).alias("vouched"))
-        trust = stage(edges.groupBy("value").agg(F.max(F.col("seed").cast("double")).alias("seed")).join(vouched, "value", "left")
-                      .select("value", F.when(F.col("seed") == 1, 1.0).otherwise(F.coalesce("vouched", F.lit(0.0))).alias("trust"),
-                              (F.col("seed") == 1).alias("seed")), "pii-trust")
+        trust = stage(seeds.join(vouched, "value", "left").select(
+            "value", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("vouched", F.lit(0.0))).alias("trust"), "seed"), "pii-trust")
     return trust.where(~F.col("seed") & (F.col("trust") >= CONFIDENCE)).select("value")
 
 
