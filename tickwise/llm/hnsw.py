@@ -284,7 +284,7 @@ def near_duplicates(embeddings: DataFrame) -> DataFrame:
     node = node.join(cc, (F.col("fa") == F.col("_a")) & (F.col("fb") == F.col("_b")), "left").select(
         "fa", "fb", "rep", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("root", F.struct("fa", "fb")).alias("root"))
     node = stage(node, "hnsw-nodes")
-    named = node.groupBy("root").agg(F.min("rep").alias("component_id"))
+    named = stage(node.groupBy("root").agg(F.min("rep").alias("component_id")), "hnsw-named")
     of_class = node.join(named, "root").select("fa", "fb", "n_links", "component_id")
     linked = rows.select("vec_id", "fa", "fb").join(of_class, ["fa", "fb"]).select("vec_id", "n_links", "component_id")
     alone = embeddings.where(~can_link()).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
