@@ -128,11 +128,3 @@ def test_bucketed_action_adjustment_equals_unbucketed(spark):
     b = {(r.company, r.date): r.adjClose
          for r in joins.adjust_for_actions(px, act, bucket=lambda c: F.trunc(c, "year")).collect()}
     assert a.keys() == b.keys() and all(math.isclose(a[k], b[k], rel_tol=1e-12) for k in a)
-
-
-def test_bounded_broadcast_hints_only_within_bound(spark):
-    dim = spark.range(50).withColumnRenamed("id", "k")
-    hinted = joins.bounded_broadcast(dim, 100)
-    assert "broadcast" in hinted._jdf.queryExecution().analyzed().toString().lower()
-    unhinted = joins.bounded_broadcast(dim, 10)
-    assert unhinted is dim

@@ -75,13 +75,42 @@ def test_dedupe_within_watermark(spark):
     assert S.read_result(spark, run).count() == 2
 
 
+def test_stream_reads_tables_of_many_files_and_keeps_ticks_of_one_time(spark):
+    src = tempfile.mkdtemp(prefix="tw-parts-")
+    t0 = dt.datetime(2024, 1, 1, 10, 0, 0)
+    rows = [(i, t0, 1, "x", float(i), "{}") for i in range(40)]
+    spark.createDataFrame(rows, S.EVENTS_SCHEMA).repartition(4).write.parquet(os.path.join(src, "events.parquet"))
+    run = S.run_append(spark, S.dedupe_ticks(S.tick_stream(spark, src)), "t-parts")
+    assert S.read_result(spark, run).count() == 40
+
+
+def test_sinks_clusters_and_reports_keep_every_row(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1.0, 1.0), (2.0, None), (nan, 3.0), (None, 4.0)], "close double, high double")
+    out = tempfile.mkdtemp(prefix="tw-svm-") + "/x"
+    files.write_libsvm(df, out, features=["high"])
+    assert spark.read.format("libsvm").option("numFeatures", 1).load(out).count() == 4
+    from tickwise.operators import clean, cluster, metrics, stats
+    assert clean.cleaning_report(df).first()["complete_rows"] == 1
+    assert {r["field"]: r["nulls"] for r in clean.null_report(df).collect()} == {"close": 2, "high": 1}
+    feats = spark.createDataFrame([("a", 1.0), ("b", 9.0), ("c", None), ("d", 1.1)], "company string, volatility double")
+    got = {r["company"]: r["cluster"] for r in cluster.cluster(feats, k=2, columns=["volatility"]).collect()}
+    assert got["c"] is None and got["a"] == got["d"] != got["b"]
+    far = spark.createDataFrame([(1e9 + i, 1e9 + i + (-1) ** i * 0.1) for i in range(100)], "label double, prediction double")
+    sse, sst = 100 * 0.01, sum((i - 49.5) ** 2 for i in range(100))
+    assert abs(metrics.regression_metrics(far).first()["r2"] - (1 - sse / sst)) < 1e-6
+    pairs = spark.createDataFrame([("k", 1.0, 3.0), ("k", 2.0, 2.0), ("k", 3.0, 1.0), ("k", None, 9.0)], "company string, a double, b double")
+    for buckets in (None, 2):
+        ranks = stats.average_ranks(pairs, ["a"], ["company"], buckets).collect()
+        assert sorted((r["a"] or 0) for r in ranks) == [0, 1, 2, 3]
+
+
 def test_grid_sizes_and_hash_split(spark):
     sizes = {}
     for algo, preset in [("lr", "full"), ("lr", "notebook"), ("gbr", "full"), ("rf", "full"), ("ir", "full")]:
         sizes[(algo, preset)] = len(regress.param_grid(regress.estimator(algo), algo, preset))
     assert sizes == {("lr", "full"): 120, ("lr", "notebook"): 144, ("gbr", "full"): 3, ("rf", "full"): 9,
                      ("ir", "full"): 2}
-    assert [int(x) for x in regress.linspace(5, 50, 5)] == [5, 16, 27, 38, 50]
     df = spark.range(2000).withColumn("k2", F.col("id") % 7)
     tr, te = regress.hash_split(df, ["id", "k2"], 0.3)
     a, b = {r.id for r in tr.collect()}, {r.id for r in te.collect()}

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickwise.operators.stats import row_counts
+from tickwise.operators.stats import is_missing, row_counts
 
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
@@ -73,9 +73,9 @@ def impute_mean(df: DataFrame, columns: Optional[Sequence[str]] = None,
 
 
 def null_report(df: DataFrame, columns: Optional[Sequence[str]] = None) -> DataFrame:
-    """C4: NULL count per column (one aggregate) as (field, nulls, any_null)."""
+    """C4: count of NULL or NaN per column (one aggregate) as (field, nulls, any_null)."""
     cols = list(columns or df.columns)
-    wide = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
+    wide = df.agg(*[F.count_if(is_missing(df, c)).alias(c) for c in cols])
     stack = F.inline(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("nulls")) for c in cols]))
     return wide.select(stack).withColumn("any_null", F.col("nulls") > 0)
 

@@ -31,7 +31,7 @@ def company_features(prices: DataFrame) -> DataFrame:
 
 def cluster(features: DataFrame, k: int = 3, seed: int = 42, method: str = "kmeans",
             columns: Sequence[str] = FEATURE_COLUMNS) -> DataFrame:
-    """(company, cluster) with standardised features."""
+    """(company, cluster) with standardised features; NULL for a company with an undefined feature."""
     algo = (KMeans(k=k, seed=seed, featuresCol="scaled", predictionCol="cluster") if method == "kmeans"
             else BisectingKMeans(k=k, seed=seed, featuresCol="scaled", predictionCol="cluster"))
     pipe = Pipeline(stages=[
@@ -40,7 +40,7 @@ def cluster(features: DataFrame, k: int = 3, seed: int = 42, method: str = "kmea
         algo,
     ])
     model = pipe.fit(features)
-    return model.transform(features).select("company", "cluster")
+    return features.select("company").join(model.transform(features).select("company", "cluster"), "company", "left")
 
 
 def silhouette_by_k(features: DataFrame, ks: Sequence[int] = (2, 3, 4, 5), seed: int = 42,

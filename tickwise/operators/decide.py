@@ -21,6 +21,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickwise.operators.clean import drop_incomplete
 from tickwise.operators.classify import classification_pipeline, scored_arrays
 from tickwise.operators.forecast import ForecastSpec, forecast
 from tickwise.operators.select import DateLike, as_of_date, forecast_input, last_days
@@ -55,7 +56,7 @@ def predict_values(prices: DataFrame, value: str = "close", spec: ForecastSpec =
                    last: Optional[int] = None, as_of: DateLike = None) -> DataFrame:
     """E1 ``predict``: forecast ``value`` of every company, stamped with the run date."""
     px = last_days(prices, last, as_of) if last else prices
-    hist = forecast_input(px, value).na.drop()
+    hist = forecast_input(drop_incomplete(px), value)
     return forecast(hist, spec).withColumn("training_date", as_of_date(as_of))
 
 
@@ -78,22 +79,23 @@ def decide(prices: DataFrame, value: str = "close", fspec: ForecastSpec = Foreca
                   min_instances_per_node=dspec.min_instances_per_node, num_trees=dspec.num_trees,
                   n_features=len(DECISION_FEATURES), n_classes=3)
 
-    def one(company: str) -> Optional[DataFrame]:
+    def one(company: str) -> DataFrame:
         rows = data.filter(F.col("company") == company)
         train, test = rows.randomSplit([1.0 - dspec.val_split, dspec.val_split], seed=dspec.seed)
-        if train.limit(1).count() == 0:
-            return None
+        if train.limit(1).count() == 0:  # nothing to learn from: the rows stay, undecided
+            return unscored(rows if dspec.score_all else test)
         model = classification_pipeline(dspec.classifier, dspec.scale, **params).fit(train)
-        return model.transform(rows if dspec.score_all else test)
+        return scored_arrays(model.transform(rows if dspec.score_all else test))
 
     with ThreadPoolExecutor(max_workers=max(1, dspec.threads)) as pool:
-        scored = [s for s in pool.map(one, sorted(companies)) if s is not None]
+        scored = list(pool.map(one, sorted(companies)))
     if not scored:
-        # no company had training rows: an empty frame with the decision schema
-        empty = (data.limit(0)
-                 .withColumn("rawPrediction", F.lit(None).cast("array<double>"))
-                 .withColumn("probability", F.lit(None).cast("array<double>"))
-                 .withColumn("prediction", F.lit(None).cast("double")))
-        return scored_arrays(empty).select(*OUTPUT_COLUMNS)
-    out = scored_arrays(reduce(lambda a, b: a.unionByName(b), scored))
-    return out.select(*OUTPUT_COLUMNS)
+        return unscored(data.limit(0)).select(*OUTPUT_COLUMNS)
+    return reduce(lambda a, b: a.unionByName(b), scored).select(*OUTPUT_COLUMNS)
+
+
+def unscored(rows: DataFrame) -> DataFrame:
+    """Rows in the shape of a scored frame, without a prediction."""
+    return scored_arrays(rows.withColumn("rawPrediction", F.lit(None).cast("array<double>"))
+                         .withColumn("probability", F.lit(None).cast("array<double>"))
+                         .withColumn("prediction", F.lit(None).cast("double")))

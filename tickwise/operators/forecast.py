@@ -42,7 +42,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickwise.operators.joins import bounded_broadcast
 from tickwise.operators.windows import future_frame
 from tickwise.schema import FORECAST_COMPONENTS
 from tickwise.session import cut_lineage
@@ -71,7 +70,6 @@ class ForecastSpec:
     seasonality_prior_scale: float = 10.0
     irls_iterations: int = 25
     include_history: bool = True
-    max_broadcast_companies: int = 2_000_000
 
     @property
     def n_trend(self) -> int:
@@ -154,12 +152,22 @@ def _scaled_time(day: Column) -> Column:
     return (day - F.col("d0")).cast("double") / span
 
 
+#: Companies whose partial sums one task holds at a time.
+MAX_PARTIALS = 4096
+
+
 def _gram_partials(p: int):
     iu = np.triu_indices(p)
     ncell = len(iu[0])
 
     def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         acc: dict[str, list] = {}
+
+        def flushed() -> Iterator[pd.DataFrame]:
+            for company, (vec,) in acc.items():
+                yield pd.DataFrame({"company": company, "cell": np.arange(len(vec), dtype=np.int32), "value": vec})
+            acc.clear()
+
         for pdf in batches:
             for company, g in pdf.groupby("company", sort=False):
                 x = np.vstack(g["x"].to_numpy()).astype(float)
@@ -169,8 +177,9 @@ def _gram_partials(p: int):
                     acc[company][0] += part
                 else:
                     acc[company] = [part]
-        for company, (vec,) in acc.items():
-            yield pd.DataFrame({"company": company, "cell": np.arange(len(vec), dtype=np.int32), "value": vec})
+                if len(acc) >= MAX_PARTIALS:  # partial sums add up, so they may leave early
+                    yield from flushed()
+        yield from flushed()
 
     return fn, ncell
 
@@ -197,7 +206,7 @@ def _solver(spec: ForecastSpec):
         n, yy = v[ncell + p], v[ncell + p + 1]
         weights = pen.copy()
         beta = ridge(g, b, weights)
-        if spec.changepoint_prior == "laplace" and n > p:
+        if spec.changepoint_prior == "laplace":
             # residual variance of the first fit sets the prior weights
             s2 = max(yy - 2.0 * b @ beta + beta @ g @ beta, 0.0) / max(n - p, 1.0)
             s2 = max(s2, 1e-12)
@@ -227,9 +236,8 @@ def fit(history: DataFrame, spec: ForecastSpec = ForecastSpec()) -> DataFrame:
     clean = history.filter(F.col("y").isNotNull() & ~F.isnan("y") & F.col("ds").isNotNull())
     # one row per company, read three times below: materialise it once
     scales = cut_lineage(_scales(clean, spec))
-    sc = bounded_broadcast(scales, spec.max_broadcast_companies)
     carry = ["_cps"] if "_cps" in scales.columns else []
-    rows = clean.join(sc, "company").select(
+    rows = clean.join(scales, "company").select(
         "company",
         _scaled_time(F.unix_date("ds")).alias("_t"),
         F.unix_date("ds").cast("double").alias("_d"),
@@ -250,7 +258,7 @@ def predict(model: DataFrame, history: DataFrame, spec: ForecastSpec = ForecastS
     if not spec.include_history:
         last = history.groupBy("company").agg(F.max("ds").alias("_last"))
         frame = frame.join(last, "company").filter(F.col("ds") > F.col("_last")).drop("_last")
-    m = bounded_broadcast(model, spec.max_broadcast_companies)
+    m = model
     day = F.unix_date("ds")
     t = _scaled_time(day)
     nt, nw = spec.n_trend, 2 * spec.weekly_order

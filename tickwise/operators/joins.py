@@ -15,21 +15,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only after proving the row count is within ``max_rows``.
-
-    One cheap counting job; above the bound the frame is returned unchanged and
-    Catalyst picks a shuffle join.
-    """
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def enrich(prices: DataFrame, profile: DataFrame, key: str = "company", profile_key: str = "ticker",
-           how: str = "left", max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """Attach the company profile (a dimension) to each price row."""
+           how: str = "left") -> DataFrame:
+    """Attach the company profile (a dimension) to each price row; Spark picks the join by bytes."""
     dim = profile.withColumnRenamed(profile_key, key)
-    return prices.join(bounded_broadcast(dim, max_broadcast_rows), key, how)
+    return prices.join(dim, key, how)
 
 
 def asof(left: DataFrame, right: DataFrame, left_key: str, right_key: str, left_time: str, right_time: str,

@@ -16,7 +16,7 @@ def regression_metrics(pred: DataFrame, label: str = "label", prediction: str =
                        by: Sequence[str] = ()) -> DataFrame:
     """N, RMSE, MAE and R^2 per group in ONE aggregate (no second pass for the mean).
 
-    SST = sum(l^2) - (sum l)^2 / n.
+    SST = var_pop(label) * n: Spark merges central moments, so large labels do not cancel.
     """
     l, p = F.col(label), F.col(prediction)
     err = p - l
@@ -24,11 +24,10 @@ def regression_metrics(pred: DataFrame, label: str = "label", prediction: str =
         F.count(F.lit(1)).alias("n"),
         F.sum(err * err).alias("_sse"),
         F.sum(F.abs(err)).alias("_sae"),
-        F.sum(l).alias("_sl"),
-        F.sum(l * l).alias("_sll"),
+        F.var_pop(l).alias("_var"),
     )
     n = F.col("n").cast("double")
-    sst = F.col("_sll") - F.col("_sl") * F.col("_sl") / n
+    sst = F.col("_var") * n
     return agg.select(
         *by, "n",
         F.sqrt(F.col("_sse") / n).alias("rmse"),

@@ -10,12 +10,14 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from itertools import product
 from typing import Callable, Optional, Sequence
 
+import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.regression import GBTRegressor, IsotonicRegression, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,13 +76,6 @@ def lagged_features(prices: DataFrame, features: Sequence[str], lag: int = 1, by
 # M3-M6 estimators and M8 grids
 
 
-def linspace(start: float, stop: float, num: int) -> list[float]:
-    if num == 1:
-        return [float(start)]
-    step = (stop - start) / (num - 1)
-    return [start + i * step for i in range(num)]
-
-
 def estimator(algo: str, features: str = "features", label: str = "label", seed: int = 42, **params):
     """Estimator with the reference's fixed defaults (overridable)."""
     if algo == "lr":
@@ -96,34 +91,34 @@ def estimator(algo: str, features: str = "features", label: str = "label", seed:
     raise ValueError(algo)
 
 
-def param_grid(est, algo: str, preset: str = "small"):
-    """M8 grids.  ``full`` reproduces the study's sizes (LR 120 / 144 points,
-    GBT 3, RF 9, isotonic 2); ``small`` is a cheap subset for tests."""
-    b = ParamGridBuilder()
-    if algo == "lr":
-        if preset in ("full", "study"):
-            b = (b.addGrid(est.maxIter, [int(x) for x in linspace(5, 50, 5)])
-                 .addGrid(est.regParam, linspace(0.1, 0.9, 4))
-                 .addGrid(est.elasticNetParam, linspace(0.01, 1.0, 6)))
-        elif preset == "notebook":
-            b = (b.addGrid(est.maxIter, [int(x) for x in linspace(5, 30, 6)])
-                 .addGrid(est.regParam, linspace(0.1, 0.9, 4))
-                 .addGrid(est.elasticNetParam, linspace(0.01, 1.0, 6)))
-        else:
-            b = b.addGrid(est.regParam, [0.1, 0.9])
-    elif algo == "gbr":
-        if preset in ("full", "study"):
-            b = b.addGrid(est.maxIter, [5, 10, 30]).addGrid(est.maxDepth, [10]).addGrid(est.maxBins, [32])
-        else:
-            b = b.addGrid(est.maxIter, [5]).addGrid(est.maxDepth, [3])
-    elif algo == "rf":
-        if preset in ("full", "study", "notebook"):
-            b = b.addGrid(est.numTrees, [10, 30, 50]).addGrid(est.maxDepth, [5, 15, 25])
-        else:
-            b = b.addGrid(est.numTrees, [10]).addGrid(est.maxDepth, [5])
-    elif algo == "ir":
-        b = b.addGrid(est.isotonic, [True, False])
-    return b.build()
+# The study's parameter grids (evenly spaced floats as start, stop, count).
+GRIDS = {
+    "full": {
+        "lr": {"maxIter": [5, 16, 27, 38, 50], "regParam": (0.1, 0.9, 4), "elasticNetParam": (0.01, 1.0, 6)},
+        "gbr": {"maxIter": [5, 10, 30], "maxDepth": [10], "maxBins": [32]},
+        "rf": {"numTrees": [10, 30, 50], "maxDepth": [5, 15, 25]},
+        "ir": {"isotonic": [True, False]},
+    },
+    "notebook": {
+        "lr": {"maxIter": [5, 10, 15, 20, 25, 30], "regParam": (0.1, 0.9, 4), "elasticNetParam": (0.01, 1.0, 6)},
+        "gbr": {"maxIter": [5], "maxDepth": [3]},
+        "rf": {"numTrees": [10, 30, 50], "maxDepth": [5, 15, 25]},
+        "ir": {"isotonic": [True, False]},
+    },
+    "small": {
+        "lr": {"regParam": [0.1, 0.9]},
+        "gbr": {"maxIter": [5], "maxDepth": [3]},
+        "rf": {"numTrees": [10], "maxDepth": [5]},
+        "ir": {"isotonic": [True, False]},
+    },
+}
+GRIDS["study"] = GRIDS["full"]
+
+
+def param_grid(est, algo: str, preset: str = "small") -> list[dict]:
+    """M8: every combination of an algorithm's values in ``GRIDS``."""
+    axes = {name: np.linspace(*v).tolist() if isinstance(v, tuple) else v for name, v in GRIDS[preset][algo].items()}
+    return [{est.getParam(name): value for name, value in zip(axes, point)} for point in product(*axes.values())]
 
 
 def pipeline(features: Sequence[str], algo: str, label: str = "label", seed: int = 42, **params) -> Pipeline:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from itertools import combinations
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickwise.schema import PRICE_COLUMNS
@@ -189,8 +189,10 @@ def average_ranks(df: DataFrame, columns: Sequence[str], by: Sequence[str], buck
     ranked = []
     for c in df.columns:
         if c in columns:
-            w = Window.partitionBy(*by).orderBy(F.col(c))
-            ranked.append(((F.rank().over(w) + F.count(F.lit(1)).over(w)) / 2.0).cast("double").alias(c))
+            # NULLs are ranked apart and keep NULL
+            w = Window.partitionBy(*by, F.col(c).isNull()).orderBy(F.col(c))
+            rank = ((F.rank().over(w) + F.count(F.lit(1)).over(w)) / 2.0).cast("double")
+            ranked.append(F.when(F.col(c).isNotNull(), rank).alias(c))
         else:
             ranked.append(F.col(c))
     return df.select(*ranked)
@@ -204,7 +206,7 @@ def _bucketed_average_ranks(df: DataFrame, c: str, by: list, k: int) -> DataFram
     3. rows before each range = prefix sum over the small (group, range) totals;
     4. rank inside (group, range) only; average rank = before + earlier-in-range + (n + 1) / 2;
     5. join the rank back on (group, value).
-    NULL values keep NULL (as in the window form they sort first; here excluded).
+    NULL values keep NULL, as in the window form.
     """
     v = F.col(c)
     d = df.filter(v.isNotNull()).groupBy(*by, c).agg(F.count(F.lit(1)).alias("_n"))
@@ -245,12 +247,18 @@ def match_counts(df: DataFrame, prediction: str = "prediction", label: str = "la
     return df.groupBy((F.col(prediction) == F.col(label)).alias("correct")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def is_missing(df: DataFrame, column: str) -> Column:
+    """NULL, or NaN in a floating-point column: what dropping incomplete rows drops."""
+    missing = F.col(column).isNull()
+    return missing | F.isnan(column) if df.schema[column].dataType.typeName() in ("double", "float") else missing
+
+
 def row_counts(df: DataFrame) -> DataFrame:
-    """Rows, distinct rows and complete (no NULL) rows in one job."""
+    """Rows, distinct rows and complete (no NULL, no NaN) rows in one job."""
     cols = df.columns
     complete = F.lit(True)
     for c in cols:
-        complete = complete & F.col(c).isNotNull()
+        complete = complete & ~is_missing(df, c)
     # Two-level aggregate: collapse identical rows (partial aggregation absorbs a
     # hot row value), then one global sum over the distinct rows.
     per_row = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_k"))

@@ -1,7 +1,7 @@
 """Registry of named queries: a DataFrame builder plus (optionally) its DuckDB oracle.
 
-Each builder receives a ``Tables`` handle and returns a lazy DataFrame; the
-registry itself never executes anything.
+Each builder receives a ``Tables`` handle and returns a DataFrame; builders
+that fit models, run streams or stage tables execute Spark jobs.
 """
 
 from __future__ import annotations

@@ -71,14 +71,14 @@ def k4_sliding_window_stats(t):
     return rounded(S.read_result(t.spark, run))
 
 
-@register("k5_dedupe_replayed_feed", views=("ticks",), sql="""
-SELECT DISTINCT symbol, ts, round(price, 4) AS price, user_id FROM ticks
+@register("k5_dedupe_replayed_feed", sql="""
+SELECT DISTINCT event_id, event_type AS symbol, CAST(ts AS TIMESTAMP) AS ts, round(value, 4) AS price, user_id FROM events
 """)
 def k5_dedupe_replayed_feed(t):
     """The feed is delivered twice (two sources); duplicates vanish within the watermark."""
     a = S.tick_stream(t.spark, t.sf_dir)
     b = S.tick_stream(t.spark, t.sf_dir)
-    d = S.dedupe_ticks(a.unionByName(b), "10 minutes").select("symbol", "ts", "price", "user_id")
+    d = S.dedupe_ticks(a.unionByName(b), "10 minutes").select("event_id", "symbol", "ts", "price", "user_id")
     run = S.run_append(t.spark, _ntz(d), "k5")
     return rounded(S.read_result(t.spark, run))
 

@@ -121,10 +121,12 @@ def write_libsvm(df: DataFrame, path: str, label: str = "close", features: Seque
     """Rows -> libsvm (1-based indices, zeros stored sparsely).
 
     Default feature order is the fixed ``FEATURES`` tuple; ``alphabetical=True``
-    gives the sorted order of the other writer.
+    gives the sorted order of the other writer.  Every row is written: a missing
+    label or feature is NaN.
     """
     cols = sorted(features) if alphabetical else list(features)
-    data = assemble(df.select(F.col(label).cast("double").alias("label"), *cols), cols)
+    target = F.coalesce(F.col(label).cast("double"), F.lit(float("nan"))).alias("label")
+    data = assemble(df.select(target, *cols), cols, handle_invalid="keep")
     data.select("label", "features").write.mode("overwrite").format("libsvm").save(path)
 
 

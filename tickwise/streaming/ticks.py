@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickwise.operators.joins import bounded_broadcast
 from tickwise.operators.windows import bars
 from tickwise.schema import BAR_SIZES
 from tickwise.sources.files import scratch
@@ -35,17 +34,18 @@ PROPS_SCHEMA = "k INT"
 
 
 def tick_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: Optional[int] = None) -> DataFrame:
-    """K1 source: streaming ticks from the events parquet (one file, selected by glob)."""
-    r = spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", "events.parquet")
+    """K1 source: streaming ticks from the events table, one file or a folder of part files."""
+    r = spark.readStream.schema(EVENTS_SCHEMA)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    ev = r.parquet(sf_dir)
+    ev = r.parquet(f"{sf_dir}/events.parquet*")
     return ticks_from_events(ev)
 
 
 def ticks_from_events(ev: DataFrame) -> DataFrame:
     """Events -> ticks; event time cast to TIMESTAMP (watermarks need it)."""
     return ev.select(
+        "event_id",
         F.col("event_type").alias("symbol"),
         F.col("ts").cast("timestamp").alias("ts"),
         F.col("value").alias("price"),
@@ -85,15 +85,14 @@ def sliding_stats(ticks: DataFrame, size: str = "1 hour", slide: str = "15 minut
                     "mean", "max", "min", "std", "n"))
 
 
-def dedupe_ticks(ticks: DataFrame, watermark: str = "10 minutes", keys=("symbol", "ts")) -> DataFrame:
-    """K5: drop re-delivered ticks (same key) within the watermark."""
+def dedupe_ticks(ticks: DataFrame, watermark: str = "10 minutes", keys=("event_id",)) -> DataFrame:
+    """K5: drop re-delivered ticks (same event) within the watermark; different ticks at one time all stay."""
     return ticks.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(list(keys))
 
 
-def enrich_stream(ticks: DataFrame, static: DataFrame, key: str = "symbol", max_rows: int = 1_000_000
-                  ) -> DataFrame:
-    """K7: stream-static join with a dimension whose size is checked before broadcast."""
-    return ticks.join(bounded_broadcast(static, max_rows), key, "left")
+def enrich_stream(ticks: DataFrame, static: DataFrame, key: str = "symbol") -> DataFrame:
+    """K7: stream-static join; Spark broadcasts the static side when its bytes allow it."""
+    return ticks.join(static, key, "left")
 
 
 # ---------------------------------------------------------------------------
