@@ -21,3 +21,14 @@ def test_api_surface(spark, tables):
     assert res.rmse > 0 and pred.count() > 0
     rep = api.regression_report(V.ml(tables), list(V.ML_FEATURES))
     assert rep["lr_metrics"].first().n > 0 and rep["lr_coefficients"].count() == 6
+
+
+def test_visualize_bins_every_column(spark):
+    from tickwise import api
+    from tickwise.schema import PRICE_COLUMNS
+    from pyspark.sql import functions as F
+
+    px = spark.range(30).select(F.lit("A").alias("company"), F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")).alias("date"),
+                                *[(F.col("id") + i).cast("double").alias(c) for i, c in enumerate(PRICE_COLUMNS)])
+    h = api.visualize(px)["histogram"].groupBy("column").agg(F.sum("n").alias("n")).collect()
+    assert {r["column"]: r.n for r in h} == {c: 30 for c in PRICE_COLUMNS}

@@ -97,6 +97,36 @@ def test_decide_output_schema(spark, tables):
     assert {r.training_date for r in rows} == {dt.date(2001, 8, 1)}
 
 
+def test_decide_many_companies_in_batches(spark):
+    """Every company and row comes back once; the result plan does not grow with the companies; ids split exactly."""
+    from tickwise.operators import decide
+
+    spec = FC.ForecastSpec(periods=4, n_changepoints=0, weekly_order=0, yearly_order=0)
+    plans = []
+    for n in (3, 200):
+        px = spark.range(n * 8).select(
+            F.when(F.col("id") % n == 1, F.lit("")).otherwise(F.concat(F.lit("00/"), F.col("id") % n)).alias("company"),
+            F.date_add(F.lit("2020-01-01").cast("date"), F.floor(F.col("id") / n).cast("int")).alias("date"),
+            (F.col("id") * 7 % 11 + F.col("id")).cast("double").alias("close"))
+        out = decide.decide(px, "close", spec, decide.DecideSpec(classifier="dt", max_depth=2, batch=50, threads=8), as_of="2020-02-01")
+        rows = out.collect()
+        assert len({r.company for r in rows}) == n and len(rows) == 2 * n and all(r.id % 5 == 0 for r in rows)
+        assert all(r.prediction == r.label for r in rows)  # one trend, one label per company
+        plans.append(len(out._jdf.queryExecution().optimizedPlan().toString()))
+    assert plans[0] == plans[1]
+
+
+def test_decide_keeps_rows_without_a_prediction(spark):
+    """A company with nothing to learn from stays, undecided."""
+    from tickwise.operators import decide
+
+    spec = FC.ForecastSpec(periods=1, n_changepoints=0, weekly_order=0, yearly_order=0)
+    px = spark.createDataFrame([("A", dt.date(2020, 1, d), float(d)) for d in range(1, 5)], "company string, date date, close double")
+    args = ("close", spec, decide.DecideSpec(classifier="dt", val_split=1.0, score_all=True))
+    rows = decide.decide(px, *args, as_of="2020-02-01").collect()
+    assert len(rows) == 4 and all(r.prediction is None and r.label == 1 for r in rows)
+
+
 def test_decide_with_no_data_keeps_schema(spark, tables):
     from tickwise.operators import decide
     from tickwise.plans import views as V

@@ -173,3 +173,13 @@ def test_isotonic_feature_by_name(spark):
     df = spark.createDataFrame(rows, "company string, x double, noise double, close double")
     res, pred = regress.fit_best(df, "ir", ["noise", "x"], "close", isotonic_feature="x")
     assert res.rmse < 1.0 and res.params.get("featureIndex") == "1"
+
+
+def test_best_regressor_returns_its_model(spark):
+    from tickwise.operators import regress
+
+    df = spark.range(300).select((F.col("id") * 2.0 + 1).alias("close"), F.col("id").cast("double").alias("x"))
+    res, pred = regress.fit_best(df, "lr", ["x"], "close", preset="small", seed=3)
+    again = res.model.transform(pred.drop("prediction")).select("prediction").collect()
+    assert sorted(r.prediction for r in again) == sorted(r.prediction for r in pred.collect())
+    assert res.model.coefficients[0] > 1

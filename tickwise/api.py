@@ -58,7 +58,8 @@ def visualize(prices: DataFrame, columns: Sequence[str] = PRICE_COLUMNS, bins: i
     return {
         "tail": select.last_n(prices, 5),
         "describe": stats.describe(prices, columns),
-        "histogram": stats.histogram(prices, "close", bins),
+        "histogram": stats.histogram(prices.select("company", *[F.col(c).cast("double").alias(c) for c in columns])
+                                     .unpivot(["company"], list(columns), "column", "value"), "value", bins, by=("company", "column")),
         "boxplot": stats.box_stats(prices, list(columns)),
         "correlation": stats.correlation(prices, list(columns)),
     }
@@ -79,6 +80,7 @@ def compare_models(prices: DataFrame, companies: Sequence[str], algos: Sequence[
         "normality": compare.normality(samples),
         "rank_sums": compare.verdict(compare.rank_sums(samples)),
         "medians": stats.median_table(samples, "rmse", "company", "algo", list(algos)),
+        "means": samples.groupBy("company", "algo").agg(F.avg("rmse").alias("mean_rmse"), F.count("rmse").alias("runs")),
         "boxplot": stats.box_stats(samples, ["rmse"], by=("company", "algo")),
     }
 

@@ -49,12 +49,14 @@ def dedupe(df: DataFrame, keys: Optional[Sequence[str]] = None) -> DataFrame:
 
 
 def impute_mean(df: DataFrame, columns: Optional[Sequence[str]] = None,
-                by: Optional[Sequence[str]] = None) -> DataFrame:
+                by: Optional[Sequence[str]] = None, observed: Optional[DataFrame] = None) -> DataFrame:
     """Fill NULLs of numeric columns with the column mean.
 
     Global (``by=None``): Spark ML ``Imputer`` - one aggregate pass, the means
     (one value per column) are the only thing that reaches the driver.
     Per group: means per group joined back on the group key (one row per group).
+    ``observed`` names the rows that hold the values where ``df`` only adds empty
+    rows to them (a calendar): means ignore NULLs, so they are the same.
     """
     cols = list(columns or numeric_columns(df, exclude=by or ()))
     if not by:
@@ -64,7 +66,7 @@ def impute_mean(df: DataFrame, columns: Optional[Sequence[str]] = None,
         imp = Imputer(strategy="mean", inputCols=cols, outputCols=[f"_{c}_imp" for c in cols])
         out = imp.fit(cast).transform(cast)
         return out.select(*[F.col(f"_{c}_imp").alias(c) if c in cols else F.col(c) for c in df.columns])
-    means = df.groupBy(*by).agg(*[F.avg(c).alias(f"_{c}_mean") for c in cols])
+    means = (df if observed is None else observed).groupBy(*by).agg(*[F.avg(c).alias(f"_{c}_mean") for c in cols])
     joined = df.join(means, list(by), "left")
     return joined.select(*[
         F.coalesce(F.col(c).cast("double"), F.col(f"_{c}_mean")).alias(c) if c in cols else F.col(c)

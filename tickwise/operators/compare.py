@@ -72,13 +72,6 @@ def normality(samples: DataFrame, value: str = "rmse", by: Sequence[str] = ("com
     return out.withColumn("normal", F.col("p_value") >= F.lit(alpha)).drop("z_skew", "z_kurt")
 
 
-def algorithm_pairs(samples: DataFrame, by: str = "company", algo: str = "algo") -> DataFrame:
-    """Unordered algorithm pairs per company (a < b); tiny (algorithms^2 per company)."""
-    a = samples.select(by, F.col(algo).alias("algo_a")).distinct()
-    b = samples.select(by, F.col(algo).alias("algo_b")).distinct()
-    return a.join(b, by).filter(F.col("algo_a") < F.col("algo_b"))
-
-
 def rank_sums(samples: DataFrame, value: str = "rmse", by: str = "company", algo: str = "algo") -> DataFrame:
     """Wilcoxon rank-sum test for every algorithm pair within a company.
 
@@ -86,13 +79,12 @@ def rank_sums(samples: DataFrame, value: str = "rmse", by: str = "company", algo
     sum of ``algo_a``; z = (W - n_a (n + 1) / 2) / sqrt(n_a n_b (n + 1) / 12)
     (no tie correction, as the classic large-sample form).
     """
-    pairs = algorithm_pairs(samples, by, algo)
-    s = samples.select(by, algo, value)
-    side_a = s.join(pairs, (s[by] == pairs[by]) & (s[algo] == pairs["algo_a"])).select(
-        s[by], "algo_a", "algo_b", F.lit(True).alias("in_a"), s[value])
-    side_b = s.join(pairs, (s[by] == pairs[by]) & (s[algo] == pairs["algo_b"])).select(
-        s[by], "algo_a", "algo_b", F.lit(False).alias("in_a"), s[value])
-    pooled = side_a.unionByName(side_b)
+    # each sample joins its company's few algorithm names once and spreads to the pairs it belongs to
+    names = samples.groupBy(by).agg(F.collect_set(algo).alias("_algos"))
+    others = F.filter("_algos", lambda x: x != F.col(algo))
+    spread = F.transform(others, lambda x: F.struct(F.least(F.col(algo), x).alias("algo_a"), F.greatest(F.col(algo), x).alias("algo_b"),
+                                                    (F.col(algo) < x).alias("in_a")))
+    pooled = samples.select(by, algo, value).join(names, by).select(by, value, F.inline(spread))
     key = [by, "algo_a", "algo_b"]
     w = Window.partitionBy(*key).orderBy(value)
     # mid-rank: (first rank of the tie group + last rank of it) / 2, one ordered window

@@ -9,7 +9,7 @@ parameters) come back to the driver.
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import product
 from typing import Callable, Optional, Sequence
 
@@ -46,6 +46,13 @@ def hash_split(df: DataFrame, keys: Sequence[str], test_fraction: float = 0.3, s
     return df.filter(bucket < cut), df.filter(bucket >= cut)
 
 
+def modulo_split(df: DataFrame, key: str, test_fraction: float = 0.3) -> tuple[DataFrame, DataFrame]:
+    """Deterministic split on an integer key: a row is held out if key mod 100 is below the test percentage."""
+    percent = int(round(test_fraction * 100))
+    test = F.pmod(F.col(key), F.lit(100)) < percent
+    return df.filter(~test), df.filter(test)
+
+
 def time_split(df: DataFrame, test_fraction: float = 0.2, by: Sequence[str] = ("company",), order: str = "date"
                ) -> tuple[DataFrame, DataFrame]:
     """Last ``test_fraction`` of each series (by time) is the test set.
@@ -115,7 +122,7 @@ GRIDS = {
 GRIDS["study"] = GRIDS["full"]
 
 
-def param_grid(est, algo: str, preset: str = "small") -> list[dict]:
+def param_grid(est, algo: str, preset: str = "full") -> list[dict]:
     """M8: every combination of an algorithm's values in ``GRIDS``."""
     axes = {name: np.linspace(*v).tolist() if isinstance(v, tuple) else v for name, v in GRIDS[preset][algo].items()}
     return [{est.getParam(name): value for name, value in zip(axes, point)} for point in product(*axes.values())]
@@ -136,7 +143,7 @@ def evaluator(metric: str = "rmse", label: str = "label") -> RegressionEvaluator
     return RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName=metric)
 
 
-def cross_validate(train: DataFrame, algo: str, preset: str = "small", seed: int = 42, folds: int = 3,
+def cross_validate(train: DataFrame, algo: str, preset: str = "full", seed: int = 42, folds: int = 3,
                    parallelism: int = 2, features: str = "features", label: str = "label"):
     """M9: k-fold CV on RMSE over the preset grid (input should be cached by the caller)."""
     est = estimator(algo, features=features, label=label, seed=seed)
@@ -199,12 +206,15 @@ class FitResult:
     run: int
     rmse: float
     params: dict
+    model: object = None  # the fitted best model
 
 
-def fit_best(df: DataFrame, algo: str, features: Sequence[str], label: str = "close", preset: str = "small",
+def fit_best(df: DataFrame, algo: str, features: Sequence[str], label: str = "close", preset: str = "full",
              seed: int = 42, test_fraction: float = 0.3, company: str = "", run: int = 0,
              feature_index: Optional[int] = None, isotonic_feature: Optional[str] = None):
-    """Split -> grid -> CV -> best model -> test RMSE.  Returns (FitResult, predictions).
+    """Split -> grid -> CV -> best model -> test RMSE.  Returns (FitResult with the model, predictions).
+
+    The split hashes the row's own values, so a recomputed source puts every row on the same side.
 
     Isotonic regression uses one feature: ``isotonic_feature`` names it
     (default: the first feature, as Spark's ``featureIndex=0``).
@@ -212,7 +222,7 @@ def fit_best(df: DataFrame, algo: str, features: Sequence[str], label: str = "cl
     if isotonic_feature is not None:
         feature_index = list(features).index(isotonic_feature)
     data = assemble(df.select(F.col(label).cast("double").alias("label"), *features), list(features))
-    train, test = random_split(data, test_fraction, seed)
+    train, test = hash_split(data, ["label", *features], test_fraction, seed)
     train = train.cache()
     try:
         est = estimator(algo, seed=seed)
@@ -223,13 +233,13 @@ def fit_best(df: DataFrame, algo: str, features: Sequence[str], label: str = "cl
         model = cv.fit(train)
         pred = model.transform(test)
         rmse = float(evaluator("rmse").evaluate(pred))
-        return FitResult(company, algo, run, rmse, best_params(model.bestModel)), pred
+        return FitResult(company, algo, run, rmse, best_params(model.bestModel), model.bestModel), pred
     finally:
         train.unpersist()
 
 
 def experiment(prices: DataFrame, companies: Sequence[str], algos: Sequence[str], runs: int,
-               features: Sequence[str], label: str = "close", preset: str = "small", threads: int = 4,
+               features: Sequence[str], label: str = "close", preset: str = "full", threads: int = 4,
                seed0: int = 1000, on_result: Optional[Callable[[FitResult], None]] = None) -> DataFrame:
     """Repeat M14 ``runs`` times per company and algorithm (distinct seeds).
 
@@ -245,7 +255,7 @@ def experiment(prices: DataFrame, companies: Sequence[str], algos: Sequence[str]
                           seed=seed0 + r, company=c, run=r)
         if on_result:
             on_result(res)
-        return res
+        return replace(res, model=None)
 
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
         results = list(pool.map(one, tasks))

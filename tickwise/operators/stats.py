@@ -9,7 +9,7 @@ calendar, not by data volume).
 from __future__ import annotations
 
 from itertools import combinations
-from typing import Sequence
+from typing import Optional, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -236,10 +236,10 @@ def mean_by(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     return df.groupBy(*by).agg(F.avg(value).alias(f"mean_{value}"), F.count(value).alias("n"))
 
 
-def median_table(df: DataFrame, value: str, row: str, column: str, column_values: Sequence[str],
-                 exact: bool = True) -> DataFrame:
-    """A10: median of ``value`` as a row x column table (pivot with fixed values: one pass)."""
-    return df.groupBy(row).pivot(column, list(column_values)).agg(quantile(F.col(value), 0.5, exact))
+def median_table(df: DataFrame, value: str, row: str, column: str,
+                 column_values: Optional[Sequence[str]] = None, exact: bool = True) -> DataFrame:
+    """A10: median of ``value`` as a row x column table; every column value of the data unless some are given."""
+    return df.groupBy(row).pivot(column, column_values and list(column_values)).agg(quantile(F.col(value), 0.5, exact))
 
 
 def match_counts(df: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:
@@ -269,9 +269,10 @@ def row_counts(df: DataFrame) -> DataFrame:
     )
 
 
-def grid_pivot(df: DataFrame, rows: str, cols: str, value: str, col_values: Sequence) -> DataFrame:
-    """Rows x columns grid of sums (pivot with the column values given: one pass)."""
-    return df.groupBy(rows).pivot(cols, list(col_values)).agg(F.sum(value))
+def grid_pivot(df: DataFrame, rows: str, cols: str, value: str,
+               col_values: Optional[Sequence] = None) -> DataFrame:
+    """Rows x columns grid of sums; every column value of the data unless some are given."""
+    return df.groupBy(rows).pivot(cols, col_values and list(col_values)).agg(F.sum(value))
 
 
 def grid_rollup(df: DataFrame, rows: str, cols: str, value: str) -> DataFrame:

@@ -9,6 +9,7 @@ partition never grows with data volume; tick-level work (W3) aggregates by
 from __future__ import annotations
 
 from functools import reduce
+from math import gcd
 from typing import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -73,23 +74,25 @@ def bars(ticks: DataFrame, size: str = "5min", symbol: str = "symbol", ts: str =
 
 def multi_bars(ticks: DataFrame, sizes=("1min", "5min", "15min", "30min", "1hour", "4hour"),
                symbol: str = "symbol", ts: str = "ts", price: str = "price") -> DataFrame:
-    """W3 at several resolutions in ONE scan and ONE shuffle.
+    """W3 at several resolutions in one scan of the ticks.
 
-    Each tick is expanded (in-stage) into its epoch-aligned bucket of every
-    size - start = ts - (epoch micros mod width), the same alignment as
-    ``window()`` - and a single partial aggregate groups by (symbol, size, start).
+    Ticks are first reduced (map-side) to bars of the widest unit that divides
+    every size; these carry their first and last event time and are then merged
+    into the epoch-aligned buckets of each size (the alignment of ``window()``).
     """
     widths = {s: _width_micros(BAR_SIZES.get(s, s)) for s in sizes}
+    unit = gcd(*widths.values())
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     t = F.col(ts).cast("timestamp_ntz")
+    us = ticks.select(symbol, t.alias("_ts"), F.col(price).alias("_p"), F.timestamp_diff("MICROSECOND", epoch, t).alias("_us"))
+    base = us.groupBy(symbol, (F.col("_us") - F.pmod("_us", F.lit(unit))).alias("_us")).agg(
+        F.min_by("_p", "_ts").alias("open"), F.max("_p").alias("high"), F.min("_p").alias("low"), F.max_by("_p", "_ts").alias("close"),
+        F.count(F.lit(1)).alias("volume"), F.sum("_p").alias("turnover"), F.min("_ts").alias("_first"), F.max("_ts").alias("_last"))
     cells = F.array(*[F.struct(F.lit(name).alias("size"), F.lit(w).alias("w")) for name, w in widths.items()])
-    expanded = ticks.select(symbol, t.alias("_ts"), F.col(price).alias("_p"),
-                            F.timestamp_diff("MICROSECOND", epoch, t).alias("_us"), F.explode(cells).alias("c"))
     start = F.timestamp_add("MICROSECOND", F.col("_us") - F.pmod(F.col("_us"), F.col("c.w")), epoch)
-    return (expanded.groupBy(symbol, F.col("c.size").alias("size"), start.alias("start"))
-            .agg(F.min_by("_p", "_ts").alias("open"), F.max("_p").alias("high"), F.min("_p").alias("low"),
-                 F.max_by("_p", "_ts").alias("close"), F.count(F.lit(1)).alias("volume"),
-                 F.sum("_p").alias("turnover")))
+    return (base.withColumn("c", F.explode(cells)).groupBy(symbol, F.col("c.size").alias("size"), start.alias("start"))
+            .agg(F.min_by("open", "_first").alias("open"), F.max("high").alias("high"), F.min("low").alias("low"),
+                 F.max_by("close", "_last").alias("close"), F.sum("volume").alias("volume"), F.sum("turnover").alias("turnover")))
 
 
 def _width_micros(width: str) -> int:

@@ -42,6 +42,11 @@ def rounded(df: DataFrame, digits: int = 4, **per_column: int) -> DataFrame:
     return df.select(*out)
 
 
+def company_names(px: DataFrame) -> list[str]:
+    """The companies of a price table (a per-company call of a service needs their names)."""
+    return [r.company for r in px.select("company").distinct().orderBy("company").toLocalIterator()]
+
+
 def _unpivot_sql(table: str, columns, by="company") -> str:
     return f"(UNPIVOT {table} ON {', '.join(columns)} INTO NAME metric VALUE value)"
 
@@ -76,7 +81,7 @@ def _r(cols, digits: int = 4, prefix: str = "") -> str:
 
 _PX_ROUND_SQL = _r(PRICE_COLUMNS)
 _PX_SELECT_SQL = f"company, date, {_PX_ROUND_SQL}"
-SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+#: Columns of the median table's SQL twin; the operator takes the values of the data.
 PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 CORR_COLUMNS = ("close",) + tuple(c for c in FEATURES)
 
@@ -237,7 +242,7 @@ FROM calp
 """)
 def c3_impute_mean_per_company(t):
     cal = _calendar(t).select("company", "date", *_IMPUTE_COLS)
-    return rounded(clean.impute_mean(cal, _IMPUTE_COLS, by=["company"]))
+    return rounded(clean.impute_mean(cal, _IMPUTE_COLS, by=["company"], observed=_px(t)))
 
 
 @register("c3_impute_mean_global", views=("prices",), sql=f"""
@@ -251,6 +256,14 @@ def c3_impute_mean_global(t):
     return rounded(clean.impute_mean(cal, _IMPUTE_COLS))
 
 
+@register("c6_schema_table", sql="""
+SELECT CAST(row_number() OVER (ORDER BY ordinal_position) - 1 AS INTEGER) AS position, column_name AS "column"
+FROM information_schema.columns WHERE table_name = 'events'
+""")
+def c6_schema_table(t):
+    return clean.schema_table(t.events).select("position", "column")
+
+
 _CAL_COLS = ("company", "date") + PRICE_COLUMNS
 
 
@@ -397,6 +410,6 @@ def p3_p13_u1_per_company_append(t):
     dropped."""
     px = once(_px(t))
     frames = [select.with_company(select.drop_columns(px.filter(F.col("company") == c), ["company"]), c)
-              for c in SEGMENTS]
+              for c in company_names(px)]
     dropped = ["adjClose", "unadjustedVolume", "change", "changePercent", "vwap", "changeOverTime"]
     return rounded(select.drop_columns(windows.union_histories(frames), dropped))

@@ -186,16 +186,12 @@ def _ml_corr_sql(method: str) -> str:
 
 @register("a6_m1_vector_pearson_ml", views=("ml",), sql=_ml_corr_sql("pearson"))
 def a6_m1_vector_pearson_ml(t):
-    out = stats.vector_correlation(V.ml(t), list(V.ML_FEATURES), "pearson")
-    return rounded(out.withColumn("r", F.when(F.col("feature_a") == F.col("feature_b"), F.lit(1.0))
-                                  .otherwise(F.col("r"))))
+    return rounded(stats.vector_correlation(V.ml(t), list(V.ML_FEATURES), "pearson"))
 
 
 @register("a7_m1_vector_spearman_ml", views=("ml",), sql=_ml_corr_sql("spearman"))
 def a7_m1_vector_spearman_ml(t):
-    out = stats.vector_correlation(V.ml(t), list(V.ML_FEATURES), "spearman")
-    return rounded(out.withColumn("r", F.when(F.col("feature_a") == F.col("feature_b"), F.lit(1.0))
-                                  .otherwise(F.col("r"))))
+    return rounded(stats.vector_correlation(V.ml(t), list(V.ML_FEATURES), "spearman"))
 
 
 @register("a8_p14_redundant_pairs", views=("prices",), sql=f"""
@@ -238,7 +234,7 @@ SELECT company, {', '.join(f"round(median(rmse) FILTER (WHERE algo = '{a}'), {QU
 FROM rmse_samples GROUP BY company
 """)
 def a10_x4_median_table(t):
-    return rounded(stats.median_table(V.rmse_samples(t), "rmse", "company", "algo", PRIORITIES), QUANTILE_DIGITS)
+    return rounded(stats.median_table(V.rmse_samples(t), "rmse", "company", "algo"), QUANTILE_DIGITS)
 
 
 _ML_COLS = ("label", "quantity", "discount", "tax", "p_size", "p_retailprice")
@@ -267,7 +263,7 @@ def a13_rollup_sector_year(t):
     return rounded(out.withColumn("level", F.col("level").cast("int")))
 
 
-_YEARS = tuple(range(1995, 2002))  # calendar of the order history (1995-01-01 .. 2001-08-01)
+_YEARS = tuple(range(1995, 2002))  # columns of the SQL twin; the operator takes the years of the data
 
 
 @register("a13_pivot_sector_by_year", views=("prices25", "profile"), sql=f"""
@@ -277,7 +273,7 @@ GROUP BY f.sector
 """)
 def a13_pivot_sector_by_year(t):
     df = joins.enrich(V.prices25(t), once(V.profile(t)), how="inner").withColumn("year", F.year("date"))
-    return rounded(stats.grid_pivot(df, "sector", "year", "volume", _YEARS))
+    return rounded(stats.grid_pivot(df, "sector", "year", "volume"))
 
 
 # ---------------------------------------------------------------------------

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tickwise.operators import cluster, decide, forecast, metrics, regress, select, windows
 from tickwise.plans import views as V
 from tickwise.plans.catalog import register
-from tickwise.plans.queries import AS_OF, SEGMENTS, once, rounded
+from tickwise.plans.queries import AS_OF, company_names, once, rounded
 from tickwise.schema import FEATURES
 from tickwise.sources.files import assemble
 
@@ -64,7 +64,10 @@ def m6_isotonic_regression(t):
 def m8_m9_m11_cross_validated_params(t):
     train, _ = _ml_split(t)
     data = assemble(train, ML_FEATURES).cache()
-    cv = regress.cross_validate(data, "lr", preset="small", seed=42)
+    try:
+        cv = regress.cross_validate(data, "lr", preset="full", seed=42, parallelism=8)
+    finally:
+        data.unpersist()
     return regress.params_frame(t.spark, cv.bestModel)
 
 
@@ -86,21 +89,142 @@ def m10_ml_evaluator_metrics(t):
     return rounded(metrics.regression_metrics(pred))
 
 
+# Closed forms: one feature, an integer-key split and no regularisation have an exact SQL twin.
+
+
+def _quantity_model(t, algo: str, **params):
+    train, test = regress.modulo_split(V.ml(t), "l_orderkey", 0.3)
+    model = regress.pipeline(["quantity"], algo, **params).fit(train)
+    return model, train, model.transform(test)
+
+
+def _ols(t):
+    return _quantity_model(t, "lr", regParam=0.0, elasticNetParam=0.0, maxIter=100)
+
+
+_SPLIT_SQL = """
+WITH tr AS (SELECT label, quantity FROM ml WHERE l_orderkey % 100 >= 30),
+te AS (SELECT l_orderkey, l_linenumber, label, quantity FROM ml WHERE l_orderkey % 100 < 30),
+ols AS (SELECT regr_slope(label, quantity) AS slope, regr_intercept(label, quantity) AS intercept FROM tr),
+pred AS (SELECT te.*, intercept + slope * quantity AS prediction FROM te, ols)
+"""
+
+
+@register("m2_m3_m7_m21_ols_predictions", views=("ml",), sql=_SPLIT_SQL + """
+SELECT l_orderkey, l_linenumber, round(label, 4) AS label, round(prediction, 2) AS prediction FROM pred
+""")
+def m2_m3_m7_m21_ols_predictions(t):
+    _, _, pred = _ols(t)
+    return rounded(regress.predicted_vs_actual(pred, ML_KEYS), prediction=2)
+
+
+@register("m10_ols_evaluator", views=("ml",), sql=_SPLIT_SQL + """
+SELECT 'rmse' AS metric, round(sqrt(avg((prediction - label) ** 2)), 3) AS value FROM pred
+UNION ALL SELECT 'mae', round(avg(abs(prediction - label)), 3) FROM pred
+UNION ALL SELECT 'r2', round(1 - sum((prediction - label) ** 2) / (var_pop(label) * count(*)), 3) FROM pred
+""")
+def m10_ols_evaluator(t):
+    """Spark's evaluator on the fitted line."""
+    _, _, pred = _ols(t)
+    scored = once(pred.select("label", "prediction"))
+    rows = [(m, float(regress.evaluator(m).evaluate(scored))) for m in ("rmse", "mae", "r2")]
+    return rounded(t.spark.createDataFrame(rows, "metric STRING, value DOUBLE"), value=3)
+
+
+@register("m12_ols_coefficients", views=("ml",), sql=_SPLIT_SQL + """
+SELECT 'quantity' AS feature, round(slope, 2) AS coefficient FROM ols
+UNION ALL SELECT '(intercept)', round(intercept, 2) FROM ols
+""")
+def m12_ols_coefficients(t):
+    model, _, _ = _ols(t)
+    return rounded(regress.coefficients_frame(t.spark, model.stages[-1], ["quantity"]), coefficient=2)
+
+
+@register("m13_ols_training_summary", views=("ml",), sql=_SPLIT_SQL + """
+, fit AS (SELECT label, intercept + slope * quantity AS p FROM tr, ols)
+SELECT 'rmse' AS metric, round(sqrt(avg((p - label) ** 2)), 3) AS value FROM fit
+UNION ALL SELECT 'r2', round(1 - sum((p - label) ** 2) / (var_pop(label) * count(*)), 3) FROM fit
+""")
+def m13_ols_training_summary(t):
+    model, _, _ = _ols(t)
+    return rounded(regress.summary_frame(t.spark, model.stages[-1]).where("metric IN ('rmse', 'r2')"), value=3)
+
+
+@register("p15_ols_preview", views=("ml",), sql=_SPLIT_SQL + """
+SELECT round(prediction, 2) AS prediction, round(label, 4) AS label, quantity FROM pred
+ORDER BY l_orderkey, l_linenumber LIMIT 20
+""")
+def p15_ols_preview(t):
+    _, _, pred = _ols(t)
+    top = select.preview(pred.orderBy(*ML_KEYS), 20, ("prediction", "label", "features"))
+    return rounded(top.select("prediction", "label", F.col("features")[0].alias("quantity")), prediction=2)
+
+
+@register("m6_isotonic_closed_form", views=("ml",), sql=_SPLIT_SQL + """
+, g AS (SELECT quantity AS q, sum(label) AS s, count(*) AS n FROM tr GROUP BY quantity),
+blocks AS (SELECT a.q AS lo, b.q AS hi, sum(g.s) / sum(g.n) AS mean
+           FROM g a JOIN g b ON a.q <= b.q JOIN g ON g.q BETWEEN a.q AND b.q GROUP BY a.q, b.q),
+tails AS (SELECT g.q, lo, min(mean) AS m FROM g JOIN blocks ON lo <= g.q AND hi >= g.q GROUP BY g.q, lo),
+iso AS (SELECT q, max(m) AS value FROM tails GROUP BY q)
+SELECT l_orderkey, l_linenumber, round(label, 4) AS label, round(iso.value, 2) AS prediction
+FROM te JOIN iso ON te.quantity = iso.q
+""")
+def m6_isotonic_closed_form(t):
+    """The isotonic fit at a value is the largest over left ends of the smallest block mean (min-max formula)."""
+    _, _, pred = _quantity_model(t, "ir")
+    return rounded(regress.predicted_vs_actual(pred, ML_KEYS), prediction=2)
+
+
+_STUMP_SQL = _SPLIT_SQL + """
+, g AS (SELECT quantity AS q, sum(label) AS s, count(*) AS n FROM tr GROUP BY quantity),
+cut AS (SELECT a.q, sum(g.s) FILTER (WHERE g.q <= a.q) AS sl, sum(g.n) FILTER (WHERE g.q <= a.q) AS nl,
+               sum(g.s) FILTER (WHERE g.q > a.q) AS sr, sum(g.n) FILTER (WHERE g.q > a.q) AS nr
+        FROM g a, g GROUP BY a.q),
+best AS (SELECT q, sl / nl AS l, sr / nr AS r FROM cut WHERE nr > 0 ORDER BY sl * sl / nl + sr * sr / nr DESC LIMIT 1)
+SELECT l_orderkey, l_linenumber, round(label, 4) AS label, round(CASE WHEN quantity <= q THEN l ELSE r END, 2) AS prediction
+FROM te, best
+"""
+
+
+@register("m4_boosted_stump", views=("ml",), sql=_STUMP_SQL)
+def m4_boosted_stump(t):
+    """One boosting round of depth 1: the best cut on quantity and the means beside it."""
+    _, _, pred = _quantity_model(t, "gbr", maxIter=1, maxDepth=1, maxBins=64)
+    return rounded(regress.predicted_vs_actual(pred, ML_KEYS), prediction=2)
+
+
+@register("m5_forest_stump", views=("ml",), sql=_STUMP_SQL)
+def m5_forest_stump(t):
+    _, _, pred = _quantity_model(t, "rf", numTrees=1, maxDepth=1, bootstrap=False)
+    return rounded(regress.predicted_vs_actual(pred, ML_KEYS), prediction=2)
+
+
+@register("t3_stump_importance", views=("ml",), sql="""
+SELECT 'quantity' AS feature, CAST(1.0 AS DOUBLE) AS importance FROM ml HAVING count(DISTINCT quantity) > 1
+""")
+def t3_stump_importance(t):
+    """A single feature that splits carries all importance."""
+    model, _, _ = _quantity_model(t, "rf", numTrees=1, maxDepth=1, bootstrap=False)
+    return rounded(regress.importances_frame(t.spark, model.stages[-1], ["quantity"]))
+
+
 @register("m14_best_regressor_per_company")
 def m14_best_regressor_per_company(t):
     px = once(V.prices(t))
     rows = []
-    for c in SEGMENTS:
-        res, _ = regress.fit_best(px.filter(F.col("company") == c), "lr", FEATURES, "close", "small",
-                                  seed=7, company=c)
-        rows.append((res.company, res.algo, res.rmse, res.params))
+    for c in company_names(px):
+        for algo in ("lr", "gbr", "ir"):
+            res, _ = regress.fit_best(px.filter(F.col("company") == c), algo, FEATURES, "close", "small",
+                                      seed=7, company=c)
+            rows.append((res.company, res.algo, res.rmse, res.params))
     return rounded(t.spark.createDataFrame(
         rows, "company STRING, algo STRING, rmse DOUBLE, best_params MAP<STRING, STRING>"))
 
 
 @register("m15_repeated_experiment")
 def m15_repeated_experiment(t):
-    return rounded(regress.experiment(once(V.prices(t)), SEGMENTS, ["lr", "ir"], runs=2, features=FEATURES,
+    px = once(V.prices(t))
+    return rounded(regress.experiment(px, company_names(px), ["lr", "ir"], runs=2, features=FEATURES,
                                       preset="small", threads=4))
 
 
@@ -118,6 +242,26 @@ def r1_r6_z1_forecast(t):
     return rounded(select.stamp_run_date(fc, as_of=AS_OF))
 
 
+@register("r1_r3_r5_r6_forecast_identities", views=("prices",), sql="""
+WITH h AS (SELECT DISTINCT company, date AS ds FROM prices WHERE close IS NOT NULL),
+frame AS (SELECT * FROM h UNION ALL
+          SELECT company, CAST(unnest(generate_series(last + 1, last + 90, INTERVAL 1 DAY)) AS DATE) AS ds
+          FROM (SELECT company, max(ds) AS last FROM h GROUP BY company))
+SELECT company, ds, true AS sums, true AS seasons, true AS symmetric, true AS additive FROM frame
+""")
+def r1_r3_r5_r6_forecast_identities(t):
+    """The full model over history and future: what must hold for every row, whatever the fit."""
+    fc = forecast.forecast(_history(t), forecast.ForecastSpec(periods=90, interval_width=0.95))
+    near = lambda a, b: F.abs(a - b) <= 1e-6 * F.greatest(F.lit(1.0), F.abs(F.col("yhat")))
+    c = F.col
+    return fc.select(
+        "company", "ds",
+        near(c("yhat"), c("trend") + c("additive_terms")).alias("sums"),
+        near(c("additive_terms"), c("weekly") + c("yearly") + c("daily")).alias("seasons"),
+        near(c("yhat_upper") - c("yhat"), c("yhat") - c("yhat_lower")).alias("symmetric"),
+        (c("multiplicative_terms") == 0).alias("additive"))
+
+
 _TREND_ONLY = forecast.ForecastSpec(periods=30, n_changepoints=0, weekly_order=0, yearly_order=0)
 
 _TREND_SQL = """
@@ -172,6 +316,35 @@ def m18_decide_decision_tree(t):
     return rounded(_decide(t, "dt"))
 
 
+def _decided_labels(t, kind: str):
+    """Held-out rows of the decision run on a closed-form forecast, with their labels."""
+    out = decide.decide(V.prices(t), "close", _TREND_ONLY, decide.DecideSpec(classifier=kind), as_of=AS_OF)
+    return out.where("prediction IS NOT NULL").select("company", "ds", "id", "label")
+
+
+_DECIDED_SQL = _TREND_SQL + """, lab AS (
+SELECT company, ds, CAST(row_number() OVER w AS BIGINT) AS id, lead(yhat) OVER w AS following,
+       CASE WHEN yhat < lead(yhat) OVER w THEN 1 ELSE 2 END AS label
+FROM fc WINDOW w AS (PARTITION BY company ORDER BY ds))
+SELECT company, ds, id, label FROM lab WHERE following IS NOT NULL AND id % 5 = 0
+"""
+
+
+@register("r7_m16_decided_rows_mlp", views=("prices",), sql=_DECIDED_SQL)
+def r7_m16_decided_rows_mlp(t):
+    return _decided_labels(t, "mlp")
+
+
+@register("m17_decided_rows_random_forest", views=("prices",), sql=_DECIDED_SQL)
+def m17_decided_rows_random_forest(t):
+    return _decided_labels(t, "rf")
+
+
+@register("m18_decided_rows_decision_tree", views=("prices",), sql=_DECIDED_SQL)
+def m18_decided_rows_decision_tree(t):
+    return _decided_labels(t, "dt")
+
+
 @register("m20_decision_quality")
 def m20_decision_quality(t):
     scored = _decide(t, "rf").select("label", F.col("prediction").cast("int").alias("prediction"))

@@ -50,6 +50,16 @@ def s7_s1_libsvm_roundtrip(t):
     return rounded(files.libsvm_columns(back, len(FEATURES)))
 
 
+@register("s1_libsvm_inferred_width", views=("prices",), sql=f"""
+SELECT round(close, 4) AS label, {_features_sql(FEATURES)} FROM prices
+""")
+def s1_libsvm_inferred_width(t):
+    """The scan finds the vector width itself."""
+    path = files.scratch(t.spark, "libsvm-width")
+    files.write_libsvm(V.prices(t), path)
+    return rounded(files.libsvm_columns(files.read_libsvm(t.spark, path), len(FEATURES)))
+
+
 @register("s8_s2_libsvm_alphabetical", views=("prices",), sql=f"""
 SELECT round(close, 4) AS label, {_features_sql(sorted(FEATURES))} FROM prices
 """)

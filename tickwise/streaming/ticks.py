@@ -123,14 +123,15 @@ def _start(spark: SparkSession, writer, state_partitions: Optional[int]):
 
 
 def run_append(spark: SparkSession, df: DataFrame, what: str, fmt: str = "parquet",
-               state_partitions: Optional[int] = None) -> StreamRun:
-    """Append-mode file sink; processes everything available, then stops."""
-    out, ck = scratch(spark, f"{what}-out"), scratch(spark, f"{what}-ckpt")
+               state_partitions: Optional[int] = None, run: Optional[StreamRun] = None) -> StreamRun:
+    """Append-mode file sink; processes everything available, then stops.  ``run`` resumes an earlier run."""
+    run = run or StreamRun(scratch(spark, f"{what}-out"), scratch(spark, f"{what}-ckpt"))
+    out, ck = run.output, run.checkpoint
     q = _start(spark, df.writeStream.outputMode("append").format(fmt).option("path", out)
                .option("checkpointLocation", ck).trigger(availableNow=True), state_partitions)
     q.awaitTermination()
     _raise(q)
-    return StreamRun(out, ck)
+    return run
 
 
 def run_complete(spark: SparkSession, df: DataFrame, what: str,
