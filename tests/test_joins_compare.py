@@ -3,6 +3,7 @@ import math
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tickwise.operators import compare, joins
 
@@ -128,3 +129,11 @@ def test_bucketed_action_adjustment_equals_unbucketed(spark):
     b = {(r.company, r.date): r.adjClose
          for r in joins.adjust_for_actions(px, act, bucket=lambda c: F.trunc(c, "year")).collect()}
     assert a.keys() == b.keys() and all(math.isclose(a[k], b[k], rel_tol=1e-12) for k in a)
+
+
+def test_normal_tail_against_published_values(spark):
+    from tickwise.functions.special import two_sided_normal_p
+
+    published = {1.0: 0.31731051, 1.96: 0.04999579, 2.5758293: 0.01, 3.0: 0.00269980}
+    rows = spark.createDataFrame([(z,) for z in published], "z double").select("z", two_sided_normal_p(F.col("z")).alias("p")).collect()
+    assert all(abs(r.p - published[r.z]) < 2e-7 for r in rows)

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickwise.functions.special import two_sided_normal_p
-from tickwise.operators.stats import box_stats, median_table
 
 
 def _sqrt(x: Column) -> Column:
@@ -107,9 +106,3 @@ def verdict(tests: DataFrame, alpha: float = 0.05) -> DataFrame:
         .when(F.col("z") < 0, F.concat(F.col("algo_a"), F.lit(" lower")))
         .otherwise(F.concat(F.col("algo_b"), F.lit(" lower"))),
     )
-
-
-def summarize_samples(samples: DataFrame, algos: Sequence[str], value: str = "rmse") -> tuple[DataFrame, DataFrame]:
-    """Medians table (company x algo) and box-plot statistics per company/algo."""
-    return (median_table(samples, value, "company", "algo", algos),
-            box_stats(samples, [value], by=("company", "algo")))

@@ -39,7 +39,7 @@ from typing import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickwise.operators.windows import future_frame
@@ -122,29 +122,28 @@ def _scales(df: DataFrame, spec: ForecastSpec = ForecastSpec()) -> DataFrame:
     row-quantile placement, the change-point days ``_cps`` (scaled to [0, 1]).
 
     Change point j (1..K) is the day at row round(j (h - 1) / K) of the
-    company's history, h = floor(changepoint_range * n): one window over each
-    company's daily series (bounded by the calendar) and a K-row lookup.
+    company's history, h = floor(changepoint_range * n), looked up in the
+    sorted days of the company (bounded by the calendar) in the same aggregate.
     """
+    k = spec.n_changepoints
+    by_rows = bool(k) and spec.changepoint_placement == "rows"
+    days = [F.array_sort(F.collect_list(F.unix_date("ds"))).alias("_days")] if by_rows else []
     out = df.groupBy("company").agg(
         F.min(F.unix_date("ds")).alias("d0"),
         F.max(F.unix_date("ds")).alias("d1"),
         F.max(F.abs("y")).alias("yscale"),
-        F.count(F.lit(1)).alias("_n"),
+        *days,
     ).withColumn("yscale", F.when(F.col("yscale") > 0, F.col("yscale")).otherwise(F.lit(1.0)))
-    k = spec.n_changepoints
-    if not k or spec.changepoint_placement != "rows":
-        return out.drop("_n")
-    ranked = df.select("company", F.unix_date("ds").alias("_day"),
-                       (F.row_number().over(Window.partitionBy("company").orderBy("ds")) - 1).alias("_i"))
-    h = F.greatest(F.floor(F.col("_n") * F.lit(spec.changepoint_range)), F.lit(1))
-    idx = (out.select("company", "_n", F.explode(F.sequence(F.lit(1), F.lit(k))).alias("_j"))
-           .select("company", F.bround(F.col("_j") * (h - 1) / F.lit(float(k))).cast("long").alias("_i")))
-    cps = (idx.join(ranked, ["company", "_i"])
-           .groupBy("company").agg(F.array_sort(F.collect_list("_day")).alias("_cpd")))
+    if not by_rows:
+        return out
+    h = F.greatest(F.floor(F.size("_days") * F.lit(spec.changepoint_range)), F.lit(1))
     span = F.greatest(F.col("d1") - F.col("d0"), F.lit(1)).cast("double")
-    return (out.join(cps, "company")
-            .withColumn("_cps", F.transform("_cpd", lambda d: (d - F.col("d0")).cast("double") / span))
-            .drop("_n", "_cpd"))
+
+    def point(j: Column) -> Column:
+        row = F.bround(j * (h - 1) / F.lit(float(k))).cast("int")
+        return (F.element_at("_days", row + 1) - F.col("d0")).cast("double") / span
+
+    return out.withColumn("_cps", F.transform(F.sequence(F.lit(1), F.lit(k)), point)).drop("_days")
 
 
 def _scaled_time(day: Column) -> Column:
@@ -156,10 +155,19 @@ def _scaled_time(day: Column) -> Column:
 MAX_PARTIALS = 4096
 
 
+#: Values of magnitude about 1 are split at this grid: products of the upper parts are whole multiples of GRID ** 2,
+#: so their sums are exact in doubles over thousands of rows, and the lower parts' rounding is far below a double's.
+GRID = 2.0 ** -20
+
+
 def _gram_partials(p: int):
+    """Row moments (X'X, X'y, n, y'y) per company, as an upper and a lower part that add up in any order to one result."""
     iu = np.triu_indices(p)
     ncell = len(iu[0])
 
+    def cells(m: np.ndarray, n: int) -> list[np.ndarray]:
+        return [m[:p, :p][iu], m[:p, p], np.array([n, m[p, p]])]
+
     def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         acc: dict[str, list] = {}
 
@@ -170,9 +178,11 @@ def _gram_partials(p: int):
 
         for pdf in batches:
             for company, g in pdf.groupby("company", sort=False):
-                x = np.vstack(g["x"].to_numpy()).astype(float)
-                y = g["y"].to_numpy(dtype=float)
-                part = np.concatenate([(x.T @ x)[iu], x.T @ y, [len(y), y @ y]])
+                z = np.column_stack([np.vstack(g["x"].to_numpy()).astype(float), g["y"].to_numpy(dtype=float)])
+                upper = np.round(z / GRID) * GRID
+                lower = z - upper
+                mixed = upper.T @ lower
+                part = np.concatenate(cells(upper.T @ upper, len(z)) + cells(mixed + mixed.T + lower.T @ lower, 0))
                 if company in acc:
                     acc[company][0] += part
                 else:
@@ -197,8 +207,9 @@ def _solver(spec: ForecastSpec):
             return np.linalg.lstsq(g + np.diag(weights), b, rcond=None)[0]
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        v = np.zeros(ncell + p + 2)
+        v = np.zeros(2 * (ncell + p + 2))
         v[pdf["cell"].to_numpy()] = pdf["value"].to_numpy()
+        v = v[:ncell + p + 2] + v[ncell + p + 2:]
         g = np.zeros((p, p))
         g[iu] = v[:ncell]
         g = g + np.triu(g, 1).T

@@ -66,16 +66,7 @@ def rolling_std(df: DataFrame, n: int = 20, value: str = "close", by=("company",
 
 def ema_values(x: np.ndarray, alpha: float) -> np.ndarray:
     """E_0 = x_0, E_t = alpha x_t + (1 - alpha) E_{t-1}; NaN inputs carry the previous value."""
-    out = np.empty(len(x))
-    beta = 1.0 - alpha
-    prev = np.nan
-    for i, v in enumerate(x):
-        if np.isnan(prev):
-            prev = v
-        elif not np.isnan(v):
-            prev = alpha * v + beta * prev
-        out[i] = prev
-    return out
+    return pd.Series(x).ewm(alpha=alpha, adjust=False, ignore_na=True).mean().to_numpy()
 
 
 def _rsi(close: np.ndarray, n: int) -> np.ndarray:
@@ -107,33 +98,37 @@ def _adx(high: np.ndarray, low: np.ndarray, close: np.ndarray, n: int) -> np.nda
     return ema_values(dx, a)
 
 
-def recursive_indicators(df: DataFrame, n_ema: int = 10, n_rsi: int = 14, n_adx: int = 14,
-                         by: str = "company", order: str = "date") -> DataFrame:
-    """W7, W9, W11, W12 in one per-company scan: ema, dema, tema, rsi, adx."""
+def recursive_indicators(df: DataFrame, n_ema: int = 10, n_rsi: int = 14, n_adx: int = 14, by: str = "company",
+                         order: str = "date", wanted: Sequence[str] = ("ema", "dema", "tema", "rsi", "adx")) -> DataFrame:
+    """W7, W9, W11, W12 in one per-company scan: the wanted ones of ema, dema, tema, rsi, adx."""
     ae = 2.0 / (n_ema + 1)
-    names = [f"ema{n_ema}", f"dema{n_ema}", f"tema{n_ema}", f"rsi{n_rsi}", f"adx{n_adx}"]
+    periods = {"ema": n_ema, "dema": n_ema, "tema": n_ema, "rsi": n_rsi, "adx": n_adx}
+    names = [f"{w}{periods[w]}" for w in wanted]
+    inputs = ["high", "low", "close"] if "adx" in wanted else ["close"]
 
-    def scan(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order)
+    def value(pdf: pd.DataFrame, which: str) -> np.ndarray:
         c = pdf["close"].to_numpy(float)
+        if which == "rsi":
+            return _rsi(c, n_rsi)
+        if which == "adx":
+            return _adx(pdf["high"].to_numpy(float), pdf["low"].to_numpy(float), c, n_adx)
         e1 = ema_values(c, ae)
+        if which == "ema":
+            return e1
         e2 = ema_values(e1, ae)
-        e3 = ema_values(e2, ae)
-        out = pdf[[by, order]].copy()
-        out[names[0]] = e1
-        out[names[1]] = 2 * e1 - e2
-        out[names[2]] = 3 * e1 - 3 * e2 + e3
-        out[names[3]] = _rsi(c, n_rsi)
-        out[names[4]] = _adx(pdf["high"].to_numpy(float), pdf["low"].to_numpy(float), c, n_adx)
-        return out
+        return 2 * e1 - e2 if which == "dema" else 3 * e1 - 3 * e2 + ema_values(e2, ae)
+
+    def scan(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(order)
+        return pdf[[by, order]].assign(**{n: value(pdf, w) for n, w in zip(names, wanted)})
 
     key_types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     schema = f"{by} {key_types[by]}, {order} {key_types[order]}, " + ", ".join(f"{n} double" for n in names)
-    out = df.select(by, order, "high", "low", "close").groupBy(by).applyInPandas(scan, schema)
+    out = df.select(by, order, *inputs).groupBy(by).applyInPandas(scan, schema)
     # undefined values (first rows) as NULL, not NaN
     return out.select(by, order, *[F.nanvl(F.col(n), F.lit(None).cast("double")).alias(n) for n in names])
 
 
 def ema(df: DataFrame, n: int = 10, by: str = "company", order: str = "date") -> DataFrame:
     """W7 alone (exponential moving average of close, alpha = 2 / (n + 1))."""
-    return recursive_indicators(df, n_ema=n, by=by, order=order).select(by, order, f"ema{n}")
+    return recursive_indicators(df, n_ema=n, by=by, order=order, wanted=("ema",))

@@ -8,7 +8,7 @@ from typing import Iterable, Optional, Sequence, Union
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickwise.functions.columns import decision_label, ratio
+from tickwise.functions.columns import ratio
 from tickwise.schema import check_value
 
 DateLike = Union[str, date, Column, None]
@@ -90,10 +90,6 @@ def intraday_move(df: DataFrame) -> DataFrame:
         "close_over_open", ratio("close", "open"))
 
 
-def with_label(df: DataFrame, current: str = "yhat", following: str = "yhat_next") -> DataFrame:
-    """BUY/SELL/WAIT label column."""
-    return df.withColumn("label", decision_label(current, following))
-
 
 def drop_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """P13."""

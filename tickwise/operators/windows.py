@@ -23,15 +23,6 @@ def series_window(by: Sequence[str] = ("company",), order: str = "ds") -> Window
     return Window.partitionBy(*by).orderBy(F.col(order))
 
 
-def next_value(df: DataFrame, value: str = "yhat", by: Sequence[str] = ("company",), order: str = "ds",
-               name: str | None = None) -> DataFrame:
-    """Value of the following row of the same series."""
-    return df.withColumn(name or f"{value}_next", F.lead(value).over(series_window(by, order)))
-
-
-def with_row_id(df: DataFrame, by: Sequence[str] = ("company",), order: str = "ds", name: str = "id") -> DataFrame:
-    """Deterministic 1-based LONG row id within each series."""
-    return df.withColumn(name, F.row_number().over(series_window(by, order)).cast("long"))
 
 
 def label_series(df: DataFrame, value: str = "yhat", by: Sequence[str] = ("company",), order: str = "ds",

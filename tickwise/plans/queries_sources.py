@@ -93,7 +93,7 @@ def s4_ohlcv_csv_schema(t):
                     F.col("high").alias("High"), F.col("low").alias("Low"), F.col("close").alias("Close"),
                     F.col("adjClose").alias("Adj Close"), F.col("volume").cast("long").alias("Volume"))
     path = files.scratch(t.spark, "ohlcv-csv")
-    out.write.mode("overwrite").partitionBy("company").option("header", True).csv(path)
+    files.by_folder(out, date="Date").write.mode("overwrite").partitionBy("company").option("header", True).csv(path)
     return rounded(files.read_csv(t.spark, path))
 
 

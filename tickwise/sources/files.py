@@ -16,7 +16,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.functions.columns import libsvm_line
 from tickwise.schema import (FEATURES, HISTORY_DOCUMENT, PRICE_COLUMNS, PROFILE_FIELDS, PROFILE_SOURCE,
                              PROFILE_SOURCE_KEYS, OHLCV_CSV_SCHEMA)
 from tickwise.session import scratch_path
@@ -106,9 +105,14 @@ def write_history_documents(prices: DataFrame, path: str) -> None:
     history_documents(prices).select("company", "json").write.mode("overwrite").partitionBy("company").text(path)
 
 
+def by_folder(df: DataFrame, by: str = "company", date: str = "date") -> DataFrame:
+    """Rows of one folder and year meet in one task, so a folder gets a file a year and not a file a task."""
+    return df.repartition(F.col(by), *([F.year(date)] if date in df.columns else []))
+
+
 def write_partitioned_json(df: DataFrame, path: str, by: str = "company") -> None:
     """S12 (row form): JSON lines partitioned by company (read back with S13)."""
-    df.write.mode("overwrite").partitionBy(by).json(path)
+    by_folder(df, by).write.mode("overwrite").partitionBy(by).json(path)
 
 
 def assemble(df: DataFrame, features: Sequence[str], output: str = "features", handle_invalid: str = "skip") -> DataFrame:
@@ -130,11 +134,6 @@ def write_libsvm(df: DataFrame, path: str, label: str = "close", features: Seque
     data.select("label", "features").write.mode("overwrite").format("libsvm").save(path)
 
 
-def write_libsvm_text(df: DataFrame, path: str, label: str = "close", features: Sequence[str] = FEATURES,
-                      fmt: Optional[str] = None) -> None:
-    """S7 text form (F6): ``label 1:v 2:v ...`` lines with dense indices."""
-    df.select(libsvm_line(label, list(features), fmt).alias("value")).write.mode("overwrite").text(path)
-
 
 def write_ml_csv(df: DataFrame, path: str, label: str = "close", features: Sequence[str] = FEATURES) -> None:
     """``label`` + the ten features, with header."""

@@ -162,9 +162,3 @@ def bar_width(size: str) -> str:
 
 def read_result(spark: SparkSession, run: StreamRun) -> DataFrame:
     return spark.read.parquet(run.output)
-
-
-def window_seconds(size: str) -> int:
-    n, unit = bar_width(size).split()
-    return int(n) * {"minute": 60, "minutes": 60, "hour": 3600, "hours": 3600}[unit]
-
