@@ -253,6 +253,27 @@ def test_mix_targets_and_copies(spark):
     assert out.columns == odd.columns + ["copy_no"] and out.count() == 3  # 1.5 x 4 words, two words a row
 
 
+def test_mix_shares_the_copies_of_repeated_rows(spark):
+    many = spark.createDataFrame([(7, f"w{i} x", "en", "s", 4) for i in range(90)] + [(i, "a b", "en", "t", 3) for i in range(100, 110)], DOC)
+    plan = mixing.mix(many)
+    out = mixing.emit(many, plan).groupBy("doc_id", "text").agg(F.max("copy_no").alias("k"), F.count("*").alias("n")).collect()
+    hot = [r["n"] for r in out if r["doc_id"] == 7]
+    assert sum(hot) == plan.where("doc_id = 7").agg(F.sum("copies")).first()[0] and max(hot) - min(hot + [max(hot)] * (len(hot) < 90)) <= 1
+    assert all(r["n"] == r["k"] for r in out)
+
+
+def test_filters_judge_rows_that_share_an_id_by_their_own_text(spark):
+    bench = spark.createDataFrame([(1, "one two three four five six seven eight")], "item_id long, text string")
+    data = [(None, "xx one two three four five six seven eight", "en", "s", 0), (None, "a plain text", "en", "s", 0), (3, "a plain text", "en", "s", 0)]
+    kept = decontaminate.clean(spark.createDataFrame(data, DOC), bench).collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in kept) == [("3", "a plain text"), ("None", "a plain text")]
+    sf = "/root/testdata/sf0.01"
+    d = common.table(spark, sf, "documents")
+    shared = quality.accept(d.withColumn("doc_id", F.when(F.col("doc_id") % 2 == 0, F.col("doc_id"))), common.table(spark, sf, "labels"))
+    odd_ids = d.where("doc_id % 2 = 1").count()
+    assert 0 < shared.where("doc_id IS NULL").count() < odd_ids
+
+
 def empty(spark, name):
     return common.table(spark, SF, name).limit(0)
 

@@ -70,8 +70,8 @@ def item_sketches(items: DataFrame) -> DataFrame:
     return items.select("item_id", need(F.col("n")).alias("need"), F.explode(F.slice(hashed, 1, k)).alias("h"))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, item_id, n_items, n_item_shingles, n_common, containment) for containment of 0.8 or more."""
+def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(doc_id, row, item_id, n_items, n_item_shingles, n_common) for containment of 0.8 or more; ``row`` is a hash of the text."""
     items = stage(item_classes(benchmark), "decon-items")
     widths = sorted(r["width"] for r in items.select("width").distinct().collect()) or [WIDTH]  # at most WIDTH values
     sketch = stage(item_sketches(items), "decon-sketch")
@@ -89,17 +89,23 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     shared = texts.join(small_side(wanted, 120), "s").groupBy("doc_id", "row", "item_id").agg(F.count("*").alias("n_common"))
     c = candidates.select(F.col("doc_id").alias("_doc"), F.col("row").alias("_row"), F.col("item_id").alias("_item"))
     verified = shared.join(c, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("row") == F.col("_row")) & (F.col("item_id") == F.col("_item")), "left_semi")
-    best = verified.groupBy("doc_id", "item_id").agg(F.max("n_common").alias("n_common"))
-    out = best.join(items.select("item_id", "n_items", F.col("n").cast("long").alias("n_item_shingles")), "item_id")
+    out = verified.join(items.select("item_id", "n_items", F.col("n").cast("long").alias("n_item_shingles")), "item_id")
     return (out.where(F.col("n_common") * CONTAINMENT[1] >= F.col("n_item_shingles") * CONTAINMENT[0])
-            .select("doc_id", "item_id", "n_items", "n_item_shingles", "n_common",
-                    (F.col("n_common") / F.col("n_item_shingles")).alias("containment")))
+            .select("doc_id", "row", "item_id", "n_items", "n_item_shingles", "n_common"))
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(doc_id, item_id, n_items, n_item_shingles, n_common, containment): the best match of each document and item."""
+    best = matches(docs, benchmark).groupBy("doc_id", "item_id", "n_items", "n_item_shingles").agg(F.max("n_common").alias("n_common"))
+    return best.select("doc_id", "item_id", "n_items", "n_item_shingles", "n_common",
+                       (F.col("n_common") / F.col("n_item_shingles")).alias("containment"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item."""
-    bad = stage(contaminated(docs, benchmark).select(F.col("doc_id").alias("_bad")).distinct(), "decon-bad")
-    return packed(docs).join(small_side(bad, 16), field("doc_id").eqNullSafe(F.col("_bad")), "left_anti").select("_d.*")
+    """``docs`` without the rows that hold a benchmark item; a clean row stays even if it shares its doc_id."""
+    bad = stage(matches(docs, benchmark).select(F.col("doc_id").alias("_bad"), F.col("row").alias("_row")).distinct(), "decon-bad")
+    same = field("doc_id").eqNullSafe(F.col("_bad")) & (F.xxhash64(field("text")) == F.col("_row"))
+    return packed(docs).join(small_side(bad, 32), same, "left_anti").select("_d.*")
 
 
 DECON_SQL = r"""

@@ -96,18 +96,33 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: tuple[int,
 
 
 def emit(docs: DataFrame, plan: DataFrame) -> DataFrame:
-    """The mixed corpus: every document as often as ``plan`` says, with ``copy_no`` from 1."""
+    """The mixed corpus: every document as often as ``plan`` says, with ``copy_no`` from 1.
+
+    Rows with equal id, source and size share their copies as evenly as can be,
+    by the order of their texts; only such rows are ranked, in slices.
+    """
     unit = ["doc_id", "source", "size"]
-    units = plan.groupBy(*unit).agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
+    units = stage(plan.groupBy(*unit).agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows")), "mix-units")
+    u = units.where("_copies > 0").select(*[F.col(c).alias(f"_{c}") for c in unit], "_copies", "_rows")
     d = packed(docs).withColumn("_n", n_words(field("text")))
-    u = units.select(*[F.col(c).alias(f"_{c}") for c in unit], "_copies", "_rows")
     same = field("doc_id").eqNullSafe(F.col("_doc_id")) & field("source").eqNullSafe(F.col("_source")) & (F.col("_n") == F.col("_size"))
-    nth = F.row_number().over(Window.partitionBy("_doc_id", "_source", "_size").orderBy(F.xxhash64(field("text"))))
-    each, rest = F.floor(F.col("_copies") / F.col("_rows")), F.col("_copies") % F.col("_rows")
-    k = F.when(F.col("_rows") == 1, F.col("_copies")).otherwise(each + (nth <= rest).cast("long"))
-    rows = d.join(u, same).withColumn("_k", k).where("_k > 0")
+    dealt = d.join(u.where("_rows = 1"), same).select("_d", F.col("_copies").alias("_k"))
+    if units.where("_rows > 1").limit(1).count():
+        rows = d.join(u.where("_rows > 1"), same).withColumn("_order", F.xxhash64(field("text")))
+        keys = ["_doc_id", "_source", "_size"]
+        scan = range_scan(rows, keys, [F.col("_order")], "mix-repeated")
+        earlier = slice_offsets(scan, keys, {"_m": F.count("*")}, {"_before": F.sum("_m")}).select(
+            *[F.col(c).alias(f"_e{c}") for c in ["_pid", *keys]], "_before")
+        nth = F.row_number().over(Window.partitionBy("_pid", *keys).orderBy("_order"))
+        found = F.lit(True)
+        for c in ["_pid", *keys]:
+            found = found & F.col(c).eqNullSafe(F.col(f"_e{c}"))
+        placed = scan.withColumn("_nth", nth).join(earlier, found, "left")
+        each, rest = F.floor(F.col("_copies") / F.col("_rows")), F.col("_copies") % F.col("_rows")
+        k = each + (F.col("_nth") + F.coalesce("_before", F.lit(0)) <= rest).cast("long")
+        dealt = dealt.unionByName(placed.select("_d", k.alias("_k")))
     copy_no = "copy_no" if "copy_no" not in docs.columns else "mix_copy_no"
-    return rows.select("_d.*", F.explode(F.sequence(F.lit(1), F.col("_k").cast("int"))).alias(copy_no))
+    return dealt.where("_k > 0").select("_d.*", F.explode(F.sequence(F.lit(1), F.col("_k").cast("int"))).alias(copy_no))
 
 
 MIX_SQL = r"""

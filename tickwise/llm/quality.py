@@ -54,7 +54,7 @@ def _ratio(a: Column, b: Column) -> Column:
 
 
 def statistics(docs: DataFrame) -> DataFrame:
-    """doc_id and the statistics of every whole text."""
+    """doc_id, row (hash of the text) and the statistics of every whole text."""
     text = F.coalesce("text", F.lit(""))
 
     def of_words(ws: Column) -> Column:
@@ -63,10 +63,10 @@ def statistics(docs: DataFrame) -> DataFrame:
 
     lines = let(F.filter(F.split(text, "\n"), lambda x: x != ""), lambda ls: F.struct(F.size(ls).alias("n"), F.size(F.array_distinct(ls)).alias("distinct")))
     counts = [F.regexp_count(text, F.lit(p)).alias(k) for k, (p, _) in COUNTED.items()]
-    raw = docs.select("doc_id", F.length(text).alias("n_chars"), let(words(text), of_words).alias("w"), lines.alias("l"), *counts)
+    raw = docs.select("doc_id", F.xxhash64("text").alias("row"), F.length(text).alias("n_chars"), let(words(text), of_words).alias("w"), lines.alias("l"), *counts)
     by = {"n_chars": F.col("n_chars"), "n_words": F.col("w.n")}
     return raw.select(
-        "doc_id", F.log1p("n_chars").alias("log_chars"), F.log1p("w.n").alias("log_words"), _ratio(F.col("n_chars"), F.col("w.n")).alias("word_length"),
+        "doc_id", "row", F.log1p("n_chars").alias("log_chars"), F.log1p("w.n").alias("log_words"), _ratio(F.col("n_chars"), F.col("w.n")).alias("word_length"),
         _ratio(F.col("w.distinct"), F.col("w.n")).alias("distinct"), _ratio(F.col("w.same"), F.col("w.n")).alias("repeats"),
         _ratio(F.col("w.n"), F.col("l.n")).alias("line_words"), _ratio(F.col("l.distinct"), F.col("l.n")).alias("distinct_lines"),
         *[_ratio(F.col(k), by[b]).alias(k) for k, (_, b) in COUNTED.items()])
@@ -124,16 +124,22 @@ def fit(stats: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Colu
     return 1 / (1 + F.exp(-score))
 
 
-def classify(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, threshold: float = THRESHOLD) -> DataFrame:
-    """One row per document: doc_id, held_out, score, predicted."""
+def verdicts(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, threshold: float = THRESHOLD) -> DataFrame:
+    """One row per row of ``docs``: doc_id, row, held_out, score, predicted."""
     stats = stage(statistics(docs), "quality-stats")
     score = fit(stats, labels, max_train)
-    scored = stats.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.cast("double").alias("score"))
+    scored = stats.select("doc_id", "row", held_out(F.col("doc_id")).alias("held_out"), score.cast("double").alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
+def classify(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, threshold: float = THRESHOLD) -> DataFrame:
+    """One row per document: doc_id, held_out, score, predicted."""
+    return verdicts(docs, labels, max_train, threshold).drop("row")
+
+
 def accept(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the documents that the classifier rejects; rows sharing a doc_id go only if all are rejected."""
-    verdicts = classify(docs, labels).groupBy("doc_id").agg(F.max("predicted").alias("_best"))
-    out = stage(verdicts.where("_best = 0").select(F.col("doc_id").alias("_out")), "quality-rejected")
-    return packed(docs).join(small_side(out, 16), field("doc_id").eqNullSafe(F.col("_out")), "left_anti").select("_d.*")
+    """``docs`` without the rows that the classifier rejects, each by its own text, also where rows share a doc_id."""
+    rejected = verdicts(docs, labels).where("predicted = 0").select(F.col("doc_id").alias("_out"), F.col("row").alias("_row")).distinct()
+    out = stage(rejected, "quality-rejected")
+    same = field("doc_id").eqNullSafe(F.col("_out")) & (F.xxhash64(field("text")) == F.col("_row"))
+    return packed(docs).join(small_side(out, 32), same, "left_anti").select("_d.*")
