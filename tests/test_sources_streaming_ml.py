@@ -183,3 +183,29 @@ def test_best_regressor_returns_its_model(spark):
     again = res.model.transform(pred.drop("prediction")).select("prediction").collect()
     assert sorted(r.prediction for r in again) == sorted(r.prediction for r in pred.collect())
     assert res.model.coefficients[0] > 1
+
+
+def test_streams_leave_the_batch_setting_alone(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    own = S.stream_session(spark, 3)
+    assert own.conf.get("spark.sql.shuffle.partitions") == "3" and spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert own.conf.get("spark.sql.session.timeZone") == spark.conf.get("spark.sql.session.timeZone")
+
+
+def test_experiment_reads_each_company_from_its_folder(spark):
+    df = spark.createDataFrame([(c, float(i), 2.0 * i + k) for k, c in enumerate(("A", "B/1")) for i in range(40)], "company string, x double, close double")
+    rows = regress.per_company(df, ["close", "x"])
+    assert sorted(r.close for r in rows("B/1").collect()) == [2.0 * i + 1 for i in range(40)] and rows("C").count() == 0
+    out = regress.experiment(df, ["A", "B/1"], ["ir"], 1, ["x"], preset="small").collect()
+    assert sorted(r.company for r in out) == ["A", "B/1"] and all(r.rmse >= 0 for r in out)
+
+
+def test_mean_correlation_equals_pairs_and_leaves_constant_companies_null(spark):
+
+    from tickwise.operators import cluster
+
+    x = np.random.RandomState(2).normal(size=(4, 30))
+    data = [(f"c{i}", d, float(v)) for i, row in enumerate(x) for d, v in enumerate(row)] + [("flat", d, 1.0) for d in range(30)]
+    got = {r.company: r.mean_correlation for r in cluster.mean_correlation(spark.createDataFrame(data, "company string, date int, changeOverTime double")).collect()}
+    c = np.corrcoef(x)
+    assert got["flat"] is None and all(abs(got[f"c{i}"] - (c[i].sum() - 1) / 3) < 1e-9 for i in range(4))

@@ -29,6 +29,26 @@ def company_features(prices: DataFrame) -> DataFrame:
     )
 
 
+def mean_correlation(prices: DataFrame) -> DataFrame:
+    """(company, mean_correlation): mean correlation of a company's daily changes with those of every other company.
+
+    With standardised changes z the correlations of a company with all others
+    add up to the sum over its days of z * (market - z), where market is the
+    day's sum of all companies: two aggregates and no pairs of companies.  A
+    day that another company lacks counts as its mean.  NULL for a constant
+    company and for the only one.
+    """
+    r = F.col("changeOverTime")
+    moments = prices.groupBy("company").agg(F.avg(r).alias("_mean"), F.stddev_pop(r).alias("_std"), F.count(r).alias("_days"))
+    varied = moments.where("_std > 0")
+    others = varied.count() - 1  # one number
+    z = prices.where(r.isNotNull()).join(varied, "company").select("company", "date", "_days", ((r - F.col("_mean")) / F.col("_std")).alias("_z"))
+    market = z.groupBy("date").agg(F.sum("_z").alias("_market"))
+    shared = z.join(market, "date").groupBy("company").agg(
+        F.try_divide(F.sum(F.col("_z") * (F.col("_market") - F.col("_z"))), F.first("_days") * F.lit(others)).alias("mean_correlation"))
+    return moments.select("company").join(shared, "company", "left")
+
+
 def cluster(features: DataFrame, k: int = 3, seed: int = 42, method: str = "kmeans",
             columns: Sequence[str] = FEATURE_COLUMNS) -> DataFrame:
     """(company, cluster) with standardised features; NULL for a company with an undefined feature."""

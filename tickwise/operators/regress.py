@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickwise.sources.files import assemble
+from tickwise.sources.files import assemble, scratch
 
 ALGOS = ("lr", "gbr", "ir", "rf")
 
@@ -211,7 +211,7 @@ class FitResult:
 
 def fit_best(df: DataFrame, algo: str, features: Sequence[str], label: str = "close", preset: str = "full",
              seed: int = 42, test_fraction: float = 0.3, company: str = "", run: int = 0,
-             feature_index: Optional[int] = None, isotonic_feature: Optional[str] = None):
+             feature_index: Optional[int] = None, isotonic_feature: Optional[str] = None, parallelism: int = 2):
     """Split -> grid -> CV -> best model -> test RMSE.  Returns (FitResult with the model, predictions).
 
     The split hashes the row's own values, so a recomputed source puts every row on the same side.
@@ -229,7 +229,7 @@ def fit_best(df: DataFrame, algo: str, features: Sequence[str], label: str = "cl
         if algo == "ir" and feature_index is not None:
             est = est.setFeatureIndex(int(feature_index))
         cv = CrossValidator(estimator=est, estimatorParamMaps=param_grid(est, algo, preset),
-                            evaluator=evaluator("rmse"), numFolds=3, seed=seed, parallelism=2)
+                            evaluator=evaluator("rmse"), numFolds=3, seed=seed, parallelism=parallelism)
         model = cv.fit(train)
         pred = model.transform(test)
         rmse = float(evaluator("rmse").evaluate(pred))
@@ -238,20 +238,30 @@ def fit_best(df: DataFrame, algo: str, features: Sequence[str], label: str = "cl
         train.unpersist()
 
 
+def per_company(prices: DataFrame, columns: Sequence[str]) -> Callable[[str], DataFrame]:
+    """Company -> its rows, from one copy of the needed columns with a folder per company: a fit reads its own folder only."""
+    folder = scratch(prices.sparkSession, "company-rows")
+    rows = prices.select("company", *columns).withColumn("_folder", F.xxhash64("company"))
+    rows.repartition("_folder").write.partitionBy("_folder").parquet(folder)
+    stored = prices.sparkSession.read.schema(rows.schema).parquet(folder)
+    return lambda c: stored.where((F.col("_folder") == F.xxhash64(F.lit(c))) & (F.col("company") == c)).drop("_folder")
+
+
 def experiment(prices: DataFrame, companies: Sequence[str], algos: Sequence[str], runs: int,
                features: Sequence[str], label: str = "close", preset: str = "full", threads: int = 4,
                seed0: int = 1000, on_result: Optional[Callable[[FitResult], None]] = None) -> DataFrame:
     """Repeat M14 ``runs`` times per company and algorithm (distinct seeds).
 
-    Each (company, algo, run) is an independent distributed job; a bounded
-    thread pool keeps a few in flight.  Output: (company, algo, run, rmse).
+    Each (company, algo, run) is an independent distributed job over its
+    company's folder; a bounded thread pool keeps a few in flight.  Output: (company, algo, run, rmse).
     """
     spark = prices.sparkSession
     tasks = [(c, a, r) for c in companies for a in algos for r in range(runs)]
+    rows = per_company(prices, list(dict.fromkeys([label, *features])))
 
     def one(task):
         c, a, r = task
-        res, _ = fit_best(prices.filter(F.col("company") == c), a, features, label, preset,
+        res, _ = fit_best(rows(c), a, features, label, preset,
                           seed=seed0 + r, company=c, run=r)
         if on_result:
             on_result(res)

@@ -210,12 +210,11 @@ def t3_stump_importance(t):
 
 @register("m14_best_regressor_per_company")
 def m14_best_regressor_per_company(t):
-    px = once(V.prices(t))
-    rows = []
+    px = V.prices(t)
+    rows, of = [], regress.per_company(px, ["close", *FEATURES])
     for c in company_names(px):
         for algo in ("lr", "gbr", "ir"):
-            res, _ = regress.fit_best(px.filter(F.col("company") == c), algo, FEATURES, "close", "small",
-                                      seed=7, company=c)
+            res, _ = regress.fit_best(of(c), algo, FEATURES, "close", "small", seed=7, company=c)
             rows.append((res.company, res.algo, res.rmse, res.params))
     return rounded(t.spark.createDataFrame(
         rows, "company STRING, algo STRING, rmse DOUBLE, best_params MAP<STRING, STRING>"))
@@ -365,6 +364,24 @@ def m22_company_features(t):
     return rounded(cluster.company_features(V.prices25(t)))
 
 
+@register("m22_mean_correlation", views=("prices25",), sql="""
+WITH m AS (SELECT company, avg(changeOverTime) AS mu, stddev_pop(changeOverTime) AS sd, count(changeOverTime) AS n FROM prices25 GROUP BY company),
+z AS (SELECT company, date, (changeOverTime - mu) / sd AS z, n FROM prices25 JOIN m USING (company) WHERE changeOverTime IS NOT NULL AND sd > 0),
+c AS (SELECT a.company, sum(a.z * b.z) / a.n / (SELECT count(*) - 1 FROM m WHERE sd > 0) AS r
+      FROM z a JOIN z b ON a.date = b.date AND a.company <> b.company GROUP BY a.company, a.n)
+SELECT company, round(r, 4) AS mean_correlation FROM m LEFT JOIN c USING (company)
+""")
+def m22_mean_correlation(t):
+    return rounded(cluster.mean_correlation(once(V.prices25(t).select("company", "date", "changeOverTime"))))
+
+
+@register("m22_cluster_with_correlation")
+def m22_cluster_with_correlation(t):
+    px = once(V.prices25(t).select("company", "date", "changeOverTime", "volume", "close"))
+    both = cluster.company_features(px).join(cluster.mean_correlation(px), "company")
+    return cluster.cluster(once(both), k=4, seed=42, columns=(*cluster.FEATURE_COLUMNS, "mean_correlation"))
+
+
 @register("m22_cluster_companies")
 def m22_cluster_companies(t):
     return cluster.cluster(once(cluster.company_features(V.prices25(t))), k=4, seed=42)

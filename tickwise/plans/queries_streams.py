@@ -131,6 +131,6 @@ def k6_late_ticks_dropped(t):
                 F.col("ts") < F.lit(mid)]
     for arrived in arrivals:  # the stream stops and resumes between deliveries, so their order is certain
         ev.filter(arrived).write.mode("append").parquet(feed)
-        bars = S.streaming_bars(S.ticks_from_events(t.spark.readStream.schema(S.EVENTS_SCHEMA).parquet(feed)), "5min", "10 minutes")
+        bars = S.streaming_bars(S.ticks_from_events(S.stream_session(t.spark).readStream.schema(S.EVENTS_SCHEMA).parquet(feed)), "5min", "10 minutes")
         run = S.run_append(t.spark, bars, "k6", run=run)
     return rounded(S.read_result(t.spark, run))

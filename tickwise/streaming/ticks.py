@@ -33,9 +33,25 @@ EVENTS_SCHEMA = T.StructType([
 PROPS_SCHEMA = "k INT"
 
 
-def tick_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: Optional[int] = None) -> DataFrame:
+def stream_session(spark: SparkSession, state_partitions: Optional[int] = None) -> SparkSession:
+    """A session of the same application for streams, with its own number of state-store partitions.
+
+    A stream fixes its stateful partition count when it starts (Spark keeps it
+    in the checkpoint for restarts); size it to the cluster's cores rather than
+    the batch shuffle default.  Queries of ``spark`` keep their own setting.
+    """
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.conf.set("spark.sql.shuffle.partitions", str(state_partitions or spark.sparkContext.defaultParallelism))
+    return own
+
+
+def tick_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: Optional[int] = None,
+                state_partitions: Optional[int] = None) -> DataFrame:
     """K1 source: streaming ticks from the events table, one file or a folder of part files."""
-    r = spark.readStream.schema(EVENTS_SCHEMA)
+    r = stream_session(spark, state_partitions).readStream.schema(EVENTS_SCHEMA)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     ev = r.parquet(f"{sf_dir}/events.parquet*")
@@ -105,46 +121,28 @@ class StreamRun:
     checkpoint: str
 
 
-def _start(spark: SparkSession, writer, state_partitions: Optional[int]):
-    """Start a stream with a given number of state-store partitions.
-
-    A stream fixes its stateful partition count when it starts (Spark keeps it
-    in the checkpoint for restarts); size it to the cluster's cores rather than
-    the batch shuffle default.  The session setting is restored right after.
-    """
-    n = state_partitions or spark.sparkContext.defaultParallelism
-    key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(n))
-    try:
-        return writer.start()
-    finally:
-        spark.conf.set(key, old)
-
-
 def run_append(spark: SparkSession, df: DataFrame, what: str, fmt: str = "parquet",
-               state_partitions: Optional[int] = None, run: Optional[StreamRun] = None) -> StreamRun:
+               run: Optional[StreamRun] = None) -> StreamRun:
     """Append-mode file sink; processes everything available, then stops.  ``run`` resumes an earlier run."""
     run = run or StreamRun(scratch(spark, f"{what}-out"), scratch(spark, f"{what}-ckpt"))
     out, ck = run.output, run.checkpoint
-    q = _start(spark, df.writeStream.outputMode("append").format(fmt).option("path", out)
-               .option("checkpointLocation", ck).trigger(availableNow=True), state_partitions)
+    q = (df.writeStream.outputMode("append").format(fmt).option("path", out)
+         .option("checkpointLocation", ck).trigger(availableNow=True).start())
     q.awaitTermination()
     _raise(q)
     return run
 
 
 def run_complete(spark: SparkSession, df: DataFrame, what: str,
-                 transform: Optional[Callable[[DataFrame], DataFrame]] = None,
-                 state_partitions: Optional[int] = None) -> StreamRun:
+                 transform: Optional[Callable[[DataFrame], DataFrame]] = None) -> StreamRun:
     """Complete-mode aggregate; each micro-batch overwrites the parquet result table."""
     out, ck = scratch(spark, f"{what}-out"), scratch(spark, f"{what}-ckpt")
 
     def sink(batch: DataFrame, _epoch: int) -> None:
         (transform(batch) if transform else batch).write.mode("overwrite").parquet(out)
 
-    q = _start(spark, df.writeStream.outputMode("complete").foreachBatch(sink)
-               .option("checkpointLocation", ck).trigger(availableNow=True), state_partitions)
+    q = (df.writeStream.outputMode("complete").foreachBatch(sink)
+         .option("checkpointLocation", ck).trigger(availableNow=True).start())
     q.awaitTermination()
     _raise(q)
     return StreamRun(out, ck)
