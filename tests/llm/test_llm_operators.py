@@ -85,6 +85,19 @@ def test_pii_learns_contexts_and_redacts(spark):
     assert clean[0]["n_chars"] == len(clean[0]["text"])
 
 
+def test_pii_finds_identifiers_whose_shape_no_seed_has(spark):
+    texts = [f"reach us by phone: +1-555-{200 + i}-4{i:03d} today w{'xyz'[i % 3]}" for i in range(40)]
+    texts += ["her phone: 555-123-4567 rang", "their phone: AB123456 works", "phone = 20-77 x", "Version 2.0 of it", "the phone: 2.0 once"] + ["Version 2.0 again"] * 9
+    # the second hop: AB123456 and others make "badge" a trusted context, which no seed has
+    texts += [f"phone: QX-{i}{i} and badge QX-{i}{i}" for i in range(1, 7)] + ["badge 77/08/AX"]
+    out = {r["doc_id"]: r for r in pii.report(docs(spark, texts)).collect()}
+    new = {i: r["spans"] for i, r in out.items() if r["n_id"]}
+    assert new[40] == "id:11:23" and new[41] == "id:13:21" and new[42] == "id:8:13"
+    assert new[len(texts) - 1] == "id:6:14"
+    assert not any(i in new for i in range(43, 54))
+    assert pii.redact(docs(spark, texts)).where("doc_id = 40").first()["text"] == "her phone: [ID] rang"
+
+
 def secret_spans(t: str) -> str:
     out = [(m.start(), 0, "assign", m.end()) for m in re.finditer(
         r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", t, re.I) if len(m[2]) >= 6]

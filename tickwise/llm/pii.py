@@ -2,15 +2,19 @@ r"""PII by bootstrapped contextual extraction.
 
 1. Seed entities: the four base kinds, found by fixed patterns with checks
    (IP parts, Luhn, digit counts).
-2. Occurrences: every identifier-shaped token (a white-space run with a digit
-   or an @) is an instance in a lexical context: the word before it and the
-   word after it, lower-cased.
-3. Patterns are (side, context word, shape of the token), where the shape has
-   letters as a, digits as 9 and repeats kept.  Spark scores the graph of
-   patterns and instances in rounds: a pattern's confidence is the share of
-   its distinct instances that are trusted, weighted by how far they are
-   trusted, and it needs MIN_SUPPORT trusted instances; an instance is trusted
-   by 1 - prod(1 - confidence) over its patterns, seeds by 1.
+2. Occurrences: the seeds and every identifier-shaped token (a white-space run
+   with a digit or an @; a ``name:`` or ``name=`` in front is context) are
+   instances in a context: the one and two words before and after, lower-cased,
+   digits masked.
+3. Patterns are (side and width, context words, coarse class of the instance:
+   with an @ or with digits only); the shape of an instance takes no part, so a
+   context carries trust to identifiers unlike any seed.  Spark scores the graph
+   of patterns and instances in rounds until no new instance is trusted: a
+   pattern's confidence is the share of its distinct instances that are trusted,
+   weighted by how far they are trusted, and it needs MIN_SUPPORT trusted
+   instances; an instance is trusted by 1 - prod(1 - confidence) over its
+   patterns if at least OWN_SHARE of its occurrences stand in such patterns on
+   one side, seeds by 1.  Trust only grows, so the rounds end.
 4. Tokens of trusted instances that overlap no base span are added as kind
    ``id``.
 
@@ -41,10 +45,10 @@ KINDS = ("email", "ip", "card", "phone")
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
 IP_OK = rf"^{_PART}(?:\.{_PART}){{3}}$"
 
-#: Rounds of scoring, the confidence a pattern or instance needs, and the trusted instances a pattern needs.
-ROUNDS = 3
+#: The confidence a pattern or instance needs, the trusted instances a pattern needs, and the share of an instance's occurrences in such patterns.
 CONFIDENCE = 0.8
 MIN_SUPPORT = 5
+OWN_SHARE = 0.5
 
 
 def _digits(value: Column) -> Column:
@@ -74,10 +78,16 @@ def base_spans(text: Column) -> dict[str, Column]:
 
 
 ENTRY = "array<struct<start:int,end:int,kind:string,value:string>>"
-#: An identifier-shaped token with the words around it: one match holds word before, token.
+MARK = "array<struct<start:int,end:int,kind:string,value:string,before:array<string>,after:array<string>>>"
+#: An identifier-shaped token.
 TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
-#: Punctuation around a token or a context word that is not part of it.
-EDGE = r"^[^\p{L}\p{N}+(]+|[^\p{L}\p{N})]+$"
+#: What is not part of an identifier at a token's start and end, and of a context word.
+LEAD = r"^(?:[^0-9@]*[:=])?[^\p{L}\p{N}+(@]*"
+TAIL = r"[^\p{L}\p{N})]+$"
+EDGE = r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$"
+#: Characters on each side in which context words are looked for, and the sides and widths of patterns.
+REACH = 64
+SIDES = [(side, n) for side in ("before", "after") for n in (1, 2)]
 
 
 def _entries(found: Column, kind: str) -> Column:
@@ -86,63 +96,71 @@ def _entries(found: Column, kind: str) -> Column:
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, row (hash of the text), base entries and identifier-shaped tokens with context."""
+    """One row per document: doc_id, row (hash of the text), marks: base entries and (kind id) other tokens, with their contexts."""
     text = F.col("text")
-    base = base_spans(text)
-    entries = F.concat(*[_entries(c, k) for k, c in base.items()])
+    entries = F.concat(*[_entries(c, k) for k, c in base_spans(text).items()]).cast(ENTRY)
 
-    def context(found: Column) -> Column:
-        def one(s: Column) -> Column:
-            before = F.regexp_extract(F.substring(text, F.greatest(s["start"] - 40, F.lit(0)) + 1, F.least(s["start"], F.lit(40))), r"([^\x20\x09-\x0D]+)[\x20\x09-\x0D]+$", 1)
-            after = F.regexp_extract(F.substring(text, s["end"] + 1, F.lit(40)), r"^[\x20\x09-\x0D]+([^\x20\x09-\x0D]+)", 1)
-            core = F.regexp_replace(s["value"], EDGE, "")
-            lead = F.length(s["value"]) - F.length(F.regexp_replace(s["value"], r"^[^\p{L}\p{N}+(]+", ""))
-            return F.struct((s["start"] + lead).alias("start"), (s["start"] + lead + F.length(core)).alias("end"), core.alias("value"),
-                            F.lower(F.regexp_replace(before, EDGE, "")).alias("before"), F.lower(F.regexp_replace(after, EDGE, "")).alias("after"))
-        return F.filter(F.transform(found, one), lambda t: F.length(t["value"]) > 0)
-    return docs.select("doc_id", F.xxhash64("text").alias("row"), entries.cast(ENTRY).alias("base"),
-                       context(spans(text, TOKEN)).alias("tokens"))
+    def core(s: Column) -> Column:
+        lead = F.length(s["value"]) - F.length(F.regexp_replace(s["value"], LEAD, ""))
+        value = F.regexp_replace(F.regexp_replace(s["value"], LEAD, ""), TAIL, "")
+        return F.struct((s["start"] + lead).alias("start"), (s["start"] + lead + F.length(value)).alias("end"), F.lit("id").alias("kind"), value.alias("value"))
 
+    def words(piece: Column) -> Column:
+        return F.filter(F.transform(F.split(piece, r"[\x20\x09-\x0D]+"), lambda w: F.lower(
+            F.regexp_replace(F.regexp_replace(w, EDGE, ""), "[0-9]", "9"))), lambda w: w != "")
 
-def shape(value: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(value, "[0-9]", "9"), r"\p{L}+", "a")
+    def context(s: Column) -> Column:
+        before = words(F.substring(text, F.greatest(s["start"] - REACH, F.lit(0)) + 1, F.least(s["start"], F.lit(REACH))))
+        after = words(F.substring(text, s["end"] + 1, F.lit(REACH)))
+        return F.struct(*[s[c].alias(c) for c in ("start", "end", "kind", "value")],
+                        F.slice(F.reverse(before), 1, 2).alias("before"), F.slice(after, 1, 2).alias("after"))
+
+    def marks(base: Column) -> Column:
+        free = F.filter(spans(text, TOKEN), lambda t: ~F.exists(base, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
+        tokens = F.filter(F.transform(free, core), lambda t: F.length(t["value"]) > 0)
+        return F.transform(F.concat(base, tokens.cast(ENTRY)), context)
+    return docs.select("doc_id", F.xxhash64("text").alias("row"), let(entries, marks).cast(MARK).alias("marks"))
 
 
 def trusted_instances(occ: DataFrame) -> DataFrame:
     """(value) of identifier tokens that are not seeds and that high-confidence patterns vouch for."""
-    # a token is a seed where a base span covers or touches most of it
-    tok = occ.select("base", F.explode("tokens").alias("t"))
-    is_seed = F.exists("base", lambda b: (b["start"] < F.col("t.end")) & (F.col("t.start") < b["end"]))
-    flat = tok.select(F.col("t.value").alias("value"), F.col("t.before").alias("before"), F.col("t.after").alias("after"), is_seed.alias("seed"))
-    sides = F.array(F.struct(F.lit("before").alias("side"), F.col("before").alias("word")), F.struct(F.lit("after").alias("side"), F.col("after").alias("word")))
-    edges = flat.select("value", "seed", F.explode(sides).alias("c")).where("c.word <> ''")
-    edges = edges.select(F.concat_ws("\t", "c.side", "c.word", shape(F.col("value"))).alias("pattern"), "value", "seed")
-    edges = stage(edges.groupBy("pattern", "value").agg(F.max("seed").alias("seed")), "pii-graph")
-
-    seeds = stage(edges.groupBy("value").agg(F.max("seed").alias("seed")), "pii-seeds")
-    trust = seeds.select("value", F.col("seed").cast("double").alias("trust"))
-    for _ in range(ROUNDS):
-        scored = edges.select("pattern", "value").join(trust, "value").groupBy("pattern").agg(
+    flat = occ.select(F.explode("marks").alias("m")).select("m.value", (F.col("m.kind") != "id").alias("seed"), "m.before", "m.after")
+    sort = F.when(F.col("value").contains("@"), "@").otherwise("9")
+    contexts = F.array(*[F.when(F.size(side) >= n, F.struct(
+        F.lit(f"{side}{n}").alias("side"), F.concat_ws("\t", F.lit(f"{side}{n}"), sort, F.slice(side, 1, n)).alias("pattern"))) for side, n in SIDES])
+    edges = flat.select("value", "seed", F.explode(F.filter(contexts, lambda c: c.isNotNull())).alias("c")).select("value", "seed", "c.side", "c.pattern")
+    edges = stage(edges.groupBy("pattern", "side", "value").agg(F.max("seed").alias("seed"), F.count("*").alias("n")), "pii-graph")
+
+    trust = stage(edges.groupBy("value").agg(F.max("seed").alias("seed")).select("value", F.col("seed").cast("double").alias("trust"), "seed"), "pii-seeds")
+    known = 0
+    while True:
+        scored = edges.select("pattern", "value").join(trust.select("value", "trust"), "value").groupBy("pattern").agg(
             F.avg("trust").alias("confidence"), F.sum("trust").alias("support"))
-        good = stage(scored.where((F.col("confidence") >= CONFIDENCE) & (F.col("support") >= MIN_SUPPORT)), "pii-patterns")
+        good = stage(scored.where((F.col("confidence") >= CONFIDENCE) & (F.col("support") >= MIN_SUPPORT)).select("pattern", "confidence"), "pii-patterns")
         # the logarithm keeps the product a sum; a pattern never counts as certain
-        vouched = edges.join(good, "pattern").groupBy("value").agg(
-            (1 - F.exp(F.sum(F.log(1 - F.least("confidence", F.lit(0.99)))))).alias("vouched"))
-        trust = stage(seeds.join(vouched, "value", "left").select(
-            "value", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("vouched", F.lit(0.0))).alias("trust"), "seed"), "pii-trust")
-    return trust.where(~F.col("seed") & (F.col("trust") >= CONFIDENCE)).select("value")
+        share = F.greatest(*[F.sum(F.when((F.col("side") == f"{s}{n}") & F.col("confidence").isNotNull(), F.col("n")))
+                             / F.sum(F.when(F.col("side") == f"{s}{n}", F.col("n"))) for s, n in SIDES])
+        vouched = edges.join(good, "pattern", "left").groupBy("value").agg(
+            F.max("seed").alias("seed"), (1 - F.exp(F.sum(F.log(1 - F.least("confidence", F.lit(0.99)))))).alias("vouched"), share.alias("share"))
+        trust = stage(vouched.select("value", F.when(F.col("seed"), 1.0).when(F.col("share") >= OWN_SHARE, F.col("vouched")).otherwise(0.0).alias("trust"),
+                                     "seed"), "pii-trust")
+        found = trust.where(~F.col("seed") & (F.col("trust") >= CONFIDENCE)).select("value")
+        now = found.count()
+        if now == known:
+            return found
+        known = now
 
 
 def find(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, row, base and found (arrays of start, end, kind, value)."""
     occ = stage(occurrences(docs), "pii-occurrences")
     known = trusted_instances(occ).withColumnRenamed("value", "_value")
-    tok = occ.select("doc_id", "row", "base", F.explode("tokens").alias("t")).where(
-        ~F.exists("base", lambda b: (b["start"] < F.col("t.end")) & (F.col("t.start") < b["end"])))
+    tok = occ.select("doc_id", "row", F.explode(F.filter("marks", lambda m: m["kind"] == "id")).alias("t"))
     extra = tok.join(known, F.col("t.value") == F.col("_value"), "left_semi").groupBy("doc_id", "row").agg(
         F.array_sort(F.collect_set(F.struct(F.col("t.start").alias("start"), F.col("t.end").alias("end"), F.lit("id").alias("kind"), F.col("t.value").alias("value")))).alias("found"))
     e = extra.select(F.col("doc_id").alias("_doc"), F.col("row").alias("_row"), "found")
-    return (occ.select("doc_id", "row", "base").join(e, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("row") == F.col("_row")), "left")
+    base = F.transform(F.filter("marks", lambda m: m["kind"] != "id"), lambda m: F.struct(*[m[c].alias(c) for c in ("start", "end", "kind", "value")]))
+    return (occ.select("doc_id", "row", base.alias("base")).join(e, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("row") == F.col("_row")), "left")
             .select("doc_id", "row", "base", F.coalesce("found", F.array().cast(ENTRY)).alias("found")))
 
 
