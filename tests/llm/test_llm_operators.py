@@ -231,6 +231,16 @@ def test_html_extracts_the_article(spark):
     assert got[6]["text"] == got[7]["text"] == "" and got[8]["text"] == got[0]["text"] and got[9]["text"] == "only text" and len(got) == 11
 
 
+def test_html_names_on_a_container_do_not_lose_the_article(spark):
+    opens = ["<body class='has-sidebar'><article>", "<body class='no-sidebar page-header-fixed header'><main>", "<body><article class='post comments-open'>",
+             "<body><div id='social-science'><article>", "<body><form><main>", "<body><div class='widget'><article>", "<body class='search'><div class='story'>"]
+    data = [(i, f"http://h{i}.example/", f"<html class='menu'>{o}<p>Text {i}<div class='big comments'><p>No</div><div class='widget'><article><p>No</article></div>")
+            for i, o in enumerate(opens[:-1])] + [(6, "http://z.example/", opens[-1] + "<p>Text 6")]
+    got = {r["page_id"]: r["text"] for r in html_template.extract(spark.createDataFrame(data, "page_id long, url string, html string")).collect()}
+    nested = {1, 4}  # main around an article: the article ends the widget's mark
+    assert got == {i: f"Text {i}" + ("\n\nNo" if i in nested else "") for i in range(7)}
+
+
 def test_html_over_the_test_pages(spark):
     pages = {r["page_id"]: r["html"] for r in common.table(spark, SF, "pages").collect()}
     for r in html_template.extract(common.table(spark, SF, "pages")).collect():
