@@ -241,6 +241,22 @@ def test_html_names_on_a_container_do_not_lose_the_article(spark):
     assert got == {i: f"Text {i}" + ("\n\nNo" if i in nested else "") for i in range(7)}
 
 
+def test_html_template_text_inside_main_goes_and_pages_without_landmarks_keep_theirs(spark):
+    page = "<body><main><div class='hint'>Share this with friends</div><p>Story {0}<p>Read our paper</main><div class='foot'>Imprint</div>"
+    bare = "<body><div class='foot'>Imprint</div><div class='story'>Bare {0}</div>"
+    texts = [page.format(i) for i in range(30)] + [bare.format(i) for i in range(2)] + [page.format(0).replace("Read our paper", "Read on")]
+    data = [(i, f"http://h.example/{i}", t) for i, t in enumerate(texts)]
+    data += [(100 + i, "http://same.example/", "<article><p>One text</article><p>Menu") for i in range(8)]
+    # most pages of this host have a main beside the slot the bare page has its text in
+    data += [(200 + i, "http://mix.example/", f"<main>M {i}</main><div class='more'>Also {i}</div>") for i in range(8)]
+    data += [(300, "http://mix.example/", "<div class='more'>Alone</div>")]
+    got = {r["page_id"]: r["text"] for r in html_template.extract(spark.createDataFrame(data, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"Story {i}" for i in range(30)) and got[32] == "Story 0\n\nRead on"
+    assert [got[30], got[31]] == ["Bare 0", "Bare 1"]
+    assert all(got[100 + i] == "One text" for i in range(8))
+    assert all(got[200 + i] == f"M {i}" for i in range(8)) and got[300] == "Alone"
+
+
 def test_html_over_the_test_pages(spark):
     pages = {r["page_id"]: r["html"] for r in common.table(spark, SF, "pages").collect()}
     for r in html_template.extract(common.table(spark, SF, "pages")).collect():
