@@ -196,6 +196,27 @@ def test_embeddings_equal_brute_force_over_several_shards(spark, monkeypatch):
     assert got[1]["component_id"] == got[0]["component_id"] == 0
 
 
+def test_embedding_audit_counts_real_links_only(spark, monkeypatch):
+    rng = np.random.RandomState(2)
+    x = hnsw.unit_rows(rng.normal(size=(300, 24)))
+    x[1] = hnsw.unit_rows([x[0] + 0.02 * rng.normal(size=24)])[0]
+    graph = hnsw.Graph(x)
+    for layer in graph.adj:  # nothing leads to node 1: its only link is missed
+        for n in layer:
+            layer[n] = layer[n][layer[n] != 1]
+    far = np.array([x[1]])
+    assert 1 not in graph.within(x[0], hnsw.SEARCH_BEAM, hnsw.LINK)
+    kinds = hnsw.audit_queries(graph, far)
+    assert [len(t) for _, t in kinds[:2]] == [1, 2] and len(kinds) == 3  # a row of another shard, two members, planted
+    beam, links, found, recall = hnsw.audited_beam(graph, far)
+    assert links == found and recall == 1 and 1 in graph.within(x[0], beam, hnsw.LINK)
+
+    monkeypatch.setattr(hnsw, "SHARD", 60)
+    data = [(i, [float(e) for e in x[i]], 0) for i in range(300)]
+    report = hnsw.audit_report(spark.createDataFrame(data, "vec_id long, embedding array<double>, label int")).collect()
+    assert len(report) == 1 and report[0]["shards"] == 5 and report[0]["true_links"] >= 128 and report[0]["recall"] >= hnsw.RECALL
+
+
 def test_language_held_out_accuracy_and_unknown(spark):
     d = common.table(spark, "/root/testdata/sf0.01", "documents")
     names, protos = langid.prototypes(d)

@@ -7,9 +7,12 @@ lengths agree), by cosine in double precision; pairs of 0.98 or more are links.
    of any number are one graph node with a weight.
 2. The classes of a label are dealt by hash into shards of at most about
    SHARD; every shard's graph is built in one task and written as one row.
-3. The build audits itself: AUDIT members of the shard are searched in the
-   graph and by brute force, and the beam is doubled until the recall of links
-   reaches RECALL (a beam as wide as the shard finds all).
+3. Every shard is audited with the queries it will get: rows of the label's
+   other shards and its own members (never counting a member as its own link),
+   each against brute force.  Where these have fewer than TRUE_LINKS true links,
+   members turned to a similarity within the link threshold are searched too.
+   The beam is doubled until the recall of every kind reaches RECALL; a beam as
+   wide as the shard compares with all of it.
 4. Every pair of shards of a label is one task: each searches the other's
    graph with the audited beam.  A search keeps walking through everything
    within the link threshold, so large groups are found whole whatever the
@@ -34,7 +37,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickwise.llm.common import connected_components, stage
+from tickwise.llm.common import connected_components, small_side, stage
 from tickwise.session import ship_package
 
 LINK = 0.98
@@ -45,6 +48,9 @@ BUILD_BEAM = 48
 SEARCH_BEAM = 24
 AUDIT = 128
 RECALL = 0.99
+#: Rows of a label (about) that its shards are compared with to find audit queries, and the true links an audit needs.
+POOL = 1024
+TRUE_LINKS = 64
 
 
 class Graph:
@@ -155,6 +161,8 @@ class Graph:
         """Nodes found with similarity >= ``reach`` to ``q``."""
         if self.entry < 0:
             return np.empty(0, np.int64)
+        if beam >= len(self.x):
+            return np.flatnonzero(self.x @ q >= reach)
         found = self._layer(q, [self._descend(q, 0)], beam, 0, reach)
         return np.array(sorted(n for _, n in found), np.int64)
 
@@ -184,28 +192,62 @@ def unit_rows(vectors) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def audited_beam(graph: Graph) -> tuple[int, float]:
-    """The first beam (doubled each time) whose recall of links over AUDIT members reaches RECALL, and that recall."""
-    n = len(graph.x)
-    sample = np.unique(np.linspace(0, n - 1, min(AUDIT, n)).astype(np.int64))
-    truth = [np.flatnonzero(graph.x @ graph.x[i] >= LINK) for i in sample]
+def audit_queries(graph: Graph, others: np.ndarray) -> list[tuple[np.ndarray, list]]:
+    """Per kind (other shards' rows, own members, planted) the queries that have true links, AUDIT at most, and those links."""
+    n, dim = graph.x.shape
+
+    def linked(rows: np.ndarray, own: bool) -> tuple[np.ndarray, list]:
+        queries, truth = [], []
+        for at in range(0, len(rows), 512):
+            near = rows[at:at + 512] @ graph.x.T >= LINK
+            if own:
+                near[np.arange(len(near)), np.arange(at, at + len(near))] = False
+            for i in np.flatnonzero(near.any(axis=1)):
+                queries.append(rows[at + i])
+                truth.append(np.flatnonzero(near[i]))
+        pick = np.unique(np.linspace(0, len(truth) - 1, min(AUDIT, len(truth))).astype(np.int64))
+        return np.array([queries[i] for i in pick]).reshape(-1, dim), [truth[i] for i in pick]
+
+    kinds = [linked(others, False), linked(graph.x, True)]
+    if sum(len(t) for _, truth in kinds for t in truth) < TRUE_LINKS:
+        x = graph.x[np.unique(np.linspace(0, n - 1, min(AUDIT, n)).astype(np.int64))]
+        side = np.random.RandomState(11).normal(size=x.shape)
+        side -= (side * x).sum(axis=1, keepdims=True) * x
+        size = np.linalg.norm(side, axis=1, keepdims=True)
+        c = (1 + LINK) / 2
+        kinds.append(linked(np.where(size > 1e-9, c * x + (1 - c * c) ** 0.5 * side / np.maximum(size, 1e-9), x), False))
+    return kinds
+
+
+def audited_beam(graph: Graph, others: np.ndarray) -> tuple[int, int, int, float]:
+    """The first beam (doubled each time) whose recall of every kind reaches RECALL; true links, those found, the lowest recall."""
+    kinds = audit_queries(graph, others)
+    links = [sum(map(len, truth)) for _, truth in kinds]
     beam = SEARCH_BEAM
     while True:
-        hit = sum(len(np.intersect1d(t, graph.within(graph.x[i], beam, LINK), assume_unique=True)) for i, t in zip(sample, truth))
-        recall = hit / sum(map(len, truth))
-        if recall >= RECALL or beam >= n:
-            return beam, recall
+        found = [sum(len(np.intersect1d(t, graph.within(q, beam, LINK), assume_unique=True)) for q, t in zip(queries, truth)) for queries, truth in kinds]
+        recall = min((f / k for f, k in zip(found, links) if k), default=1.0)
+        if recall >= RECALL or beam >= len(graph.x):
+            return beam, sum(links), sum(found), recall
         beam *= 2
 
 
 def _build(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values(["fa", "fb"])
     graph = Graph(unit_rows(pdf["v"]))
-    beam, recall = audited_beam(graph)
-    return pd.DataFrame({"label": [pdf["label"].iloc[0]], "dim": [pdf["dim"].iloc[0]], "shard": [pdf["shard"].iloc[0]], "beam": [beam], "recall": [recall],
+    return pd.DataFrame({"label": [pdf["label"].iloc[0]], "dim": [pdf["dim"].iloc[0]], "shard": [pdf["shard"].iloc[0]],
                          "fa": [pdf["fa"].tolist()], "fb": [pdf["fb"].tolist()], "weight": [pdf["weight"].tolist()], "graph": [graph.dump()]})
 
 
+def _audit(pdf: pd.DataFrame) -> pd.DataFrame:
+    r = pdf.iloc[0]
+    graph = Graph.load(r["graph"])
+    others = [p["v"] for p in (r["pool"] if r["pool"] is not None else []) if p["shard"] != r["shard"]]
+    beam, links, found, recall = audited_beam(graph, unit_rows(others) if others else np.empty((0, graph.x.shape[1])))
+    return pd.DataFrame({"label": [r["label"]], "dim": [r["dim"]], "shard": [r["shard"]], "beam": [beam],
+                         "true_links": [links], "found_links": [found], "recall": [recall]})
+
+
 def _search(pdf: pd.DataFrame) -> pd.DataFrame:
     """Links between two shards (or within one): per node its weighted links and its root."""
     r = pdf.iloc[0]
@@ -260,18 +302,43 @@ def can_link() -> Column:
     return F.col("label").isNotNull() & F.coalesce(finite, F.lit(False)) & F.coalesce(F.exists(e, lambda v: F.coalesce(v != 0, F.lit(False))), F.lit(False))
 
 
-def near_duplicates(embeddings: DataFrame) -> DataFrame:
-    """One row per vector: vec_id, n_links, component_id, kept."""
+def shard_graphs(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The shards' graphs (label, dim, shard, fa, fb, weight, graph) and their audits (label, dim, shard, beam, true_links, found_links, recall)."""
+    label = classes.schema["label"].dataType.simpleString()
+    shards = classes.groupBy("label", "dim").agg(F.count("*").alias("size"), F.ceil(F.count("*") / SHARD).cast("int").alias("n_shards"))
+    dealt = classes.join(shards, ["label", "dim"]).withColumn("shard", F.pmod(F.xxhash64("fa"), F.col("n_shards")).cast("int"))
+    graphs = stage(dealt.select("label", "dim", "shard", "fa", "fb", "weight", "v").groupBy("label", "dim", "shard").applyInPandas(
+        _build, f"label {label}, dim int, shard int, fa array<long>, fb array<long>, weight array<long>, graph binary"), "hnsw-graphs")
+    pool = dealt.where((F.col("n_shards") > 1) & (F.pmod(F.xxhash64("fb", "fa"), F.col("size")) < POOL)).groupBy("label", "dim").agg(
+        F.collect_list(F.struct("shard", "v")).alias("pool"))
+    asked = graphs.select("label", "dim", "shard", "graph").join(pool, ["label", "dim"], "left")
+    audits = stage(asked.groupBy("label", "dim", "shard").applyInPandas(
+        _audit, f"label {label}, dim int, shard int, beam int, true_links long, found_links long, recall double"), "hnsw-audits")
+    return graphs, audits
+
+
+def vector_classes(embeddings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows that can link (vec_id, label, dim, fa, fb, embedding) and their classes of equal vectors."""
     ship_package(embeddings.sparkSession)
-    label = embeddings.schema["label"].dataType.simpleString()
     key = [F.xxhash64("label", "embedding").alias("fa"), F.xxhash64("embedding", F.lit("lane"), "label").alias("fb")]
     rows = stage(embeddings.where(can_link()).select("vec_id", "label", F.size("embedding").alias("dim"), *key, "embedding"), "hnsw-rows")
     classes = stage(rows.groupBy("label", "dim", "fa", "fb").agg(F.min("vec_id").alias("rep"), F.count("*").alias("weight"), F.first("embedding").alias("v")),
                     "hnsw-classes")
-    shards = classes.groupBy("label", "dim").agg(F.ceil(F.count("*") / SHARD).cast("int").alias("n_shards"))
-    dealt = classes.join(shards, ["label", "dim"]).withColumn("shard", F.pmod(F.xxhash64("fa"), F.col("n_shards")).cast("int"))
-    graphs = stage(dealt.select("label", "dim", "shard", "fa", "fb", "weight", "v").groupBy("label", "dim", "shard").applyInPandas(
-        _build, f"label {label}, dim int, shard int, beam int, recall double, fa array<long>, fb array<long>, weight array<long>, graph binary"), "hnsw-graphs")
+    return rows, classes
+
+
+def audit_report(embeddings: DataFrame) -> DataFrame:
+    """One row per label and vector length: shards, widest beam, audited true links, those found, recall."""
+    _, audits = shard_graphs(vector_classes(embeddings)[1])
+    return audits.groupBy("label", "dim").agg(F.count("*").alias("shards"), F.max("beam").alias("beam"), F.sum("true_links").alias("true_links"),
+                                              F.sum("found_links").alias("found_links")).withColumn("recall", F.try_divide("found_links", "true_links"))
+
+
+def near_duplicates(embeddings: DataFrame) -> DataFrame:
+    """One row per vector: vec_id, n_links, component_id, kept."""
+    rows, classes = vector_classes(embeddings)
+    graphs, audits = shard_graphs(classes)
+    graphs = graphs.join(small_side(audits.select("label", "dim", "shard", "beam"), 32), ["label", "dim", "shard"])
     other = graphs.select("label", "dim", *[F.col(c).alias(f"{c}2") for c in ("shard", "beam", "fa", "fb", "weight", "graph")])
     same_shard = graphs.select("*", *[F.col(c).alias(f"{c}2") for c in ("shard", "beam")],
                                *[F.lit(None).cast("array<long>").alias(f"{c}2") for c in ("fa", "fb", "weight")], F.lit(None).cast("binary").alias("graph2"))
