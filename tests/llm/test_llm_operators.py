@@ -364,6 +364,24 @@ def test_stages_keep_clashing_columns_and_odd_rows(spark):
     assert "no id" in kept and sum(t == "same text here now" for t in [r["text"] for r in out.where("mix_copy_no = 1").collect()]) <= 1
 
 
+def test_keep_one_links_five_words_at_four_fifths(spark):
+    rng = np.random.RandomState(9)
+    texts = []
+    for i in range(40):
+        ws = [f"w{i}x{k}" for k in range(100)]
+        near = ws + [f"n{i}x{k}" for k in range(int(rng.randint(10, 40)))]
+        texts += [" ".join(ws), " ".join(near)]
+    edited = [f"e{k}" for k in range(120)]
+    texts += [" ".join(edited), " ".join("new" if k in (30, 60, 90) else w for k, w in enumerate(edited))]
+    sets = [set(zip(*[t.split()[k:] for k in range(5)])) for t in texts]
+    alike = lambda a, b: 5 * len(a & b) >= 4 * len(a | b)
+    want = {i for i in range(len(texts)) if not (i % 2 and alike(sets[i], sets[i - 1]))}
+    between = [i for i in range(1, len(texts), 2) if i not in want and 100 * len(sets[i] & sets[i - 1]) < 85 * len(sets[i] | sets[i - 1])]
+    assert between  # these stayed at 0.85
+    got = superminhash.keep_one(docs(spark, texts), 5, (4, 5), 5).collect()  # 25 bands of 5 rows
+    assert {r["doc_id"] for r in got} == want and len(got) == len(want)
+
+
 def test_pipeline_against_brute_force(spark):
     import corpus_pipeline
 

@@ -124,7 +124,7 @@ def superminhash(flat: np.ndarray, sizes: np.ndarray, slots: int = SLOTS) -> np.
 def band_keys(sig: np.ndarray, rows: int = ROWS) -> np.ndarray:
     """One 64-bit key per band, different bands in different ranges of hashes."""
     n, slots = sig.shape
-    parts = sig.reshape(n, slots // rows, rows)
+    parts = sig[:, :slots // rows * rows].reshape(n, slots // rows, rows)
     x = np.tile(np.arange(1, slots // rows + 1, dtype=np.uint64), (n, 1))
     for i in range(rows):
         x = mixed(x * _GOLD + parts[:, :, i])
@@ -140,11 +140,11 @@ def fingerprint(s: np.ndarray) -> tuple[int, int]:
     return int(a.sum(dtype=np.uint64).view(np.int64)), int(np.uint64(low).view(np.int64))
 
 
-def _chunks(texts: list, known: WordHashes) -> Iterator[tuple[int, list[np.ndarray]]]:
+def _chunks(texts: list, known: WordHashes, width: int) -> Iterator[tuple[int, list[np.ndarray]]]:
     """Sets of consecutive texts, at most about CHUNK shingles at a time, with the index of the first."""
     first, sets, total = 0, [], 0
     for i, t in enumerate(texts):
-        sets.append(shingle_set(t, known))
+        sets.append(shingle_set(t, known, width))
         total += len(sets[-1])
         if total >= CHUNK:
             yield first, sets
@@ -158,13 +158,13 @@ def _lists(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int64)))
 
 
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sign(batches: Iterator[pa.RecordBatch], width: int, band_rows: int) -> Iterator[pa.RecordBatch]:
     known = WordHashes()
     for batch in batches:
         ids = batch.column("doc_id")
-        for first, sets in _chunks(batch.column("text").to_pylist(), known):
+        for first, sets in _chunks(batch.column("text").to_pylist(), known, width):
             sizes = np.array([len(s) for s in sets], np.int64)
-            keys = band_keys(superminhash(np.concatenate(sets), sizes))
+            keys = band_keys(superminhash(np.concatenate(sets), sizes), band_rows)
             prints = np.array([fingerprint(s) for s in sets], np.int64)
             yield pa.RecordBatch.from_arrays(
                 [ids.slice(first, len(sets)), pa.array(sizes), pa.array(prints[:, 0]), pa.array(prints[:, 1]),
@@ -177,17 +177,18 @@ def _id_type(docs: DataFrame) -> str:
     return docs.schema["doc_id"].dataType.simpleString()
 
 
-def sign(docs: DataFrame) -> DataFrame:
+def sign(docs: DataFrame, width: int = WIDTH, band_rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, set fingerprint (fa, fb) and band keys of every document."""
     ship_package(docs.sparkSession)
-    return docs.select("doc_id", "text").mapInArrow(_sign, f"doc_id {_id_type(docs)}, n_shingles long, fa long, fb long, bands array<long>")
+    return docs.select("doc_id", "text").mapInArrow(
+        lambda batches: _sign(batches, width, band_rows), f"doc_id {_id_type(docs)}, n_shingles long, fa long, fb long, bands array<long>")
 
 
-def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _full_sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     known = WordHashes()
     for batch in batches:
         fa, fb = batch.column("fa").to_pylist(), batch.column("fb").to_pylist()
-        for first, sets in _chunks(batch.column("text").to_pylist(), known):
+        for first, sets in _chunks(batch.column("text").to_pylist(), known, width):
             keep = [i for i, s in enumerate(sets) if fingerprint(s) == (fa[first + i], fb[first + i])]
             if keep:
                 taken = batch.take(pa.array([first + i for i in keep]))
@@ -233,13 +234,13 @@ def spanning_roots(sets: list[np.ndarray], link: tuple[int, int] = LINK) -> np.n
     return root
 
 
-def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _forest(batches: Iterator[pa.RecordBatch], link: tuple[int, int]) -> Iterator[pa.RecordBatch]:
     """Spanning forests of groups that arrive as runs of equal (ca, cb, p, q)."""
     def solved(rows: dict) -> pa.RecordBatch | None:
         nodes, sets = list(rows), list(rows.values())
         if len(sets) < 2:
             return None
-        root = spanning_roots(sets)
+        root = spanning_roots(sets, link)
         out = [(*nodes[i], *nodes[r]) for i, r in enumerate(root) if i != r]
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["fa", "fb", "ra", "rb"]) if out else None
 
@@ -267,7 +268,7 @@ def candidate_groups(classes: DataFrame) -> DataFrame:
     return connected_components(stars.select(F.col("node").alias("a"), F.col("head").alias("b")))
 
 
-def verified_forest(docs: DataFrame, classes: DataFrame) -> DataFrame:
+def verified_forest(docs: DataFrame, classes: DataFrame, width: int = WIDTH, link: tuple[int, int] = LINK) -> DataFrame:
     """(fa, fb, ra, rb): each class of a component of true links with another class of it."""
     spark = docs.sparkSession
     groups = stage(candidate_groups(classes), "smh-groups")
@@ -279,12 +280,12 @@ def verified_forest(docs: DataFrame, classes: DataFrame) -> DataFrame:
         "smh-wanted")
     picked = docs.select("doc_id", "text").join(small_side(wanted, 64), F.col("doc_id").eqNullSafe(F.col("rep")))
     sets = picked.select("text", "ca", "cb", "blocks", "fa", "fb").mapInArrow(
-        _full_sets, "ca long, cb long, blocks int, fa long, fb long, shingles array<long>")
+        lambda batches: _full_sets(batches, width), "ca long, cb long, blocks int, fa long, fb long, shingles array<long>")
     own = F.pmod(F.xxhash64("fa", "fb"), F.col("blocks")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.least(x, own).alias("p"), F.greatest(x, own).alias("q")))
     dealt = sets.select("ca", "cb", F.inline(pairs), "fa", "fb", "shingles")
     runs = dealt.repartition("ca", "cb", "p", "q").sortWithinPartitions("ca", "cb", "p", "q")
-    forest = stage(runs.mapInArrow(_forest, "fa long, fb long, ra long, rb long"), "smh-forest")
+    forest = stage(runs.mapInArrow(lambda batches: _forest(batches, link), "fa long, fb long, ra long, rb long"), "smh-forest")
     if wanted.where("blocks > 1").limit(1).count() == 0:
         return forest  # every group was one block: its forest is final
     edges = forest.select(F.struct("fa", "fb").alias("a"), F.struct(F.col("ra").alias("fa"), F.col("rb").alias("fb")).alias("b"))
@@ -292,12 +293,12 @@ def verified_forest(docs: DataFrame, classes: DataFrame) -> DataFrame:
     return cc.select("node.fa", "node.fb", F.col("component.fa").alias("ra"), F.col("component.fb").alias("rb"))
 
 
-def duplicates(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept."""
-    signed = stage(sign(docs), "smh-signed")
+def duplicates(docs: DataFrame, width: int = WIDTH, link: tuple[int, int] = LINK, band_rows: int = ROWS) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept; ``width`` words a shingle, ``link`` the least similarity."""
+    signed = stage(sign(docs, width, band_rows), "smh-signed")
     classes = stage(signed.where("n_shingles > 0").groupBy("fa", "fb").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands")), "smh-classes")
-    forest = verified_forest(docs, classes)
+    forest = verified_forest(docs, classes, width, link)
     f = forest.select(F.col("fa").alias("_a"), F.col("fb").alias("_b"), "ra", "rb")
     rooted = classes.join(f, (F.col("fa") == F.col("_a")) & (F.col("fb") == F.col("_b")), "left").select(
         "fa", "fb", "rep", F.coalesce("ra", "fa").alias("ra"), F.coalesce("rb", "fb").alias("rb"))
@@ -310,9 +311,9 @@ def duplicates(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, width: int = WIDTH, link: tuple[int, int] = LINK, band_rows: int = ROWS) -> DataFrame:
     """``docs`` with one document of each component; repeated rows of one id and text leave one row."""
-    marks = stage(duplicates(docs).select("doc_id", "kept"), "smh-marks")
+    marks = stage(duplicates(docs, width, link, band_rows).select("doc_id", "kept"), "smh-marks")
     gone = marks.where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
     left = packed(docs).join(small_side(gone, 16), field("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
     repeated = stage(marks.groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1").select(F.col("doc_id").alias("_again")), "smh-again")
