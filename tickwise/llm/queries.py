@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickwise.llm import chat, decontaminate, hnsw, html_template, langid, mixing, pii, quality, secrets, superminhash
+from tickwise.llm import (chat, decontaminate, hnsw, html_template, importance, langid, merkle, mixing, pii, quality, secrets, superminhash,
+                          token_records)
 from tickwise.llm.common import table
 
 
@@ -50,9 +51,24 @@ def op10_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superminhash.duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+def op12_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from public_tokenizers import path  # only this query needs the package
+
+    folder = token_records.write(table(spark, sf_dir, "documents"), path("byte_bpe_50k.json"))
+    return token_records.digests(spark, folder)
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_quality_rules, op2_benchmark_containment, op3_chat_snapshots, op4_html_templates, op5_embedding_hnsw,
-    op6_pii_bootstrap, op7_linked_secrets, op8_language_hypervectors, op9_systematic_mix, op10_superminhash)}
+    op6_pii_bootstrap, op7_linked_secrets, op8_language_hypervectors, op9_systematic_mix, op10_superminhash, op11_merkle_manifest, op12_token_records, op13_importance_resampling)}
 
 SQL: dict[str, str] = {
     "op2_benchmark_containment": decontaminate.DECON_SQL,
@@ -60,4 +76,6 @@ SQL: dict[str, str] = {
     "op5_embedding_hnsw": hnsw.EMBED_SQL,
     "op9_systematic_mix": mixing.MIX_SQL,
     "op10_superminhash": superminhash.NEAR_SQL,
+    "op11_merkle_manifest": merkle.MERKLE_SQL,
+    "op13_importance_resampling": importance.IMPORTANCE_SQL,
 }
