@@ -41,8 +41,8 @@ KINDS = ("assign", "access", "hex")
 
 WEAK_ID = (r"""(?i:\b(?:access|account|client|user|login)[_-]?(?:key[_-]?)?(?:id|name)?)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@-]{4,}"""
            r"|\bA(?:KIA|SIA)[A-Z0-9]{4,15}\b")
-WEAK_SECRET = (r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]{0,64}?[0-9])(?=[A-Za-z0-9+/_-]{0,64}?[A-Z])"
-               r"(?=[A-Za-z0-9+/_-]{0,64}?[a-z])[A-Za-z0-9+/_-]{16,}")
+WEAK_SECRET = (r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])(?=[a-z0-9+/_-]*+[A-Z])"
+               r"(?=[A-Z0-9+/_-]*+[a-z])[A-Za-z0-9+/_-]{16,}")
 ENDPOINT = (r"""(?i:https?|s3|postgres(?:ql)?|mysql|mongodb|redis|amqps?)://[^\x20\x09-\x0D"'<>]+"""
             r"""|(?i:\b(?:host|endpoint|server))["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]{4,}(?::[0-9]+)?""")
 

@@ -312,18 +312,22 @@ def duplicates(docs: DataFrame, width: int = WIDTH, link: tuple[int, int] = LINK
 
 
 def keep_one(docs: DataFrame, width: int = WIDTH, link: tuple[int, int] = LINK, band_rows: int = ROWS) -> DataFrame:
-    """``docs`` with one document of each component; repeated rows of one id and text leave one row."""
-    marks = stage(duplicates(docs, width, link, band_rows).select("doc_id", "kept"), "smh-marks")
-    gone = marks.where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    left = packed(docs).join(small_side(gone, 16), field("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
-    repeated = stage(marks.groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1").select(F.col("doc_id").alias("_again")), "smh-again")
+    """``docs`` with one row of each component, the least by (doc_id, text hash), null ids last.
+
+    Rows that share an id are judged by their own text; rows of equal id and text leave one.
+    """
+    name = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("row"))
+    marks = stage(duplicates(docs.select(name.alias("doc_id"), "text"), width, link, band_rows).select("doc_id.id", "doc_id.row", "kept"), "smh-marks")
+    own = {"_id": field("doc_id"), "_row": F.xxhash64(field("text"))}
+
+    def rows(of: DataFrame, known: DataFrame, how: str) -> DataFrame:
+        k = known.select(F.col("id").alias("_gone"), F.col("row").alias("_gone_row"))
+        return of.join(small_side(k, 24), F.col("_id").eqNullSafe(F.col("_gone")) & (F.col("_row") == F.col("_gone_row")), how)
+    left = rows(packed(docs).withColumns(own), marks.where("NOT kept").select("id", "row").distinct(), "left_anti")
+    repeated = stage(marks.where("kept").groupBy("id", "row").agg(F.count("*").alias("c")).where("c > 1").select("id", "row"), "smh-again")
     if repeated.limit(1).count() == 0:
         return left.select("_d.*")
-    again = small_side(repeated, 16)
-    once = left.join(again, field("doc_id").eqNullSafe(F.col("_again")), "left_anti")
-    twice = left.join(again, field("doc_id").eqNullSafe(F.col("_again")), "left_semi")
-    twice = twice.withColumns({"_id": field("doc_id"), "_text": field("text")}).dropDuplicates(["_id", "_text"]).drop("_id", "_text")
-    return once.unionByName(twice).select("_d.*")
+    return rows(left, repeated, "left_anti").unionByName(rows(left, repeated, "left_semi").dropDuplicates(["_id", "_row"])).select("_d.*")
 
 
 NEAR_SQL = r"""
