@@ -4,10 +4,11 @@ forecast (R1) -> next-day label per company (W1/W2/P12, one partitioned
 window) -> 21-component feature vector (M1) -> per-company split (M2) ->
 classifier (M16-M18) -> scored held-out rows (M19).
 
-The labelled forecast is written to the shared folder once, one folder per
-company; fits read only their company's folder (a lost executor does not
-recompute the forecast) and run in bounded batches, each fit a normal
-distributed Spark ML job whose scores are appended to a result table.
+The labelled forecast is written to the shared folder once (a lost executor
+does not recompute it).  Trees and forests of all companies grow in one plan
+(``trees``).  The perceptron is a Spark ML fit per company: rows get a folder
+per company, fits read only their own and run in bounded batches, and scores
+are appended to a result table.
 """
 
 from __future__ import annotations
@@ -19,9 +20,11 @@ from itertools import islice
 from typing import Optional, Sequence
 
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickwise.operators import trees
 from tickwise.operators.clean import drop_incomplete
 from tickwise.operators.classify import classification_pipeline, scored_arrays
 from tickwise.operators.forecast import ForecastSpec, forecast
@@ -83,8 +86,9 @@ def decide(prices: DataFrame, value: str = "close", fspec: ForecastSpec = Foreca
            dspec: DecideSpec = DecideSpec(), last: Optional[int] = None, as_of: DateLike = None) -> DataFrame:
     """E2 ``should_I_buy``: scored held-out rows (all rows with ``score_all``) of every company.
 
-    The labelled rows are written once, one folder per company, so a fit reads
-    only its own company.  Companies are streamed to the driver in batches of
+    Trees and forests (``dt``, ``rf``) of all companies are one plan, whose jobs
+    depend on the depth.  For ``mlp`` the labelled rows are written with a folder
+    per company, so a fit reads only its own company.  Companies are streamed to the driver in batches of
     ``dspec.batch``; a batch's models are fitted side by side and its scores
     appended to the result table.  Plans and driver memory depend on the batch
     size, not on the number of companies.  Rows with a missing component, and
@@ -98,6 +102,8 @@ def decide(prices: DataFrame, value: str = "close", fspec: ForecastSpec = Foreca
     tagged = labeled_features(fc, dspec.keep_last).select(
         "*", complete.alias("_complete"), held_out(dspec.val_split).alias("_held_out"),
         F.xxhash64("company").alias("_folder"))
+    if dspec.classifier in ("dt", "rf"):
+        return _decide_by_trees(tagged, dspec)
     folder, result = scratch(spark, "decide-rows"), scratch(spark, "decide-scores")
     tagged.repartition("_folder").write.partitionBy("_folder").parquet(folder)
     data = spark.read.schema(tagged.schema).parquet(folder)
@@ -130,6 +136,23 @@ def decide(prices: DataFrame, value: str = "close", fspec: ForecastSpec = Foreca
     return spark.read.schema(empty.schema).parquet(result)
 
 
+def tree_spec(dspec: DecideSpec) -> trees.TreeSpec:
+    return trees.TreeSpec(n_classes=3, num_trees=dspec.num_trees if dspec.classifier == "rf" else 1, max_depth=dspec.max_depth,
+                          max_bins=dspec.max_bins, min_instances=dspec.min_instances_per_node, seed=dspec.seed)
+
+
+def _decide_by_trees(tagged: DataFrame, dspec: DecideSpec) -> DataFrame:
+    """Fit the trees of every company together and score its rows; cuts are by order, so scaling changes nothing."""
+    folder = scratch(tagged.sparkSession, "decide-rows")
+    tagged.write.parquet(folder)
+    rows = tagged.sparkSession.read.schema(tagged.schema).parquet(folder)
+    values, spec = F.array(*[F.col(c).cast("double") for c in DECISION_FEATURES]), tree_spec(dspec)
+    model = trees.fit(rows.where("_complete AND NOT _held_out"), "company", values, "label", "id", spec)
+    wanted = rows if dspec.score_all else rows.where("_held_out")
+    scored = trees.score(wanted, model, "company", values, spec)
+    return scored.withColumn("features", vector_to_array("features")).select(*OUTPUT_COLUMNS)
+
+
 def unscored(rows: DataFrame) -> DataFrame:
     """Rows in the shape of a scored frame, without a prediction."""
     return (scored_arrays(rows).withColumn("rawPrediction", F.lit(None).cast("array<double>"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tickwise.operators import cluster, decide, forecast, metrics, regress, select, windows
+from tickwise.operators import cluster, decide, forecast, metrics, regress, select, trees, windows
 from tickwise.plans import views as V
 from tickwise.plans.catalog import register
 from tickwise.plans.queries import AS_OF, company_names, once, rounded
@@ -344,6 +344,59 @@ def m18_decided_rows_decision_tree(t):
     return _decided_labels(t, "dt")
 
 
+def _bar_rows(t):
+    """Bars of every company with the label rule on the next close, numbered per company."""
+    lab = windows.label_series(V.prices25(t).select("company", "date", "open", "high", "low", "close", "volume"), "close", order="date")
+    return lab.withColumn("held_out", decide.held_out(0.2))
+
+
+_BAR_FEATURES = ("open", "high", "low", "close", "volume")
+
+_BAR_SQL = """
+WITH lab AS (SELECT company, date, open, high, low, close, volume, row_number() OVER w AS id,
+         CASE WHEN close < lead(close) OVER w THEN 1 ELSE 2 END AS label, lead(close) OVER w AS following
+  FROM prices25 WINDOW w AS (PARTITION BY company ORDER BY date)),
+rows_ AS (SELECT *, id % 5 = 0 AS held_out FROM lab WHERE following IS NOT NULL),
+x AS (SELECT company, date, label, held_out, unnest([0, 1, 2, 3, 4]) AS feature, unnest([open, high, low, close, volume]) AS v FROM rows_),
+cut AS (SELECT DISTINCT company, feature, unnest(ts) AS t FROM (
+        SELECT company, feature, quantile_disc(v, [0.125, 0.25, 0.375, 0.5, 0.625, 0.75, 0.875]) AS ts FROM x WHERE NOT held_out GROUP BY company, feature)),
+side AS (SELECT c.company, c.feature, c.t, count(*) FILTER (WHERE v <= t AND label = 1)::DOUBLE AS l1, count(*) FILTER (WHERE v <= t AND label = 2)::DOUBLE AS l2,
+         count(*) FILTER (WHERE v > t AND label = 1)::DOUBLE AS r1, count(*) FILTER (WHERE v > t AND label = 2)::DOUBLE AS r2
+  FROM cut c JOIN x ON x.company = c.company AND x.feature = c.feature AND NOT held_out GROUP BY ALL),
+worth AS (SELECT *, (l1 * l1 + l2 * l2) / (l1 + l2) + (r1 * r1 + r2 * r2) / (r1 + r2) AS s,
+         ((l1 + r1) * (l1 + r1) + (l2 + r2) * (l2 + r2)) / (l1 + l2 + r1 + r2) + 1e-9::DOUBLE * (l1 + l2 + r1 + r2) AS floor_
+  FROM side WHERE l1 + l2 > 0 AND r1 + r2 > 0),
+best AS (SELECT * FROM worth WHERE s > floor_ QUALIFY row_number() OVER (PARTITION BY company ORDER BY s DESC, feature, t) = 1),
+root AS (SELECT company, count(*) FILTER (WHERE label = 1)::DOUBLE AS c1, count(*) FILTER (WHERE label = 2)::DOUBLE AS c2 FROM rows_ WHERE NOT held_out GROUP BY company),
+seen AS (SELECT r.company, r.date, r.label,
+    CASE WHEN b.t IS NULL THEN c1 WHEN x.v <= b.t THEN l1 ELSE r1 END AS n1, CASE WHEN b.t IS NULL THEN c2 WHEN x.v <= b.t THEN l2 ELSE r2 END AS n2
+  FROM rows_ r JOIN root o ON o.company = r.company LEFT JOIN best b ON b.company = r.company
+    LEFT JOIN x ON x.company = r.company AND x.date = r.date AND x.feature = b.feature WHERE r.held_out)
+"""
+
+
+def _bars_by_trees(t, spec):
+    rows, values = once(_bar_rows(t)), F.array(*[F.col(c).cast("double") for c in _BAR_FEATURES])
+    model = trees.fit(rows.where("NOT held_out"), "company", values, "label", "id", spec)
+    return trees.score(rows.where("held_out"), model, "company", values, spec)
+
+
+@register("m18_tree_predictions_depth_1", views=("prices25",), sql=_BAR_SQL + """
+SELECT company, date, label, n1, n2, round(n1 / (n1 + n2), 4) AS p_buy, CAST(CASE WHEN n1 >= n2 THEN 1 ELSE 2 END AS DOUBLE) AS prediction FROM seen
+""")
+def m18_tree_predictions_depth_1(t):
+    """The trees of all companies in one plan: class counts, share and prediction of every held-out bar."""
+    out = _bars_by_trees(t, trees.TreeSpec(max_depth=1, max_bins=8))
+    return rounded(out.select("company", "date", "label", F.col("rawPrediction")[1].alias("n1"), F.col("rawPrediction")[2].alias("n2"),
+                              F.col("probability")[1].alias("p_buy"), "prediction"))
+
+
+@register("m17_m18_bar_forest")
+def m17_m18_bar_forest(t):
+    out = _bars_by_trees(t, trees.TreeSpec(num_trees=20, max_depth=5, max_bins=16))
+    return rounded(out.select("company", "date", "label", "prediction", F.col("probability")[1].alias("p_buy")))
+
+
 @register("m20_decision_quality")
 def m20_decision_quality(t):
     scored = _decide(t, "rf").select("label", F.col("prediction").cast("int").alias("prediction"))
