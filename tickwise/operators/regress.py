@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickwise.session import cut_lineage
 from tickwise.sources.files import assemble, scratch
 
 ALGOS = ("lr", "gbr", "ir", "rf")
@@ -252,11 +253,24 @@ def experiment(prices: DataFrame, companies: Sequence[str], algos: Sequence[str]
                seed0: int = 1000, on_result: Optional[Callable[[FitResult], None]] = None) -> DataFrame:
     """Repeat M14 ``runs`` times per company and algorithm (distinct seeds).
 
-    Each (company, algo, run) is an independent distributed job over its
+    ``lr`` is one plan for all companies and runs (``study``).  Of the others
+    each (company, algo, run) is an independent distributed job over its
     company's folder; a bounded thread pool keeps a few in flight.  Output: (company, algo, run, rmse).
     """
     spark = prices.sparkSession
-    tasks = [(c, a, r) for c in companies for a in algos for r in range(runs)]
+    linear = None
+    if "lr" in algos:
+        from tickwise.operators import study
+
+        spec = study.StudySpec(runs=runs, seed0=seed0, axes=study.axes_of(preset))
+        won = cut_lineage(study.elastic_net_study(prices.where(F.col("company").isin(list(companies))), "company", features, label, spec))
+        linear = won.select("company", F.lit("lr").alias("algo"), "run", "rmse")
+        if on_result:
+            for r in won.toLocalIterator():
+                on_result(FitResult(r["company"], "lr", r["run"], r["rmse"], r["params"]))
+    tasks = [(c, a, r) for c in companies for a in algos for r in range(runs) if a != "lr"]
+    if not tasks and linear is not None:
+        return linear
     rows = per_company(prices, list(dict.fromkeys([label, *features])))
 
     def one(task):
@@ -271,4 +285,5 @@ def experiment(prices: DataFrame, companies: Sequence[str], algos: Sequence[str]
         results = list(pool.map(one, tasks))
     schema = T.StructType([T.StructField("company", T.StringType()), T.StructField("algo", T.StringType()),
                            T.StructField("run", T.IntegerType()), T.StructField("rmse", T.DoubleType())])
-    return spark.createDataFrame([(r.company, r.algo, r.run, r.rmse) for r in results], schema)
+    others = spark.createDataFrame([(r.company, r.algo, r.run, r.rmse) for r in results], schema)
+    return others if linear is None else linear.unionByName(others)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tickwise.operators import cluster, decide, forecast, metrics, regress, select, trees, windows
+from tickwise.operators import cluster, decide, forecast, metrics, regress, select, study, trees, windows
 from tickwise.plans import views as V
 from tickwise.plans.catalog import register
 from tickwise.plans.queries import AS_OF, company_names, once, rounded
@@ -227,6 +227,53 @@ def m15_repeated_experiment(t):
                                       preset="small", threads=4))
 
 
+@register("m8_m9_m11_m15_elastic_net_study")
+def m8_m9_m11_m15_elastic_net_study(t):
+    """The study's linear part at its size: 25 runs, 120 grid points, 3 folds, every company, one plan."""
+    won = study.elastic_net_study(V.prices25(t), "company", FEATURES, "close")
+    return rounded(won.select("company", "run", "rmse", "cv_rmse", "n_train", "n_test"))
+
+
+_RIDGE = study.StudySpec(runs=3, axes={"maxIter": [300], "regParam": [0.1, 0.5, 0.9], "elasticNetParam": [0.0]})
+
+_RIDGE_SQL = """
+WITH r AS (SELECT company, open - avg(open) OVER c AS u, volume - avg(volume) OVER c AS v, close - avg(close) OVER c AS y,
+           avg(open) OVER c AS mu, avg(volume) OVER c AS mv, avg(close) OVER c AS my, row_number() OVER (PARTITION BY company ORDER BY date) AS id
+           FROM prices25 WINDOW c AS (PARTITION BY company)),
+d AS (SELECT *, run, (id * 7 + run * 3 + id // 11) % 4 - 1 AS part FROM r, (SELECT unnest(range(3)) AS run)),
+g AS (SELECT company, run, part, any_value(mu) AS mu, any_value(mv) AS mv, any_value(my) AS my, count(*)::DOUBLE AS n, sum(u) AS u, sum(v) AS v, sum(y) AS y,
+        sum(u * u) AS uu, sum(v * v) AS vv, sum(y * y) AS yy, sum(u * v) AS uv, sum(u * y) AS uy, sum(v * y) AS vy FROM d GROUP BY company, run, part),
+sides AS (SELECT f.company, f.run, f.part AS fold, sum(o.n) AS n, sum(o.u) AS u, sum(o.v) AS v, sum(o.y) AS y, sum(o.uu) AS uu, sum(o.vv) AS vv, sum(o.yy) AS yy,
+        sum(o.uv) AS uv, sum(o.uy) AS uy, sum(o.vy) AS vy
+  FROM g f JOIN g o ON o.company = f.company AND o.run = f.run AND o.part >= 0 AND (f.part = -1 OR o.part <> f.part) GROUP BY f.company, f.run, f.part),
+m AS (SELECT *, u / n AS au, v / n AS av, y / n AS ay, uu / n - (u / n) * (u / n) AS cuu, vv / n - (v / n) * (v / n) AS cvv, yy / n - (y / n) * (y / n) AS cyy,
+        uv / n - (u / n) * (v / n) AS cuv, uy / n - (u / n) * (y / n) AS cuy, vy / n - (v / n) * (y / n) AS cvy FROM sides),
+s AS (SELECT *, sqrt(cuu) AS su, sqrt(cvv) AS sv, sqrt(cyy) AS sy FROM m),
+p AS (SELECT *, 1 + reg / sy AS d, cuv / (su * sv) AS e, cuy / (su * sy) AS p1, cvy / (sv * sy) AS p2 FROM s, (SELECT unnest([0.1, 0.5, 0.9])::DOUBLE AS reg)),
+w AS (SELECT company, run, fold, reg, (p1 * d - p2 * e) / (d * d - e * e) * sy / su AS b1, (p2 * d - p1 * e) / (d * d - e * e) * sy / sv AS b2, au, av, ay FROM p),
+a AS (SELECT *, ay - b1 * au - b2 * av AS b0 FROM w),
+e AS (SELECT a.*, g.mu, g.mv, g.my, sqrt((g.yy + b0 * b0 * g.n + b1 * b1 * g.uu + b2 * b2 * g.vv - 2 * b0 * g.y - 2 * b1 * g.uy - 2 * b2 * g.vy
+        + 2 * b0 * b1 * g.u + 2 * b0 * b2 * g.v + 2 * b1 * b2 * g.uv) / g.n) AS rmse
+  FROM a JOIN g ON g.company = a.company AND g.run = a.run AND g.part = a.fold),
+cv AS (SELECT company, run, reg, avg(rmse) AS cv_rmse FROM e WHERE fold >= 0 GROUP BY company, run, reg),
+won AS (SELECT * FROM cv QUALIFY row_number() OVER (PARTITION BY company, run ORDER BY cv_rmse, reg) = 1)
+SELECT e.company, CAST(e.run AS INTEGER) AS run, CAST(e.reg AS VARCHAR) AS reg_param, round(cv_rmse, 4) AS cv_rmse, round(rmse, 4) AS rmse, round(b1, 4) AS of_open,
+  round(b2, 4) AS of_volume, round(b0 + my - b1 * mu - b2 * mv, 4) AS intercept
+FROM e JOIN won ON won.company = e.company AND won.run = e.run AND won.reg = e.reg WHERE fold = -1
+"""
+
+
+@register("m9_m11_m14_ridge_study", views=("prices25",), sql=_RIDGE_SQL)
+def m9_m11_m14_ridge_study(t):
+    """Cross-validated ridge of every company: the winner's parameter, errors and coefficients."""
+    rows = V.prices25(t).select("company", "date", "open", "volume", "close").withColumn(
+        "id", F.row_number().over(windows.series_window(order="date")).cast("long"))
+    part = lambda run: (F.pmod(F.col("id") * 7 + run * 3 + F.floor(F.col("id") / 11), F.lit(4)) - 1).cast("int")
+    won = study.elastic_net_study(rows, "company", ["open", "volume"], "close", _RIDGE, part)
+    return rounded(won.select("company", "run", F.col("params")["regParam"].alias("reg_param"), "cv_rmse", "rmse",
+                              F.col("coefficients")[0].alias("of_open"), F.col("coefficients")[1].alias("of_volume"), "intercept"))
+
+
 # ---------------------------------------------------------------------------
 # Forecast and decisions
 
