@@ -57,6 +57,7 @@ def impute_mean(df: DataFrame, columns: Optional[Sequence[str]] = None,
     Per group: means per group joined back on the group key (one row per group).
     ``observed`` names the rows that hold the values where ``df`` only adds empty
     rows to them (a calendar): means ignore NULLs, so they are the same.
+    NaN is missing, as in the other cleaning steps.
     """
     cols = list(columns or numeric_columns(df, exclude=by or ()))
     if not by:
@@ -66,10 +67,11 @@ def impute_mean(df: DataFrame, columns: Optional[Sequence[str]] = None,
         imp = Imputer(strategy="mean", inputCols=cols, outputCols=[f"_{c}_imp" for c in cols])
         out = imp.fit(cast).transform(cast)
         return out.select(*[F.col(f"_{c}_imp").alias(c) if c in cols else F.col(c) for c in df.columns])
-    means = (df if observed is None else observed).groupBy(*by).agg(*[F.avg(c).alias(f"_{c}_mean") for c in cols])
+    known = lambda c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+    means = (df if observed is None else observed).groupBy(*by).agg(*[F.avg(known(c)).alias(f"_{c}_mean") for c in cols])
     joined = df.join(means, list(by), "left")
     return joined.select(*[
-        F.coalesce(F.col(c).cast("double"), F.col(f"_{c}_mean")).alias(c) if c in cols else F.col(c)
+        F.coalesce(known(c), F.col(f"_{c}_mean")).alias(c) if c in cols else F.col(c)
         for c in df.columns
     ])
 

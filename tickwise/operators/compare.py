@@ -76,8 +76,9 @@ def rank_sums(samples: DataFrame, value: str = "rmse", by: str = "company", algo
 
     Each pair's pooled sample is ranked with mid-ranks for ties; W is the rank
     sum of ``algo_a``; z = (W - n_a (n + 1) / 2) / sqrt(n_a n_b (n + 1) / 12)
-    (no tie correction, as the classic large-sample form).
+    (no tie correction, as the classic large-sample form).  NULL and NaN are no samples.
     """
+    samples = samples.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
     # each sample joins its company's few algorithm names once and spreads to the pairs it belongs to
     names = samples.groupBy(by).agg(F.collect_set(algo).alias("_algos"))
     others = F.filter("_algos", lambda x: x != F.col(algo))

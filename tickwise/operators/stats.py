@@ -8,6 +8,7 @@ calendar, not by data volume).
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 from typing import Optional, Sequence
 
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickwise.schema import PRICE_COLUMNS
+from tickwise.session import cut_lineage
 
 
 def long_form(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ("company",),
@@ -132,27 +134,68 @@ def correlation(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ("com
     single ``corr`` runs grouped by (group, pair).  The partial aggregate sits
     right after the expansion in the same stage, so only one small buffer per
     (group, pair) and task reaches the shuffle.  For Spearman the values are
-    first replaced by average ranks within the group.
+    first replaced by average ranks within the group; where a value is missing,
+    ranks are taken pair by pair over the rows that have both.  A pair with a
+    constant column, its diagonal included, has no correlation (NULL).
     """
     cols = list(columns)
     src = df.select(*by, *cols)
     if method == "spearman":
-        src = average_ranks(src, cols, by, rank_buckets)
+        src = src.select(*by, *[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in cols])
+        given, src = src, average_ranks(src, cols, by, rank_buckets)
     elif method != "pearson":
         raise ValueError(method)
     pairs = list(combinations(cols, 2))
     # Built as SQL expression text: one JVM call instead of hundreds of tiny ones.
     cells = ", ".join(f"named_struct('x', CAST(`{a}` AS DOUBLE), 'y', CAST(`{b}` AS DOUBLE))" for a, b in pairs)
     long = src.select(*by, F.expr(f"posexplode(array({cells}))").alias("p", "xy"))
-    r = long.groupBy(*by, "p").agg(F.corr("xy.x", "xy.y").alias("r"))
+    x, y = F.col("xy.x"), F.col("xy.y")
+    r = long.groupBy(*by, "p").agg(_pearson(x, y).alias("r"), *_varies(), *([F.count_if(x.isNull() != y.isNull()).alias("alone")] if method == "spearman" else []))
+    if method == "spearman":
+        r = cut_lineage(r)  # a row per group and pair
+        if r.where("alone > 0").limit(1).count():
+            return _pairwise_spearman(given, cols, by, rank_buckets)
+    return _matrix(r, cols, by).withColumn("method", F.lit(method))
+
+
+def _pearson(x: Column, y: Column) -> Column:
+    """Pearson's r over the rows that have both, NULL where one is constant (``corr`` divides by zero there in ANSI mode)."""
+    both = F.var_pop(F.when(y.isNotNull(), x)) * F.var_pop(F.when(x.isNotNull(), y))
+    return F.try_divide(F.covar_pop(x, y), F.sqrt(both))
+
+
+def _varies() -> list[Column]:
+    """Whether the columns of a pair have two different values."""
+    return [(F.min(f"xy.{v}") < F.max(f"xy.{v}")).alias(f"varies_{v}") for v in "xy"]
+
+
+def _matrix(r: DataFrame, cols: list, by: Sequence[str]) -> DataFrame:
+    """(by..., feature_a, feature_b, r) of all ordered pairs from one row per (by, pair number p)."""
+    pairs = list(combinations(cols, 2))
     names_a = ", ".join(f"'{a}'" for a, _ in pairs)
     names_b = ", ".join(f"'{b}'" for _, b in pairs)
-    diag = ", ".join(f"named_struct('feature_a', '{c}', 'feature_b', '{c}', 'r', CAST(1.0 AS DOUBLE))" for c in cols)
     na, nb = f"element_at(array({names_a}), p + 1)", f"element_at(array({names_b}), p + 1)"
-    both = (f"array(named_struct('feature_a', {na}, 'feature_b', {nb}, 'r', r), "
-            f"named_struct('feature_a', {nb}, 'feature_b', {na}, 'r', r))")
-    out = F.expr(f"inline(CASE WHEN p = 0 THEN concat({both}, array({diag})) ELSE {both} END)")
-    return r.select(*by, out).withColumn("method", F.lit(method))
+    cell = lambda a, b, v: f"named_struct('feature_a', {a}, 'feature_b', {b}, 'r', {v})"
+    one = lambda v: f"CASE WHEN varies_{v} THEN CAST(1.0 AS DOUBLE) END"
+    both = f"{cell(na, nb, 'r')}, {cell(nb, na, 'r')}"
+    # the pairs of the first column give the diagonal: its partners', and with the first pair its own
+    out = F.expr(f"inline(CASE WHEN p = 0 THEN array({both}, {cell(nb, nb, one('y'))}, {cell(na, na, one('x'))}) "
+                 f"WHEN p < {len(cols) - 1} THEN array({both}, {cell(nb, nb, one('y'))}) ELSE array({both}) END)")
+    return r.select(*by, out)
+
+
+def _pairwise_spearman(src: DataFrame, cols: list, by: Sequence[str], buckets: int | None) -> DataFrame:
+    """Spearman on the rows that have both values of a pair (ranks per pair)."""
+    cells = F.array(*[F.struct(F.col(a).alias("x"), F.col(b).alias("y")) for a, b in combinations(cols, 2)])
+    long = src.select(*by, F.posexplode(cells).alias("p", "xy"))
+    varies = long.groupBy(*by, "p").agg(*_varies())
+    full = long.where("xy.x IS NOT NULL AND xy.y IS NOT NULL").select(*by, "p", "xy.x", "xy.y")
+    ranks = average_ranks(full, ["x", "y"], [*by, "p"], buckets)
+    r = ranks.groupBy(*by, "p").agg(_pearson(F.col("x"), F.col("y")).alias("r"))
+    keys = [*by, "p"]
+    named = r.select(*[F.col(k).alias(f"_{k}") for k in keys], "r")
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    return _matrix(varies.join(named, same, "left").drop(*[f"_{k}" for k in keys]), cols, by).withColumn("method", F.lit("spearman"))
 
 
 def vector_correlation(df: DataFrame, features: Sequence[str], method: str = "pearson") -> DataFrame:

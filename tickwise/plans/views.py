@@ -95,6 +95,7 @@ def ticks(t: Tables) -> DataFrame:
         F.col("value").alias("price"),
         "user_id",
         "props",
+        "event_id",
     )
 
 
@@ -213,7 +214,7 @@ VIEW_SQL = {
   FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
   LEFT JOIN (SELECT c_nationkey, max(c_acctbal) AS price FROM customer GROUP BY 1) c
     ON n.n_nationkey = c.c_nationkey""",
-    "ticks": "SELECT event_type AS symbol, ts, value AS price, user_id, props FROM events",
+    "ticks": "SELECT event_type AS symbol, ts, value AS price, user_id, props, event_id FROM events",
     "ml": """
   SELECT l.l_orderkey, l.l_linenumber, p.p_type, l.l_extendedprice AS label,
          l.l_quantity AS quantity, l.l_discount AS discount, l.l_tax AS tax,

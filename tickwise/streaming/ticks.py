@@ -77,9 +77,10 @@ def subscribe(ticks: DataFrame, symbol: str) -> DataFrame:
 
 
 def latest_quote(ticks: DataFrame) -> DataFrame:
-    """K2: last price per symbol (by event time) and tick count."""
+    """K2: last price per symbol (by event time, then event) and tick count."""
+    order = F.struct("ts", "event_id") if "event_id" in ticks.columns else F.struct("ts", "price")
     return ticks.groupBy("symbol").agg(
-        F.max_by("price", "ts").alias("price"),
+        F.max_by("price", order).alias("price"),
         F.max("ts").alias("ts"),
         F.count(F.lit(1)).alias("ticks"),
     )
