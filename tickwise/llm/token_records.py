@@ -54,15 +54,19 @@ HEAD = struct.Struct("<QI")
 CHECK = struct.Struct("<I")
 PAYLOAD = struct.Struct("<qBB")
 INDEX = np.dtype([("offset", "<u8"), ("n_ids", "<u8")])
-#: How a byte-level vocabulary writes a space.
-SPACE_SIGN = "\u0120"
+#: How a byte-level vocabulary writes a byte: printable ones as themselves, the others by the next code point from 256 on.
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+SIGNS = {b: chr(b) for b in _PRINTED} | {b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)) - set(_PRINTED)))}
+#: Letters below are letters in every edition of the character tables.
+LATIN_END = "\u0250"
 
 MANIFEST = "shard long, records string, index string, n_records long, n_ids long"
-#: Pieces that a worker remembers at most; past it the memory starts anew.
+#: Pieces, and ids of them, that a worker remembers at most; past it the memory starts anew.
 REMEMBER = 1_000_000
+REMEMBER_IDS = 1 << 25
 #: Bytes read from a shard, and characters encoded, at a time.
 READ_BYTES = 8 << 20
-CHUNK_CHARS = 8 << 20
+CHUNK_CHARS = 16 << 20
 
 
 def masked(data: bytes) -> int:
@@ -76,7 +80,7 @@ class Encoder:
     #: Two white spaces in a row or the marker itself: such a text is cut by CUT.
     UNEVEN = r"[\t-\r\x1c-\x20\x{85}\p{Z}][\t-\r\x1c-\x20\x{85}\p{Z}]|\x01"
     #: One stop between a letter and a white space is a pre-token of its own.
-    STOP = r"([A-Za-z])([.,]) "
+    STOP = r"(\pL)([.,]) "
     CUT = re.compile(r"(?<=\S)(?=[ \n])")
 
     def __init__(self, spec: str) -> None:
@@ -99,13 +103,14 @@ class Encoder:
         """Ids of pieces; a piece of letters is a single pre-token, so the vocabulary's model takes it as it is."""
         if not self.cuts:
             return [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        split, found = self.tokenizer.model.tokenize, []
-        rest = []
+        split, found, rest = self.tokenizer.model.tokenize, [], []
         for i, p in enumerate(pieces):
-            if p.isascii() and (p.isalpha() or p[1:].isalpha() and p[0] == " "):
-                found.append([t.id for t in split(p.replace(" ", SPACE_SIGN))])
+            letters = p[1:] if p[:1] == " " else p
+            if letters.isalpha() and (p.isascii() or max(letters) < LATIN_END):
+                signs = p.replace(" ", SIGNS[32]) if p.isascii() else p.encode().decode("latin-1").translate(SIGNS)
+                found.append([t.id for t in split(signs)])
             else:
-                found.append([])
+                found.append(None)
                 rest.append(i)
         for i, e in zip(rest, self.tokenizer.encode_batch_fast([pieces[i] for i in rest], add_special_tokens=False)):
             found[i] = e.ids
@@ -114,7 +119,7 @@ class Encoder:
     def slots(self, pieces: list[str]) -> np.ndarray:
         """The number of each piece in the memory; unknown ones are encoded and added."""
         known = self.known
-        new = [p for p in dict.fromkeys(pieces) if p not in known]
+        new = list(dict.fromkeys(itertools.filterfalse(known.__contains__, pieces)))
         for lo in range(0, len(new), 20_000):
             part = new[lo:lo + 20_000]
             found = self._encoded(part)
@@ -159,20 +164,23 @@ class Encoder:
             order = np.concatenate([np.flatnonzero(keep), uneven])
             where = np.empty(len(texts), np.int64)
             where[order] = np.cumsum(counts[order]) - counts[order]
-            slot = slot[np.repeat(where, counts) + _within(counts)]
+            slot = slot[_runs(where, counts)]
         size = self.size[slot]
-        ids = self.ids[np.repeat(self.start[slot], size) + _within(size)]
+        ids = self.ids[_runs(self.start[slot], size)]
         total = np.concatenate([[0], np.cumsum(size)])
         ends = np.cumsum(counts)
-        if len(self.known) > REMEMBER:
+        if len(self.known) > REMEMBER or self.used > REMEMBER_IDS:
             self.forget()
         return ids, total[ends] - total[ends - counts]
 
 
-def _within(sizes: np.ndarray) -> np.ndarray:
-    """0, 1, ... size - 1 for each size in a row."""
+def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each run in a row."""
     ends = np.cumsum(sizes)
-    return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - sizes, sizes)
+    small = not len(ends) or max(ends[-1], starts.max()) < 1 << 31
+    at = np.repeat((starts - (ends - sizes)).astype(np.int32 if small else np.int64), sizes)
+    at += np.arange(len(at), dtype=at.dtype)
+    return at
 
 
 _ENCODERS: dict[int, Encoder] = {}
