@@ -66,7 +66,7 @@ REMEMBER = 1_000_000
 REMEMBER_IDS = 1 << 25
 #: Bytes read from a shard, and characters encoded, at a time.
 READ_BYTES = 8 << 20
-CHUNK_CHARS = 16 << 20
+CHUNK_CHARS = 9 << 20
 
 
 def masked(data: bytes) -> int:
@@ -159,10 +159,11 @@ class Encoder:
         pieces = values.dictionary_encode()
         spelled = self.slots([" " + p[1:] if p.startswith("\x01") else p for p in pieces.dictionary.to_pylist()])
         slot = spelled[pieces.indices.to_numpy()]
+        del texts, marked, lists, values, pieces  # before the gather below
         if len(uneven):  # back to the order of the texts
             slot = np.concatenate([slot, self.slots([p for o in own for p in o])])
             order = np.concatenate([np.flatnonzero(keep), uneven])
-            where = np.empty(len(texts), np.int64)
+            where = np.empty(len(counts), np.int64)
             where[order] = np.cumsum(counts[order]) - counts[order]
             slot = slot[_runs(where, counts)]
         size = self.size[slot]
@@ -247,6 +248,8 @@ def write(docs: DataFrame, tokenizer: str, folder: str | None = None, end_id: in
                 rec.write(b"".join(out))
                 idx.write(index.tobytes())
                 n_ids, n_records = n_ids + int(index["n_ids"].sum()), n_records + len(sizes)
+                del ids, out
+                pa.default_memory_pool().release_unused()
         if n_records:
             yield pa.RecordBatch.from_pydict({"shard": [shard], "records": [f"{name}.rec"], "index": [f"{name}.idx"],
                                               "n_records": [n_records], "n_ids": [n_ids]})
