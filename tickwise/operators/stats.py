@@ -150,7 +150,7 @@ def correlation(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ("com
     cells = ", ".join(f"named_struct('x', CAST(`{a}` AS DOUBLE), 'y', CAST(`{b}` AS DOUBLE))" for a, b in pairs)
     long = src.select(*by, F.expr(f"posexplode(array({cells}))").alias("p", "xy"))
     x, y = F.col("xy.x"), F.col("xy.y")
-    r = long.groupBy(*by, "p").agg(_pearson(x, y).alias("r"), *_varies(), *([F.count_if(x.isNull() != y.isNull()).alias("alone")] if method == "spearman" else []))
+    r = long.groupBy(*by, "p").agg(_pearson(x, y, _ansi(df)).alias("r"), *_varies(), *([F.count_if(x.isNull() != y.isNull()).alias("alone")] if method == "spearman" else []))
     if method == "spearman":
         r = cut_lineage(r)  # a row per group and pair
         if r.where("alone > 0").limit(1).count():
@@ -158,12 +158,18 @@ def correlation(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ("com
     return _matrix(r, cols, by).withColumn("method", F.lit(method))
 
 
-def _pearson(x: Column, y: Column) -> Column:
-    """Pearson's r over the rows that have both, NULL where one is constant (``corr`` divides by zero there in ANSI mode)."""
+def _pearson(x: Column, y: Column, ansi: bool) -> Column:
+    """Pearson's r over the rows that have both, NULL where one is constant (in ANSI mode ``corr`` fails there)."""
+    if not ansi:
+        return F.corr(x, y)
     both = F.var_pop(F.when(y.isNotNull(), x)) * F.var_pop(F.when(x.isNotNull(), y))
     return F.try_divide(F.covar_pop(x, y), F.sqrt(both))
 
 
+def _ansi(df: DataFrame) -> bool:
+    return df.sparkSession.conf.get("spark.sql.ansi.enabled") == "true"
+
+
 def _varies() -> list[Column]:
     """Whether the columns of a pair have two different values."""
     return [(F.min(f"xy.{v}") < F.max(f"xy.{v}")).alias(f"varies_{v}") for v in "xy"]
@@ -191,7 +197,7 @@ def _pairwise_spearman(src: DataFrame, cols: list, by: Sequence[str], buckets: i
     varies = long.groupBy(*by, "p").agg(*_varies())
     full = long.where("xy.x IS NOT NULL AND xy.y IS NOT NULL").select(*by, "p", "xy.x", "xy.y")
     ranks = average_ranks(full, ["x", "y"], [*by, "p"], buckets)
-    r = ranks.groupBy(*by, "p").agg(_pearson(F.col("x"), F.col("y")).alias("r"))
+    r = ranks.groupBy(*by, "p").agg(_pearson(F.col("x"), F.col("y"), _ansi(src)).alias("r"))
     keys = [*by, "p"]
     named = r.select(*[F.col(k).alias(f"_{k}") for k in keys], "r")
     same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])

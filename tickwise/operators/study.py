@@ -95,7 +95,8 @@ class Problems:
         self.mean = s[:, 0, 1:] / n[:, None]
         cov = s[:, 1:, 1:] / n[:, None, None] - self.mean[:, :, None] * self.mean[:, None, :]
         sd = np.sqrt(np.maximum(np.einsum("tii->ti", cov), 0))
-        sd[sd <= 1e-12 * np.sqrt(np.abs(np.einsum("tii->ti", s[:, 1:, 1:])) / n[:, None])] = 0
+        # what rounding leaves of a constant column's variance is none
+        sd[sd <= 1e-7 * np.sqrt(np.abs(np.einsum("tii->ti", s[:, 1:, 1:])) / n[:, None])] = 0
         self.sd_x, self.sd_y = sd[:, :-1], sd[:, -1]
         per_x = np.divide(1, self.sd_x, out=np.zeros_like(self.sd_x), where=self.sd_x > 0)
         per_y = np.divide(1, self.sd_y, out=np.zeros_like(self.sd_y), where=self.sd_y > 0)

@@ -248,9 +248,11 @@ sides AS (SELECT f.company, f.run, f.part AS fold, sum(o.n) AS n, sum(o.u) AS u,
   FROM g f JOIN g o ON o.company = f.company AND o.run = f.run AND o.part >= 0 AND (f.part = -1 OR o.part <> f.part) GROUP BY f.company, f.run, f.part),
 m AS (SELECT *, u / n AS au, v / n AS av, y / n AS ay, uu / n - (u / n) * (u / n) AS cuu, vv / n - (v / n) * (v / n) AS cvv, yy / n - (y / n) * (y / n) AS cyy,
         uv / n - (u / n) * (v / n) AS cuv, uy / n - (u / n) * (y / n) AS cuy, vy / n - (v / n) * (y / n) AS cvy FROM sides),
-s AS (SELECT *, sqrt(cuu) AS su, sqrt(cvv) AS sv, sqrt(cyy) AS sy FROM m),
-p AS (SELECT *, 1 + reg / sy AS d, cuv / (su * sv) AS e, cuy / (su * sy) AS p1, cvy / (sv * sy) AS p2 FROM s, (SELECT unnest([0.1, 0.5, 0.9])::DOUBLE AS reg)),
-w AS (SELECT company, run, fold, reg, (p1 * d - p2 * e) / (d * d - e * e) * sy / su AS b1, (p2 * d - p1 * e) / (d * d - e * e) * sy / sv AS b2, au, av, ay FROM p),
+s AS (SELECT *, CASE WHEN cuu > 1e-14::DOUBLE * uu / n THEN sqrt(cuu) END AS su, CASE WHEN cvv > 1e-14::DOUBLE * vv / n THEN sqrt(cvv) END AS sv,
+        CASE WHEN cyy > 1e-14::DOUBLE * yy / n THEN sqrt(cyy) END AS sy FROM m),
+p AS (SELECT *, 1 + reg / sy AS d, coalesce(cuv / (su * sv), 0) AS e, coalesce(cuy / (su * sy), 0) AS p1, coalesce(cvy / (sv * sy), 0) AS p2 FROM s, (SELECT unnest([0.1, 0.5, 0.9])::DOUBLE AS reg)),
+w AS (SELECT company, run, fold, reg, coalesce((p1 * d - p2 * e) / (d * d - e * e) * sy / su, 0) AS b1,
+        coalesce((p2 * d - p1 * e) / (d * d - e * e) * sy / sv, 0) AS b2, au, av, ay FROM p),
 a AS (SELECT *, ay - b1 * au - b2 * av AS b0 FROM w),
 e AS (SELECT a.*, g.mu, g.mv, g.my, sqrt((g.yy + b0 * b0 * g.n + b1 * b1 * g.uu + b2 * b2 * g.vv - 2 * b0 * g.y - 2 * b1 * g.uy - 2 * b2 * g.vy
         + 2 * b0 * b1 * g.u + 2 * b0 * b2 * g.v + 2 * b1 * b2 * g.uv) / g.n) AS rmse
