@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from tickwise.operators.windows import future_frame
 from tickwise.schema import FORECAST_COMPONENTS
-from tickwise.session import cut_lineage
+from tickwise.session import cut_lineage, ship_package
 
 
 @dataclass(frozen=True)
@@ -244,6 +244,7 @@ def fit(history: DataFrame, spec: ForecastSpec = ForecastSpec()) -> DataFrame:
 
     Returns one row per company: d0, d1, yscale, beta array, sigma, n, delta_scale.
     """
+    ship_package(history.sparkSession)  # the steps in Python import this module
     clean = history.filter(F.col("y").isNotNull() & ~F.isnan("y") & F.col("ds").isNotNull())
     # one row per company, read three times below: materialise it once
     scales = cut_lineage(_scales(clean, spec))

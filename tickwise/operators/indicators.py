@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickwise.operators.slices import carried, inside, sliced, with_carry
+from tickwise.session import ship_package
 from tickwise.sources.files import scratch
 
 
@@ -131,6 +132,7 @@ def recursive_indicators(df: DataFrame, n_ema: int = 10, n_rsi: int = 14, n_adx:
 
     key_types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     schema = f"{by} {key_types[by]}, {order} {key_types[order]}, " + ", ".join(f"{n} double" for n in names)
+    ship_package(df.sparkSession)
     out = df.select(by, order, *inputs).groupBy(by).applyInPandas(scan, schema)
     # undefined values (first rows) as NULL, not NaN
     return out.select(by, order, *[F.nanvl(F.col(n), F.lit(None).cast("double")).alias(n) for n in names])
