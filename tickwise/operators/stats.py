@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickwise.schema import PRICE_COLUMNS
-from tickwise.session import cut_lineage
 
 
 def long_form(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ("company",),
@@ -141,8 +140,10 @@ def correlation(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ("com
     cols = list(columns)
     src = df.select(*by, *cols)
     if method == "spearman":
-        src = src.select(*by, *[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in cols])
-        given, src = src, average_ranks(src, cols, by, rank_buckets)
+        missing = [F.col(c).isNull() | F.isnan(F.col(c).cast("double")) for c in cols]
+        if src.where(reduce(Column.__or__, missing)).limit(1).count():
+            return _pairwise_spearman(src, cols, by, rank_buckets)
+        src = average_ranks(src, cols, by, rank_buckets)
     elif method != "pearson":
         raise ValueError(method)
     pairs = list(combinations(cols, 2))
@@ -150,11 +151,7 @@ def correlation(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ("com
     cells = ", ".join(f"named_struct('x', CAST(`{a}` AS DOUBLE), 'y', CAST(`{b}` AS DOUBLE))" for a, b in pairs)
     long = src.select(*by, F.expr(f"posexplode(array({cells}))").alias("p", "xy"))
     x, y = F.col("xy.x"), F.col("xy.y")
-    r = long.groupBy(*by, "p").agg(_pearson(x, y, _ansi(df)).alias("r"), *_varies(), *([F.count_if(x.isNull() != y.isNull()).alias("alone")] if method == "spearman" else []))
-    if method == "spearman":
-        r = cut_lineage(r)  # a row per group and pair
-        if r.where("alone > 0").limit(1).count():
-            return _pairwise_spearman(given, cols, by, rank_buckets)
+    r = long.groupBy(*by, "p").agg(_pearson(x, y, _ansi(df)).alias("r"), *_varies())
     return _matrix(r, cols, by).withColumn("method", F.lit(method))
 
 
@@ -192,7 +189,8 @@ def _matrix(r: DataFrame, cols: list, by: Sequence[str]) -> DataFrame:
 
 def _pairwise_spearman(src: DataFrame, cols: list, by: Sequence[str], buckets: int | None) -> DataFrame:
     """Spearman on the rows that have both values of a pair (ranks per pair)."""
-    cells = F.array(*[F.struct(F.col(a).alias("x"), F.col(b).alias("y")) for a, b in combinations(cols, 2)])
+    known = lambda c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+    cells = F.array(*[F.struct(known(a).alias("x"), known(b).alias("y")) for a, b in combinations(cols, 2)])
     long = src.select(*by, F.posexplode(cells).alias("p", "xy"))
     varies = long.groupBy(*by, "p").agg(*_varies())
     full = long.where("xy.x IS NOT NULL AND xy.y IS NOT NULL").select(*by, "p", "xy.x", "xy.y")
