@@ -15,6 +15,7 @@ from typing import Optional, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickwise.operators.ranks import quantiles
 from tickwise.schema import PRICE_COLUMNS
 
 
@@ -38,13 +39,18 @@ def quantile(v, q: float, exact: bool = True, accuracy: int = 10000):
 
 
 def describe(df: DataFrame, columns: Sequence[str] = PRICE_COLUMNS, by: Sequence[str] = ("company",),
-             exact: bool = True) -> DataFrame:
+             exact: bool = True, ranges: bool = False) -> DataFrame:
     """A1/A2: count, mean, sample std, min, quartiles, max per column.
 
     Unlike ``DataFrame.summary`` the quantiles are exact by default (linear
-    interpolation) and the output is typed and keeps the grouping.
+    interpolation) and the output is typed and keeps the grouping.  With
+    ``ranges`` they are exact for groups of any size (``ranks.quantiles``).
     """
     v = F.col("value")
+    if ranges:
+        lf, keys = long_form(df, columns, by), [*by, "metric"]
+        plain = lf.groupBy(*keys).agg(F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"))
+        return _with_quartiles(plain, lf, keys, ("q25", "median", "q75")).select(*keys, "count", "mean", "std", "min", "q25", "median", "q75", "max")
     return (
         long_form(df, columns, by)
         .groupBy(*by, "metric")
@@ -61,6 +67,13 @@ def describe(df: DataFrame, columns: Sequence[str] = PRICE_COLUMNS, by: Sequence
     )
 
 
+def _with_quartiles(groups: DataFrame, rows: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """``groups`` (one row per key) with the exact quartiles of ``rows.value``; NULL for a group without values."""
+    q = quantiles(rows, keys, "value", (0.25, 0.5, 0.75)).select(*[F.col(k).alias(f"_q{i}") for i, k in enumerate(keys)], *[F.col(f"q{i}").alias(n) for i, n in enumerate(names)])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_q{i}")) for i, k in enumerate(keys)])
+    return groups.join(q, same, "left").drop(*[f"_q{i}" for i in range(len(keys))])
+
+
 def histogram(df: DataFrame, column: str, bins: int = 10, by: Sequence[str] = ("company",)) -> DataFrame:
     """A4: equal-width histogram per group (bins over each group's own range).
 
@@ -86,20 +99,25 @@ def histogram(df: DataFrame, column: str, bins: int = 10, by: Sequence[str] = ("
 
 
 def box_stats(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ("company",), k: float = 1.5,
-              exact: bool = True) -> DataFrame:
+              exact: bool = True, ranges: bool = False) -> DataFrame:
     """A5: quartiles, IQR, whiskers and outlier count per (group, column).
 
+    With ``ranges`` the quartiles are exact for groups of any size.
+
     Quartiles come from one aggregate (one row per group x column, joined
     back - broadcast by size); the whisker/outlier aggregate carries them as
     grouping keys, so no further join is needed.
     """
     lf = long_form(df, columns, by)
     v = F.col("value")
-    q = lf.groupBy(*by, "metric").agg(
-        quantile(v, 0.25, exact).alias("q1"),
-        quantile(v, 0.5, exact).alias("median"),
-        quantile(v, 0.75, exact).alias("q3"),
-    )
+    if ranges:
+        q = quantiles(lf, [*by, "metric"], "value", (0.25, 0.5, 0.75)).toDF(*by, "metric", "q1", "median", "q3")
+    else:
+        q = lf.groupBy(*by, "metric").agg(
+            quantile(v, 0.25, exact).alias("q1"),
+            quantile(v, 0.5, exact).alias("median"),
+            quantile(v, 0.75, exact).alias("q3"),
+        )
     q = (q.withColumn("iqr", F.col("q3") - F.col("q1"))
           .withColumn("lo_fence", F.col("q1") - F.lit(k) * F.col("iqr"))
           .withColumn("hi_fence", F.col("q3") + F.lit(k) * F.col("iqr")))

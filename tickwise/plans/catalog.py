@@ -102,4 +102,4 @@ def bench_names() -> list[str]:
 
 def _load() -> None:
     # Importing the query modules fills the registry.
-    from tickwise.plans import queries, queries_analytics, queries_edges, queries_models, queries_sources, queries_streams  # noqa: F401,E501
+    from tickwise.plans import queries, queries_analytics, queries_edges, queries_indexes, queries_models, queries_sources, queries_streams  # noqa: F401,E501

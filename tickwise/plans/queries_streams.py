@@ -38,6 +38,19 @@ def k2_latest_quote(t):
     return rounded(S.read_result(t.spark, run))
 
 
+@register("k2_quote_table", views=("ticks",), sql="""
+SELECT symbol, round(last(price ORDER BY ts, event_id), 4) AS price, max(ts) AS ts, last(event_id ORDER BY ts, event_id) AS event_id, CAST(count(*) AS BIGINT) AS ticks
+FROM ticks GROUP BY symbol
+""")
+def k2_quote_table(t):
+    """The feed in seven deliveries; each writes the symbols that ticked, every third one all."""
+    feed = scratch(t.spark, "k2-feed")
+    t.events.repartition(7, "event_id").write.parquet(feed)
+    stream = S.stream_session(t.spark).readStream.schema(S.EVENTS_SCHEMA).option("maxFilesPerTrigger", 1).parquet(feed)
+    run = S.maintain_quotes(t.spark, S.ticks_from_events(stream), full_every=3)
+    return rounded(_ntz(S.quotes_at(t.spark, run.output, run.batch, full_every=3)).drop("batch"))
+
+
 @register("k3_streaming_bars_watermark", views=("ticks",), sql="""
 WITH b AS (
   SELECT symbol, time_bucket(INTERVAL 5 MINUTE, ts) AS start,

@@ -120,6 +120,7 @@ def enrich_stream(ticks: DataFrame, static: DataFrame, key: str = "symbol") -> D
 class StreamRun:
     output: str
     checkpoint: str
+    batch: int = 0  # the last one
 
 
 def run_append(spark: SparkSession, df: DataFrame, what: str, fmt: str = "parquet",
@@ -149,6 +150,57 @@ def run_complete(spark: SparkSession, df: DataFrame, what: str,
     return StreamRun(out, ck)
 
 
+QUOTES_SCHEMA = "symbol STRING, price DOUBLE, ts TIMESTAMP, event_id LONG, ticks LONG, batch LONG"
+#: Batches after which a version of the quote table holds every symbol, so that no reader opens more versions than this.
+FULL_EVERY = 32
+
+
+def merge_quotes(rows: DataFrame) -> DataFrame:
+    """One quote per symbol from partial quotes (symbol, price, ts, event_id, ticks): the last by time, then event."""
+    last = F.struct("ts", "event_id")
+    return rows.groupBy("symbol").agg(F.max_by("price", last).alias("price"), F.max("ts").alias("ts"),
+                                      F.max_by("event_id", last).alias("event_id"), F.sum("ticks").alias("ticks"))
+
+
+def quotes_at(spark: SparkSession, path: str, batch: int, full_every: int = FULL_EVERY) -> DataFrame:
+    """The quote table as it was after ``batch``: every symbol's row of its newest version."""
+    first = batch - batch % full_every
+    rows = spark.read.schema(QUOTES_SCHEMA).parquet(*[f"{path}/{n}" for n in range(first, batch + 1)])
+    newest = F.max_by(F.struct("price", "ts", "event_id", "ticks", "batch"), F.col("batch")).alias("q")
+    return rows.groupBy("symbol").agg(newest).select("symbol", "q.*")
+
+
+def upsert_quotes(ticks: DataFrame, batch: int, path: str, full_every: int = FULL_EVERY) -> None:
+    """K2 sink: version ``batch`` of the quote table: the symbols that ticked in it, with their counts so far.
+
+    A batch reads earlier versions only and replaces its own, so one that is
+    replayed after a lost driver writes the same rows again.  Ticks of a symbol
+    are combined map-side.  The table itself is the state: idle symbols take no
+    memory and are read only when a full version is due.
+    """
+    spark = ticks.sparkSession
+    now = merge_quotes(ticks.select("symbol", "price", "ts", "event_id", F.lit(1).cast("long").alias("ticks")))
+    if batch:
+        before = quotes_at(spark, path, batch - 1, full_every).drop("batch")
+        if batch % full_every:
+            changed = now.select(F.col("symbol").alias("_s"))
+            before = before.join(changed, F.col("symbol").eqNullSafe(F.col("_s")), "left_semi")
+        now = merge_quotes(now.unionByName(before))
+    now.withColumn("batch", F.lit(batch).cast("long")).write.mode("overwrite").parquet(f"{path}/{batch}")
+
+
+def maintain_quotes(spark: SparkSession, ticks: DataFrame, run: Optional[StreamRun] = None, full_every: int = FULL_EVERY) -> StreamRun:
+    """K2: keep a table of latest quotes; processes everything available, then stops.  ``run`` resumes an earlier run."""
+    run = run or StreamRun(scratch(spark, "quotes-out"), scratch(spark, "quotes-ckpt"))
+    q = (ticks.writeStream.foreachBatch(lambda rows, batch: upsert_quotes(rows, batch, run.output, full_every))
+         .option("checkpointLocation", run.checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    _raise(q)
+    if q.lastProgress is not None:
+        run.batch = q.lastProgress["batchId"]
+    return run
+
+
 def _raise(q) -> None:
     exc = q.exception()
     if exc is not None:
