@@ -14,7 +14,7 @@ an item of fewer words is one shingle of all its words.
 
 Defined results: null, blank texts and items without words match nothing;
 items with equal shingles are one class, reported under its smallest item_id
-with ``n_items``; rows that share a doc_id are searched one by one and the best
+with ``n_items`` (``item_members`` names the others); rows that share a doc_id are searched one by one and the best
 is reported; extra columns are not read.
 """
 
@@ -46,14 +46,28 @@ def _text(width: Column, run: Column) -> Column:
     return F.concat_ws(" ", run)
 
 
-def item_classes(benchmark: DataFrame) -> DataFrame:
-    """Items with equal shingle sets as one row: item_id (smallest), n_items, width, shingles, n."""
+def _items(benchmark: DataFrame) -> DataFrame:
+    """(item_id, s: width and sorted distinct shingles) of the items with words."""
     def own(ws: Column) -> Column:
         k = F.least(F.size(ws), F.lit(WIDTH))
         return F.when(F.size(ws) > 0, F.struct(k.alias("width"), F.array_sort(F.array_distinct(F.transform(
             F.sequence(F.lit(1), F.size(ws) - k + 1), lambda i: F.concat_ws(" ", F.slice(ws, i, k))))).alias("shingles")))
-    items = benchmark.select("item_id", let(words(F.lower("text")), own).alias("s")).where("s IS NOT NULL")
-    return (items.groupBy("s.width", "s.shingles").agg(F.min("item_id").alias("item_id"), F.count("*").alias("n_items"))
+    return benchmark.select("item_id", let(words(F.lower("text")), own).alias("s")).where("s IS NOT NULL")
+
+
+def item_members(benchmark: DataFrame) -> DataFrame:
+    """(item_id, class_id): the smallest item_id with the same shingles, under which an item is reported; one row per item row with words.
+
+    With it, ``matches`` and ``contaminated`` name every member of a class without a pair for each.
+    """
+    items = _items(benchmark)
+    classes = items.groupBy("s").agg(F.min("item_id").alias("class_id"))
+    return items.join(classes, "s").select("item_id", "class_id")
+
+
+def item_classes(benchmark: DataFrame) -> DataFrame:
+    """Items with equal shingle sets as one row: item_id (smallest), n_items, width, shingles, n."""
+    return (_items(benchmark).groupBy("s.width", "s.shingles").agg(F.min("item_id").alias("item_id"), F.count("*").alias("n_items"))
             .withColumn("n", F.size("shingles")))
 
 
