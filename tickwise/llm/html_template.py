@@ -1,8 +1,8 @@
 """Main text of web pages by equivalence classes of template tokens.
 
 1. Every page is cut into markup tokens, differentiated by the containers they
-   stand in (path, tag, class and id with digits masked), and text regions
-   (the text after a container token).
+   stand in (a hash of the path of tags, classes and ids with digits masked, so
+   that depth costs nothing), and text regions (the text after a container token).
 2. Over the pages of a host each token has an occurrence vector (its count in
    every page).  Tokens with the same vector form an equivalence class; the
    vector is compared by an order-free hash, combined map-side.  A class is
@@ -13,8 +13,9 @@
    a host's pages is template text, also inside article and main.
 4. A region is chrome when its
    path goes through navigation, header, footer, aside or form elements or a
-   container (not html or body) with a class, id or role that is such a name as
-   a whole; an article or main below ends the mark.
+   container (not html or body) with a class, id or role that is such a name, ends
+   in one (site-menu) or adds a word for a box to one (comments-area); an article
+   or main below ends the mark.
 5. On a page with text of its own in an article or main, that text is extracted
    block by block.  On any other page, whatever its host's other pages have, a
    slot is content unless most of its text is in links or it repeats from page
@@ -25,6 +26,9 @@ Templates are bounded: a token in half of a host's pages is one of at most
 twice as many as a page has.  A host with a third of all pages is combined
 map-side and its template is one small row.
 
+Pages that leave nothing to extract since their host repeats all of it (copies of
+one page) are read by themselves.
+
 Defined results: null and empty html give an empty text; a page without url
 belongs to the host ``''``; repeated rows give equal rows; broken markup never
 fails (an unclosed tag ends with the page); extra columns are not read.
@@ -59,6 +63,10 @@ CHROME_WORDS = frozenset((
     "modal navbar navigation nav newsletter notice notices pagination popup promo promoted promotion related recommended reply replies respond share sharing sidebar "
     "signup skip social sponsor sponsored subscribe subscription toolbar topbar widget widgets complementary contentinfo search").split())
 
+#: Words for a box in compound names, and words that say that a container has chrome beside its content.
+BOX_WORDS = frozenset("area bar block box container inner item items links list outer panel section thread wrap wrapper".split())
+LAYOUT_WORDS = frozenset("and has no with without".split())
+
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*+)(?:>|\Z)""", re.S)
 _ATTR = re.compile(r"""(?:^|[\s"'])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)"
@@ -73,6 +81,16 @@ REPEAT_PAGES = 5
 FIXED_SHARE = 0.9
 
 
+def is_chrome(name: str) -> bool:
+    """Whether a class, id or role names chrome: a chrome word, a compound that ends in one, or one followed by a word for a box."""
+    if name in CHROME_WORDS:
+        return True
+    parts = re.split(r"[-_]+", name.strip("-_"))
+    if len(parts) < 2 or not LAYOUT_WORDS.isdisjoint(parts):
+        return False
+    return parts[-1] in CHROME_WORDS or parts[-1] in BOX_WORDS and parts[-2] in CHROME_WORDS
+
+
 class Region:
     """Text between two container tokens: its key, whether its path is chrome or inside main content, its blocks."""
 
@@ -84,7 +102,8 @@ class Region:
 
 def parse(page: str) -> tuple[list[str], list[Region]]:
     """Container tokens in page order and text regions with their blocks."""
-    tokens, stack = [], []  # stack: (tag, signature, chrome, main)
+    tokens, stack = [], []  # stack: (tag, hash of the path, chrome, main)
+    standing: dict[str, int] = {}  # open containers by tag
     regions = [Region("^", False, False)]
     pending: list[str] = []
     in_link, at, low = False, 0, None
@@ -132,26 +151,29 @@ def parse(page: str) -> tuple[list[str], list[Region]]:
         if tag not in CONTAINERS:
             continue
         if closing:
-            if any(s[0] == tag for s in stack):
-                while stack[-1][0] != tag:
-                    stack.pop()
-                path = "/".join(s[1] for s in stack)
-                stack.pop()
+            if standing.get(tag):
+                while True:
+                    open_tag, path = stack.pop()[:2]
+                    standing[open_tag] -= 1
+                    if open_tag == tag:
+                        break
                 enter(f"{path}>")
         else:
             given = [(n.lower(), (a or b or c).lower()) for n, a, b, c in _ATTR.findall(attrs)] if "=" in attrs else []
             marks = " ".join(v for _, v in given)
-            named = not CHROME_WORDS.isdisjoint(marks.split())
+            named = any(is_chrome(m) for m in marks.split())
             sig = tag + ("." + ".".join(sorted(set(re.sub(r"\d+", "#", marks).split()))) if marks else "")
             above = stack[-1] if stack else ("", "", False, False)
             landmark = tag in MAIN_TAGS or any(n == "role" and "main" in v.split() for n, v in given)
             main = above[3] or landmark
             if landmark:  # ends a chrome mark from above, unless it is an article in an article (a comment) or named as chrome itself
-                chrome = above[2] and tag == "article" and (named or any(x[0] == "article" for x in stack))
+                chrome = above[2] and tag == "article" and (named or standing.get("article", 0) > 0)
             else:
                 chrome = above[2] or tag in CHROME_TAGS or named and tag not in ROOTS
-            stack.append((tag, sig, chrome, main))
-            enter("/".join(s[1] for s in stack))
+            path = xxhash.xxh64_hexdigest(f"{above[1]}/{sig}")
+            stack.append((tag, path, chrome, main))
+            standing[tag] = standing.get(tag, 0) + 1
+            enter(path)
     text(page[at:])
     flush()
     return tokens, regions
@@ -260,8 +282,9 @@ def main_text(page: str, slots: dict[str, bool], fixed: frozenset = frozenset())
     for r, blocks in own:
         if r.main if marked else slots.get(r.key, r.link_chars <= r.chars * LINK_SHARE):
             out += blocks
-    if not out:  # every page says the same: the landmarks are all there is to go by
-        out = [b for r in open_regions if r.main for b in r.blocks]
+    if not out:  # the host says the same on every page (copies of one page): the page is its own template
+        landmarks = any(r.main for r in open_regions)
+        out = [b for r in open_regions if (r.main if landmarks else r.link_chars <= r.chars * LINK_SHARE) for b in r.blocks]
     return "\n\n".join(out)
 
 
