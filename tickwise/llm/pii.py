@@ -110,8 +110,11 @@ def occurrences(docs: DataFrame) -> DataFrame:
             F.regexp_replace(F.regexp_replace(w, EDGE, ""), "[0-9]", "9"))), lambda w: w != "")
 
     def context(s: Column) -> Column:
-        before = words(F.substring(text, F.greatest(s["start"] - REACH, F.lit(0)) + 1, F.least(s["start"], F.lit(REACH))))
-        after = words(F.substring(text, s["end"] + 1, F.lit(REACH)))
+        # a character more tells whether the last word is cut; a cut word would differ from case to case and is no context
+        left = F.substring(text, F.greatest(s["start"] - REACH - 1, F.lit(0)) + 1, F.least(s["start"], F.lit(REACH + 1)))
+        right = F.substring(text, s["end"] + 1, F.lit(REACH + 1))
+        before = words(F.when(s["start"] > REACH, F.regexp_replace(left, r"^[^\x20\x09-\x0D]++", "")).otherwise(left))
+        after = words(F.when(F.length(right) > REACH, F.regexp_replace(right, r"[^\x20\x09-\x0D]++$", "")).otherwise(right))
         return F.struct(*[s[c].alias(c) for c in ("start", "end", "kind", "value")],
                         F.slice(F.reverse(before), 1, 2).alias("before"), F.slice(after, 1, 2).alias("after"))
 
