@@ -48,6 +48,8 @@ BUILD_BEAM = 48
 SEARCH_BEAM = 24
 AUDIT = 128
 RECALL = 0.99
+#: Share of a shard within the link threshold of a query at which its search compares with the whole shard.
+DENSE_SHARE = 1 / 8
 #: Rows of a label (about) that its shards are compared with to find audit queries, and the true links an audit needs.
 POOL = 1024
 TRUE_LINKS = 64
@@ -71,7 +73,10 @@ class Graph:
             self._insert(i)
 
     def _layer(self, q: np.ndarray, starts: list, beam: int, level: int, reach: float = 2.0) -> list:
-        """Best ``beam`` nodes (similarity, node) by best-first walk; also all met with similarity >= ``reach``."""
+        """Best ``beam`` nodes (similarity, node) by best-first walk; also all met with similarity >= ``reach``.
+
+        A walk that meets more than DENSE_SHARE of the nodes within ``reach`` ends by comparing with all nodes.
+        """
         self.tick += 1
         seen, tick, adj, x = self.seen, self.tick, self.adj[level], self.x
         sims = x[starts] @ q
@@ -83,7 +88,11 @@ class Graph:
         near = [(s, n) for s, n in best if s >= reach]
         while len(best) > beam:
             heapq.heappop(best)
+        dense = max(beam, int(len(x) * DENSE_SHARE))
         while frontier:
+            if len(near) > dense:
+                sims = x @ q
+                return [(float(sims[n]), int(n)) for n in np.flatnonzero(sims >= reach)]
             s, n = heapq.heappop(frontier)
             if -s < best[0][0] and len(best) >= beam and -s < reach:
                 break
@@ -248,6 +257,24 @@ def _audit(pdf: pd.DataFrame) -> pd.DataFrame:
                          "true_links": [links], "found_links": [found], "recall": [recall]})
 
 
+def roots(hits: np.ndarray, own: bool) -> np.ndarray:
+    """The smallest node of each node's component; columns are the rows again (``own``) or nodes numbered after them."""
+    na, nb = hits.shape
+    n = na if own else na + nb
+    root = np.full(n, -1, np.int64)
+    for start in range(n):
+        if root[start] >= 0:
+            continue
+        root[start], todo = start, [start]
+        while todo:  # every node's row is read once
+            i = todo.pop()
+            near = np.flatnonzero(hits[i]) + (0 if own else na) if i < na else np.flatnonzero(hits[:, i - na])
+            near = near[root[near] < 0]
+            root[near] = start
+            todo += near.tolist()
+    return root
+
+
 def _search(pdf: pd.DataFrame) -> pd.DataFrame:
     """Links between two shards (or within one): per node its weighted links and its root."""
     r = pdf.iloc[0]
@@ -255,42 +282,24 @@ def _search(pdf: pd.DataFrame) -> pd.DataFrame:
     a = Graph.load(r["graph"])
     b = a if own else Graph.load(r["graph2"])
     na, nb = len(a.x), len(b.x)
-    left = [set() for _ in range(na)]  # links of a's nodes in b, found from either side
+    hits = np.zeros((na, nb), bool)  # one byte a pair of nodes, whatever the number of links
     for i in range(na):
-        left[i].update(b.within(a.x[i], int(r["beam"] if own else r["beam2"]), LINK).tolist())
+        hits[i, b.within(a.x[i], int(r["beam"] if own else r["beam2"]), LINK)] = True
     if own:
-        for i in range(na):
-            left[i].discard(i)
-            for j in left[i]:
-                left[j].add(i)
+        np.fill_diagonal(hits, False)
+        hits |= hits.T
     else:
         for j in range(nb):
-            for i in a.within(b.x[j], int(r["beam"]), LINK).tolist():
-                left[i].add(j)
+            hits[a.within(b.x[j], int(r["beam"]), LINK), j] = True
     wa = np.array(r["weight"], np.int64)
     wb = wa if own else np.array(r["weight2"], np.int64)
-    links = np.zeros(na + (0 if own else nb), np.int64)
-    root = list(range(len(links)))
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    shift = 0 if own else na
-    for i, js in enumerate(left):
-        if js:
-            at = np.fromiter(js, np.int64, len(js))
-            links[i] += wb[at].sum()
-            if not own:
-                links[at + na] += wa[i]
-            for j in js:
-                x, y = find(i), find(j + shift)
-                root[max(x, y)] = min(x, y)
+    links = np.array([wb[row].sum() for row in hits], np.int64)
+    if not own:
+        links = np.concatenate([links, [wa[col].sum() for col in hits.T]]).astype(np.int64)
+    root = roots(hits, own)
     fa, fb = list(r["fa"]) + ([] if own else list(r["fa2"])), list(r["fb"]) + ([] if own else list(r["fb2"]))
-    hit = [i for i in range(len(links)) if links[i]]
-    tops = [find(i) for i in hit]
+    hit = np.flatnonzero(links).tolist()
+    tops = root[hit].tolist()
     return pd.DataFrame({"fa": [fa[i] for i in hit], "fb": [fb[i] for i in hit], "links": links[hit],
                          "ra": [fa[i] for i in tops], "rb": [fb[i] for i in tops]}).astype("int64")
 
@@ -334,15 +343,26 @@ def audit_report(embeddings: DataFrame) -> DataFrame:
                                               F.sum("found_links").alias("found_links")).withColumn("recall", F.try_divide("found_links", "true_links"))
 
 
+def shard_pairs(shards: DataFrame) -> DataFrame:
+    """(label, dim, shard, shard2) for every pair of shards of a label, shard <= shard2: numbers only, unfolded shard by shard."""
+    last = shards.groupBy("label", "dim").agg(F.max("shard").alias("_last"))
+    both = shards.join(last, ["label", "dim"]).withColumn("shard2", F.explode(F.sequence("shard", "_last")))
+    return both.select("label", "dim", "shard", "shard2")
+
+
 def near_duplicates(embeddings: DataFrame) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept."""
     rows, classes = vector_classes(embeddings)
     graphs, audits = shard_graphs(classes)
     graphs = graphs.join(small_side(audits.select("label", "dim", "shard", "beam"), 32), ["label", "dim", "shard"])
-    other = graphs.select("label", "dim", *[F.col(c).alias(f"{c}2") for c in ("shard", "beam", "fa", "fb", "weight", "graph")])
-    same_shard = graphs.select("*", *[F.col(c).alias(f"{c}2") for c in ("shard", "beam")],
-                               *[F.lit(None).cast("array<long>").alias(f"{c}2") for c in ("fa", "fb", "weight")], F.lit(None).cast("binary").alias("graph2"))
-    pairs = same_shard.unionByName(graphs.join(other, ["label", "dim"]).where("shard < shard2").select(same_shard.columns))
+    pairs = shard_pairs(graphs.select("label", "dim", "shard"))
+    left = graphs.select("label", "dim", "shard", "beam", "fa", "fb", "weight", "graph")
+    right = graphs.select("label", "dim", *[F.col(c).alias(f"{c}2") for c in ("shard", "beam", "fa", "fb", "weight", "graph")])
+    # graphs are fetched by their own number, so the pairs of a label spread over its shards; a shard with itself needs no second graph
+    own = pairs.where("shard = shard2").join(left, ["label", "dim", "shard"]).select(
+        "*", F.col("beam").alias("beam2"), *[F.lit(None).cast("array<long>").alias(f"{c}2") for c in ("fa", "fb", "weight")], F.lit(None).cast("binary").alias("graph2"))
+    two = pairs.where("shard < shard2").join(left, ["label", "dim", "shard"]).join(right, ["label", "dim", "shard2"])
+    pairs = own.unionByName(two.select(own.columns))
     found = stage(pairs.groupBy("label", "dim", "shard", "shard2").applyInPandas(_search, "fa long, fb long, links long, ra long, rb long"), "hnsw-links")
     edges = found.select(F.struct("fa", "fb").alias("a"), F.struct(F.col("ra").alias("fa"), F.col("rb").alias("fb")).alias("b"))
     cc = connected_components(edges).select(F.col("node.fa").alias("_a"), F.col("node.fb").alias("_b"), F.col("component").alias("root"))
