@@ -10,12 +10,16 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
+from functools import reduce
 from itertools import product
+from operator import add
 from typing import Callable, Optional, Sequence
 
 import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.ml.regression import GBTRegressor, IsotonicRegression, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, Window
@@ -146,11 +150,56 @@ def evaluator(metric: str = "rmse", label: str = "label") -> RegressionEvaluator
 
 def cross_validate(train: DataFrame, algo: str, preset: str = "full", seed: int = 42, folds: int = 3,
                    parallelism: int = 2, features: str = "features", label: str = "label"):
-    """M9: k-fold CV on RMSE over the preset grid (input should be cached by the caller)."""
-    est = estimator(algo, features=features, label=label, seed=seed)
-    cv = CrossValidator(estimator=est, estimatorParamMaps=param_grid(est, algo, preset),
-                        evaluator=evaluator("rmse", label), numFolds=folds, seed=seed, parallelism=parallelism)
-    return cv.fit(train)
+    """M9: k-fold CV on RMSE over the preset grid (input should be cached by the caller, but for ``lr``).
+
+    Linear fits see their rows only through ``condensed`` ones, so ``lr`` reads ``train`` once for all points and folds.
+    The best model's summary is weighted: its errors are those of all rows, its instances the condensed ones.
+    """
+    est, score = estimator(algo, features=features, label=label, seed=seed), evaluator("rmse", label)
+    own = dict(estimatorParamMaps=param_grid(est, algo, preset), numFolds=folds, seed=seed, parallelism=parallelism)
+    few = condensed(train, features, label, folds, seed) if algo == "lr" else None
+    if few is not None:
+        return CrossValidator(estimator=est.setWeightCol("weight"), evaluator=score.setWeightCol("weight"), foldCol="fold", **own).fit(few)
+    return CrossValidator(estimator=est, evaluator=score, **own).fit(train)
+
+
+def condensed(rows: DataFrame, features: str, label: str, folds: int, seed: int) -> Optional[DataFrame]:
+    """(fold, weight, features, label): two weighted rows per column and fold, with the weight, means and covariances of the fold's rows.
+
+    Squared errors of linear models depend on nothing else, so fits and RMSEs on any union of folds are those on its rows.
+    One aggregate over the rows; folds are drawn as ``CrossValidator`` draws them.  None if a fold is empty or a value is missing or not finite.
+    """
+    k = rows.schema[features].metadata.get("ml_attr", {}).get("num_attrs")
+    if k is None:
+        first = rows.select(features).first()
+        k = len(first[0]) if first and first[0] is not None else 0
+    if not k:
+        return None
+    draw = F.col("_draw")
+    fold = reduce(add, [(draw >= i * (1.0 / folds)).cast("int") for i in range(1, folds)], F.lit(0))
+    nan = F.lit(float("nan"))
+    cols = [f"v{i}" for i in range(k + 1)]
+    drawn = rows.select("*", F.rand(seed).alias("_draw")).select(
+        fold.alias("fold"), vector_to_array(F.col(features)).alias("_v"), F.coalesce(F.col(label).cast("double"), nan).alias(cols[-1]))
+    flat = drawn.select("fold", *[F.coalesce(F.col("_v")[i], nan).alias(c) for i, c in enumerate(cols[:-1])], cols[-1])
+    # the mean of a constant column is its value, without rounding
+    means = [F.when(F.var_pop(c) == 0, F.min(c)).otherwise(F.avg(c)) for c in cols]
+    covs = [F.covar_pop(a, b) if a != b else F.var_pop(a) for i, a in enumerate(cols) for b in cols[i:]]
+    sums = flat.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.array(*means).alias("mean"), F.array(*covs).alias("cov")).orderBy("fold").collect()
+    if len(sums) < folds or not all(np.isfinite([*r["mean"], *r["cov"]]).all() for r in sums):
+        return None
+    few = []
+    for r in sums:
+        cov, m = np.zeros((k + 1, k + 1)), np.array(r["mean"])
+        cov[np.triu_indices(k + 1)] = r["cov"]
+        sd = np.sqrt(np.diag(cov))
+        per = np.divide(1, sd, out=np.zeros_like(sd), where=sd > 0)
+        values, axes = np.linalg.eigh((cov + np.triu(cov, 1).T) * per[:, None] * per, UPLO="U")
+        steps = sd[:, None] * axes * np.sqrt((k + 1) * np.maximum(values, 0))
+        few += [(r["fold"], r["n"] / (2 * k + 2), Vectors.dense(z[:-1]), float(z[-1])) for s in steps.T for z in (m + s, m - s)]
+    schema = T.StructType([T.StructField("fold", T.IntegerType()), T.StructField("weight", T.DoubleType()),
+                           T.StructField(features, VectorUDT()), T.StructField(label, T.DoubleType())])
+    return rows.sparkSession.createDataFrame(few, schema).coalesce(1)
 
 
 # ---------------------------------------------------------------------------

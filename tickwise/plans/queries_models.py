@@ -63,11 +63,7 @@ def m6_isotonic_regression(t):
 @register("m8_m9_m11_cross_validated_params")
 def m8_m9_m11_cross_validated_params(t):
     train, _ = _ml_split(t)
-    data = assemble(train, ML_FEATURES).cache()
-    try:
-        cv = regress.cross_validate(data, "lr", preset="full", seed=42, parallelism=8)
-    finally:
-        data.unpersist()
+    cv = regress.cross_validate(assemble(train, ML_FEATURES), "lr", preset="full", seed=42, parallelism=8)
     return regress.params_frame(t.spark, cv.bestModel)
 
 
