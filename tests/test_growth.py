@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
-from tickwise.operators import regress
+from tickwise.operators import regress, search
 from tickwise.sources.files import assemble
 
 # cross-validation of linear models
@@ -55,3 +55,31 @@ def test_cross_validation_of_rows_that_cannot_be_condensed(spark):
     assert regress.condensed(data.limit(0), "features", "label", 3, 1) is None
     assert regress.condensed(data.withColumn("label", F.when(F.col("a") > 0, F.col("label"))), "features", "label", 3, 1) is None
     assert regress.condensed(data.withColumn("label", F.lit(float("inf"))), "features", "label", 3, 1) is None
+
+
+# symbol search
+
+
+def _listed(spark, n):
+    return spark.range(n).select(F.concat(F.lit("P"), F.col("id").cast("string")).alias("ticker"), F.lit("large ring").alias("name"), F.lit("x").alias("sector"))
+
+
+def test_candidates_of_ticker_searches_grow_with_the_tickers(spark):
+    """No search of a ticker meets a fixed share of all: 8 times the tickers, not 64 times the candidates."""
+    few, many = (_candidates(spark, n) for n in (1000, 8000))
+    assert many < 16 * few
+
+
+def _candidates(spark, n):
+    listed = _listed(spark, n)
+    return search.symbol_index(listed).candidates(listed.select(F.col("ticker").alias("query"))).count()
+
+
+def test_a_profile_hit_by_ticker_and_name_is_one(spark):
+    rows = [("ring", "ring", 1), ("ring", "ring", 1), ("a", "ring", 2), ("ringer", "RING two", 3), ("b", None, 4), (None, "ring", 5)]
+    df = spark.createDataFrame(rows, "ticker string, name string, k int")
+    queries = spark.createDataFrame([("ring",), ("Ring T",)], "query string")
+    for limit in (2, 4, 10):
+        found = search.symbol_index(df.withColumn("sector", F.lit(""))).search(queries, limit).where("query = 'ring'").orderBy("rank").collect()
+        want = [(None, "ring"), ("a", "ring"), ("ring", "ring"), ("ring", "ring"), ("ringer", "RING two")][:limit]
+        assert [(r["ticker"], r["name"]) for r in found] == want

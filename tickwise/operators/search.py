@@ -1,8 +1,10 @@
 """P10: symbol search by a posting table of letter runs.
 
-Every profile is posted under the runs of one to three letters of its ticker
-and name.  A search text is looked up by one run, the rarest of its longest
-ones, and candidates are verified on the text, so results equal a scan.
+Every different text (ticker or name, lower-cased) is posted once under its runs
+of the lengths in ``LENGTHS``.  A search is looked up by one run, the rarest of
+the greatest length that fits it, and candidates are verified on the text, so
+results equal a scan.  Runs as long as that keep a search among many alike (all
+tickers of a long list) from meeting a fixed share of all texts.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tickwise.sources.files import scratch
 
-LONGEST = 3
+LENGTHS = (1, 2, 3, 4, 6, 8, 12)
 
 
 def runs(text: Column, n: int) -> Column:
@@ -27,7 +29,7 @@ def runs(text: Column, n: int) -> Column:
 
 @dataclass(frozen=True)
 class SymbolIndex:
-    """Profiles, their postings (run, ticker, name) and the number of postings of each run."""
+    """Profiles, the postings (run, text) of their texts and the number of postings of each run."""
 
     profiles: DataFrame
     postings: DataFrame
@@ -39,30 +41,38 @@ class SymbolIndex:
         All searches are one plan.  A null search finds nothing, an empty one nothing either (there is no run to look up);
         profiles of one ticker are ordered by their other columns.
         """
+        hits = self.candidates(queries).where(F.contains("text", F.lower("_q")))
+        p = F.struct("*").alias("_p")
+        by_text = self.profiles.select(F.lower("ticker").alias("_text"), F.lit(False).alias("_by_name"), p).unionByName(
+            self.profiles.select(F.lower("name").alias("_text"), F.lit(True).alias("_by_name"), p)).where("_text <> ''")
+        # Spark keeps the first ``limit`` rows of a text, and of a search, in every task before the shuffle
+        order = F.col("_p.ticker"), F.col("_p")
+        w = Window.partitionBy("_text", "_by_name").orderBy(*order)
+        first = by_text.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= limit).drop("_n")
+        found = hits.join(first, F.col("text") == F.col("_text"))
+        # a profile whose ticker is hit is not counted again by its name
+        once = found.where(~F.col("_by_name") | ~F.coalesce(F.contains(F.lower("_p.ticker"), F.lower("_q")), F.lit(False)))
+        best = once.withColumn("rank", F.row_number().over(Window.partitionBy("_q").orderBy(*order))).where(F.col("rank") <= limit)
+        return best.select(F.col("_q").alias("query"), "rank", "_p.*")
+
+    def candidates(self, queries: DataFrame) -> DataFrame:
+        """(_q, text): the texts that have the search's rarest run; all its hits are among them."""
         asked = queries.select(F.col("query").alias("_q")).where("_q <> ''").distinct()
-        width = F.least(F.length("_q"), F.lit(LONGEST))
-        of = F.coalesce(*[F.when(width == n, runs(F.col("_q"), n)) for n in range(1, LONGEST + 1)])
+        of = F.coalesce(*[F.when(F.length(F.lower("_q")) >= n, runs(F.col("_q"), n)) for n in reversed(LENGTHS)])
         looked = asked.select("_q", F.explode(of).alias("run")).join(self.counts, "run", "left")
         # a run without postings is the rarest: its search has no result
         rarest = looked.groupBy("_q").agg(F.min_by("run", F.struct(F.coalesce("n", F.lit(0)), "run")).alias("run"))
-        hits = rarest.join(self.postings, "run").where(
-            F.contains(F.lower("_ticker"), F.lower("_q")) | F.contains(F.lower("_name"), F.lower("_q"))).select("_q", "_ticker", "_name").distinct()
-        rows = self.profiles.select(F.struct("*").alias("_p"))
-        found = hits.join(rows, F.col("_ticker").eqNullSafe(F.col("_p.ticker")) & F.col("_name").eqNullSafe(F.col("_p.name")))
-        # Spark keeps the first ``limit`` rows of a search in every task before the shuffle
-        w = Window.partitionBy("_q").orderBy(F.col("_p.ticker"), F.col("_p"))
-        best = found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= limit)
-        return best.select(F.col("_q").alias("query"), "rank", "_p.*")
+        return rarest.join(self.postings, "run").select("_q", "text")
 
 
 def symbol_index(profiles: DataFrame, exchange: Optional[str] = None) -> SymbolIndex:
     """Postings of ``profiles`` (ticker, name, ...), written once in the shared folder; of one sector with ``exchange``."""
     spark = profiles.sparkSession
     kept = profiles if exchange is None else profiles.where(F.col("sector") == exchange)
-    own = F.array_distinct(F.concat(*[runs(F.col(c), n) for c in ("ticker", "name") for n in range(1, LONGEST + 1)]))
-    posted = kept.select(F.explode(own).alias("run"), F.col("ticker").alias("_ticker"), F.col("name").alias("_name")).distinct()
+    texts = kept.select(F.lower("ticker").alias("text")).unionByName(kept.select(F.lower("name").alias("text"))).where("text <> ''").distinct()
+    posted = texts.select(F.explode(F.concat(*[runs(F.col("text"), n) for n in LENGTHS])).alias("run"), "text")
     path = scratch(spark, "postings")
-    posted.repartitionByRange("run", "_ticker").sortWithinPartitions("run", "_ticker").write.parquet(path)
+    posted.repartitionByRange("run", "text").sortWithinPartitions("run", "text").write.parquet(path)
     postings = spark.read.schema(posted.schema).parquet(path)
     counted = postings.groupBy("run").agg(F.count(F.lit(1)).alias("n"))
     count_path = scratch(spark, "posting-counts")
