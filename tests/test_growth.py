@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import numpy as np
+import pytest
+from pyspark.ml.stat import Correlation
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
-from tickwise.operators import regress, search
+from tickwise.operators import regress, search, stats
 from tickwise.sources.files import assemble
 
 # cross-validation of linear models
@@ -83,3 +85,37 @@ def test_a_profile_hit_by_ticker_and_name_is_one(spark):
         found = search.symbol_index(df.withColumn("sector", F.lit(""))).search(queries, limit).where("query = 'ring'").orderBy("rank").collect()
         want = [(None, "ring"), ("a", "ring"), ("ring", "ring"), ("ring", "ring"), ("ringer", "RING two")][:limit]
         assert [(r["ticker"], r["name"]) for r in found] == want
+
+
+# rank correlation
+
+
+def _ties(spark, n):
+    rng = np.random.RandomState(9)
+    nan, none = float("nan"), None
+    rows = [(float(rng.randint(4)), float(rng.normal()), int(rng.randint(50)), float(i % 3) - 1) for i in range(n)]
+    rows += [(nan, 1.0, 1, 0.0), (1.0, none, 2, 0.0), (1.0, 2.0, none, 0.0), (2.0, float("inf"), 7, -0.0)]
+    return spark.createDataFrame(rows, "a double, b double, c int, d double")
+
+
+@pytest.mark.parametrize("broadcast", [0, 200_000])
+def test_spearman_by_counted_values_equals_spark_ml(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(stats, "BROADCAST_VALUES", broadcast)
+    df = _ties(spark, 500)
+    got = {(r["feature_a"], r["feature_b"]): r["r"] for r in stats.vector_correlation(df, df.columns, "spearman").collect()}
+    want = Correlation.corr(assemble(df, df.columns).select("features"), "features", "spearman").head()[0].toArray()
+    for i, a in enumerate(df.columns):
+        np.testing.assert_allclose([got[a, b] for b in df.columns], want[i], atol=1e-12)
+
+
+def test_spearman_orders_different_values_only(spark, monkeypatch):
+    ordered, sliced = [], stats.sliced
+
+    def seen(df, *args):
+        ordered.append(df.count())
+        return sliced(df, *args)
+
+    monkeypatch.setattr(stats, "sliced", seen)
+    df = spark.range(6000).select((F.col("id") % 7).alias("a"), (F.col("id") % 50).alias("b"))
+    assert stats.vector_correlation(df, ["a", "b"], "spearman").count() == 4
+    assert ordered == [57]

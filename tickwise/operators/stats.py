@@ -16,7 +16,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickwise.operators.ranks import quantiles
+from tickwise.operators.slices import carried, inside, sliced, with_carry
 from tickwise.schema import PRICE_COLUMNS
+from tickwise.sources.files import scratch
 
 
 def long_form(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ("company",),
@@ -223,21 +225,51 @@ def _pairwise_spearman(src: DataFrame, cols: list, by: Sequence[str], buckets: i
 def vector_correlation(df: DataFrame, features: Sequence[str], method: str = "pearson") -> DataFrame:
     """A6/A7 on an assembled ML vector (``pyspark.ml.stat.Correlation``), long form.
 
-    Global over the whole frame; Spark computes it distributedly (Spearman
-    ranks via a distributed sort with averaged ties).  Only the k x k matrix
-    reaches the driver.
+    Global over the whole frame; Spark computes it distributedly.  Spearman is
+    Pearson on the rows' ranks (``ranked_values``; ML's own form sorts every
+    value of every row).  Only the k x k matrix reaches the driver.
     """
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.stat import Correlation
 
-    vec = VectorAssembler(inputCols=list(features), outputCol="_v", handleInvalid="skip").transform(
-        df.select(*features)).select("_v")
-    m = Correlation.corr(vec, "_v", method).head()[0].toArray()
+    if method not in ("pearson", "spearman"):
+        raise ValueError(method)
+    rows = ranked_values(df, features) if method == "spearman" else df.select(*features)
+    vec = VectorAssembler(inputCols=rows.columns, outputCol="_v", handleInvalid="skip").transform(rows).select("_v")
+    m = Correlation.corr(vec, "_v", "pearson").head()[0].toArray()
     rows = [(a, b, float(m[i][j])) for i, a in enumerate(features) for j, b in enumerate(features)]
     out = df.sparkSession.createDataFrame(rows, "feature_a STRING, feature_b STRING, r DOUBLE")
     return out.withColumn("method", F.lit(method))
 
 
+#: A column's ranks are broadcast up to this many different values (16 bytes each).
+BROADCAST_VALUES = 200_000
+
+
+def ranked_values(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """(r0, r1, ...): each feature's average rank (1-based, ties averaged) over all rows without a missing value or NaN.
+
+    Equal values of a feature are counted together before any shuffle and only
+    the different ones are ordered, in ranges of their own; the rows then get
+    the ranks by a join on the value.
+    """
+    k = range(len(features))
+    rows = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(features)]).na.drop()
+    counts = rows.select(F.posexplode(F.array(*rows.columns)).alias("i", "v")).groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
+    scan = sliced(counts, ["i"], [F.col("v")], "rank-values")
+    carry = carried(scan, ["i"], F.sum("n"), F.sum, "_before")
+    upto = F.coalesce("_before", F.lit(0)) + F.sum("n").over(inside(["i"], [F.col("v")], Window.unboundedPreceding, 0))
+    ranked = with_carry(scan, ["i"], carry, "_before").select("i", "v", (upto - (F.col("n") - 1) / 2).cast("double").alias("rank"))
+    path = scratch(df.sparkSession, "value-ranks")
+    ranked.write.parquet(path)
+    stored = df.sparkSession.read.schema(ranked.schema).parquet(path)
+    different = {r["i"]: r["count"] for r in stored.groupBy("i").count().collect()}  # one row a feature
+    for i in k:
+        of = stored.where(F.col("i") == i).select(F.col("v").alias(f"_k{i}"), F.col("rank").alias(f"r{i}"))
+        rows = rows.join(F.broadcast(of) if different.get(i, 0) <= BROADCAST_VALUES else of, F.col(f"v{i}") == F.col(f"_k{i}"))
+    return rows.select(*[f"r{i}" for i in k])
+
+
 def average_ranks(df: DataFrame, columns: Sequence[str], by: Sequence[str], buckets: int | None = None) -> DataFrame:
     """Replace each column by its average rank (1-based, ties averaged) within ``by``.
 
