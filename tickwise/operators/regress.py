@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickwise.operators.forest import Forest
 from tickwise.session import cut_lineage
 from tickwise.sources.files import assemble, scratch
 
@@ -87,6 +88,8 @@ def lagged_features(prices: DataFrame, features: Sequence[str], lag: int = 1, by
 # ---------------------------------------------------------------------------
 # M3-M6 estimators and M8 grids
 
+FOREST = dict(numTrees=15, impurity="variance", maxDepth=10, maxBins=64)
+
 
 def estimator(algo: str, features: str = "features", label: str = "label", seed: int = 42, **params):
     """Estimator with the reference's fixed defaults (overridable)."""
@@ -96,8 +99,7 @@ def estimator(algo: str, features: str = "features", label: str = "label", seed:
     if algo == "gbr":
         return GBTRegressor(featuresCol=features, labelCol=label, seed=seed, **{**dict(maxIter=10), **params})
     if algo == "rf":
-        base = dict(numTrees=15, impurity="variance", maxDepth=10, maxBins=64)
-        return RandomForestRegressor(featuresCol=features, labelCol=label, seed=seed, **{**base, **params})
+        return RandomForestRegressor(featuresCol=features, labelCol=label, seed=seed, **{**FOREST, **params})
     if algo == "ir":
         return IsotonicRegression(featuresCol=features, labelCol=label, **params)
     raise ValueError(algo)
@@ -134,12 +136,13 @@ def param_grid(est, algo: str, preset: str = "full") -> list[dict]:
 
 
 def pipeline(features: Sequence[str], algo: str, label: str = "label", seed: int = 42, **params) -> Pipeline:
-    """M7: assemble + model."""
+    """M7: assemble + model.  The forest is ``forest.Forest``, which Spark ML's equals but for its draws."""
     from pyspark.ml.feature import VectorAssembler
 
+    model = Forest(label=label, seed=seed, **{**FOREST, **params}) if algo == "rf" else estimator(algo, label=label, seed=seed, **params)
     return Pipeline(stages=[
         VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip"),
-        estimator(algo, label=label, seed=seed, **params),
+        model,
     ])
 
 
